@@ -34,18 +34,18 @@ def with_ranks(df: DataFrame, cols: list[str], rows_per_task: int | None = None)
     return out.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else col(c) for c in df.columns])
 
 
-def _pearson(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    agg = df.agg(*[e for i, (a, b) in enumerate(pairs) for e in _corr(a, b, i)])
-    return agg.select(rows_from([
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                 F.when((F.col(f"x{i}") > 0) & (F.col(f"y{i}") > 0), F.col(f"r{i}")).alias("r"))
-        for i, (a, b) in enumerate(pairs)]))
+def _corr(x, y):
+    """Pearson r over the rows where both are present; null for a constant column (``corr`` would
+    divide by zero)."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def _corr(a: str, b: str, i: int):
-    both = col(a).isNotNull() & col(b).isNotNull()
-    x, y = F.when(both, col(a).cast("double")), F.when(both, col(b).cast("double"))
-    return (F.corr(x, y).alias(f"r{i}"), F.stddev_pop(x).alias(f"x{i}"), F.stddev_pop(y).alias(f"y{i}"))
+def _pearson(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    agg = df.agg(*[_corr(col(a), col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    return agg.select(rows_from([F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
+                                 for i, (a, b) in enumerate(pairs)]))
 
 
 def corr_matrix(df: DataFrame, cols: list[str], method: str = "pearson", nulls: str = "pairwise",
@@ -126,4 +126,4 @@ def trend(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line of y on x and the correlation."""
     cx, cy = col(x).cast("double"), col(y).cast("double")
     return df.agg(F.regr_slope(cy, cx).alias("slope"), F.regr_intercept(cy, cx).alias("intercept"),
-                  F.corr(cx, cy).alias("r"), F.regr_count(cy, cx).alias("n"))
+                  _corr(cx, cy).alias("r"), F.regr_count(cy, cx).alias("n"))

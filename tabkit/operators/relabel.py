@@ -36,7 +36,7 @@ def map_clusters_to_labels(df: DataFrame, cluster: str, label: str, classes: lis
     clusters = sorted({c for c, _ in share})
     seen = sorted({l for _, l in share})
     classes = sorted(classes) if classes else seen
-    dominant = {c: max(seen, key=lambda l: (share.get((c, l), 0.0), [-ord(x) for x in str(l)])) for c in clusters}
+    dominant = {c: min(seen, key=lambda l: (-share.get((c, l), 0.0), l)) for c in clusters}
     if set(classes) <= set(dominant.values()):
         return dominant
     ranked = sorted(((share.get((c, l), 0.0), c, l) for c in clusters for l in classes), reverse=True)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REPLACEMENT = "�"
 
 # Saved selections are looked up in this order, first hit wins.
 MODEL_COLUMNS = {
@@ -30,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     sep = next((s for s in seps if s in header[0]), seps[0])
     encoding = encodings[0]
     if len(encodings) > 1:
-        broken = spark.read.text(path).where(F.col("value").contains(REPLACEMENT)).limit(1).count()
+        broken = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1).count()
         encoding = encodings[1] if broken else encodings[0]
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
     df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
