@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["prepare", "explore", "io", "combine"]
+MODULES = ["prepare", "explore", "io", "combine", "evaluate", "learn"]
 
 
 def load_all() -> None:
