@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["prepare", "explore", "io", "combine", "evaluate", "learn"]
+MODULES = ["prepare", "explore", "io", "combine", "evaluate", "learn", "lifecycle"]
 
 
 def load_all() -> None:
