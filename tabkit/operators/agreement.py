@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.runtime import col
@@ -21,59 +21,73 @@ def contingency(df: DataFrame, a: str, b: str, noise: int | None = -1) -> DataFr
     return rows.groupBy(col(a).alias("a"), col(b).alias("b")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _margin_sums(cells: DataFrame, f) -> tuple:
-    """sum of f(count) over cells, a margins and b margins, as one-row scalars."""
-    over_a = cells.groupBy("a").agg(F.sum("n").alias("n")).agg(f(F.col("n").cast("double")))
-    over_b = cells.groupBy("b").agg(F.sum("n").alias("n")).agg(f(F.col("n").cast("double")))
-    return over_a.scalar(), over_b.scalar()
+def _margins(df: DataFrame, a: str, b: str, noise: int | None) -> DataFrame:
+    """Contingency counts with both margins: one pass over the rows, the rest on the counts.
+
+    ``na`` and ``nb`` are given on one cell of each margin only, so that they can be summed.
+    Noise cells stay, with an empty count ``n``, for the noise total.
+    """
+    cells = contingency(df, a, b, noise=None)
+    is_noise = F.lit(False) if noise is None else F.col("b").cast("string") == str(noise)
+    cells = cells.select("a", "b", F.when(~is_noise, F.col("n").cast("double")).alias("n"), F.when(is_noise, F.col("n")).alias("noise"))
+    of_a, of_b = Window.partitionBy("a"), Window.partitionBy("b")
+    kept = F.col("n").isNull()
+    first_a = F.row_number().over(of_a.orderBy(kept, "b")) == 1
+    first_b = F.row_number().over(of_b.orderBy(kept, "a")) == 1
+    return cells.select("n", "noise", F.when(first_a, F.sum("n").over(of_a)).alias("na"),
+                        F.when(first_b, F.sum("n").over(of_b)).alias("nb"),
+                        F.when(first_b, F.max("n").over(of_b)).alias("top"))
+
+
+def _pairs(n: str) -> Column:
+    return F.sum(F.col(n) * (F.col(n) - 1) / 2)
+
+
+def _ari() -> Column:
+    n = F.sum("n")
+    expected = F.try_divide(_pairs("na") * _pairs("nb"), n * (n - 1) / 2)
+    top = (_pairs("na") + _pairs("nb")) / 2
+    return F.coalesce(F.try_divide(_pairs("n") - expected, top - expected), F.lit(1.0))
+
+
+def _information() -> dict[str, Column]:
+    n = F.sum("n")
+    nlogn = lambda c: F.sum(F.col(c) * F.ln(c))
+    tiny = 1e-12  # entropies below it come from rounding
+    flat = lambda e: F.when(F.abs(e) < tiny, F.lit(0.0)).otherwise(e)
+    ha, hb = flat(F.ln(n) - nlogn("na") / n), flat(F.ln(n) - nlogn("nb") / n)
+    mi = flat(F.ln(n) + (nlogn("n") - nlogn("na") - nlogn("nb")) / n)
+    h, c = F.coalesce(F.try_divide(mi, ha), F.lit(1.0)), F.coalesce(F.try_divide(mi, hb), F.lit(1.0))
+    return {"nmi": F.coalesce(F.try_divide(mi, (ha + hb) / 2), F.lit(1.0)), "homogeneity": h, "completeness": c,
+            "v_measure": F.coalesce(F.try_divide(2 * h * c, h + c), F.lit(0.0))}
+
+
+def _purity() -> dict[str, Column]:
+    return {"purity": F.coalesce(F.avg(F.col("top") / F.col("nb")), F.lit(0.0)), "n_clusters": F.count("nb")}
 
 
 def ari(df: DataFrame, a: str, b: str, noise: int | None = -1) -> DataFrame:
     """Adjusted Rand index; 1 when both labelings are trivial in the same way."""
-    cells = contingency(df, a, b, noise)
-    pairs = lambda n: F.sum(n * (n - 1) / 2)
-    pa, pb = _margin_sums(cells, pairs)
-    one = cells.agg(pairs(F.col("n").cast("double")).alias("both"), F.sum("n").cast("double").alias("n")) \
-        .withColumn("pa", pa).withColumn("pb", pb)
-    expected = F.col("pa") * F.col("pb") / (F.col("n") * (F.col("n") - 1) / 2)
-    top = (F.col("pa") + F.col("pb")) / 2
-    return one.select(F.coalesce(F.try_divide(F.col("both") - expected, top - expected), F.lit(1.0)).alias("ari"))
+    return _margins(df, a, b, noise).agg(_ari().alias("ari"))
 
 
 def mutual_info(df: DataFrame, truth: str, cluster: str, noise: int | None = -1) -> DataFrame:
     """NMI (arithmetic mean), homogeneity, completeness, V-measure."""
-    cells = contingency(df, truth, cluster, noise)
-    nlogn = lambda n: F.sum(n * F.ln(n))
-    sa, sb = _margin_sums(cells, nlogn)
-    one = cells.agg(nlogn(F.col("n").cast("double")).alias("s"), F.sum("n").cast("double").alias("n")) \
-        .withColumn("sa", sa).withColumn("sb", sb)
-    n = F.col("n")
-    tiny = 1e-12  # entropies below it come from rounding
-    flat = lambda e: F.when(F.abs(e) < tiny, F.lit(0.0)).otherwise(e)
-    h = one.select(flat(F.ln(n) - F.col("sa") / n).alias("ha"), flat(F.ln(n) - F.col("sb") / n).alias("hb"),
-                   flat(F.ln(n) + (F.col("s") - F.col("sa") - F.col("sb")) / n).alias("mi"))
-    m = h.select(F.coalesce(F.try_divide(F.col("mi"), (F.col("ha") + F.col("hb")) / 2), F.lit(1.0)).alias("nmi"),
-                 F.coalesce(F.try_divide(F.col("mi"), F.col("ha")), F.lit(1.0)).alias("homogeneity"),
-                 F.coalesce(F.try_divide(F.col("mi"), F.col("hb")), F.lit(1.0)).alias("completeness"))
-    v = F.try_divide(2 * F.col("homogeneity") * F.col("completeness"), F.col("homogeneity") + F.col("completeness"))
-    return m.withColumn("v_measure", F.coalesce(v, F.lit(0.0)))
+    return _margins(df, truth, cluster, noise).agg(*[e.alias(n) for n, e in _information().items()])
 
 
 def purity(df: DataFrame, truth: str, cluster: str, noise: int | None = -1) -> DataFrame:
     """Unweighted mean over clusters of the majority share."""
-    per = contingency(df, truth, cluster, noise).groupBy("b").agg((F.max("n") / F.sum("n")).alias("p"))
-    return per.agg(F.coalesce(F.avg("p"), F.lit(0.0)).alias("purity"), F.count(F.lit(1)).alias("n_clusters"))
+    return _margins(df, truth, cluster, noise).agg(*[e.alias(n) for n, e in _purity().items()])
 
 
 def agreement(df: DataFrame, truth: str, cluster: str, noise: int | None = -1) -> DataFrame:
-    """ARI, NMI, homogeneity, completeness, V-measure, purity, cluster and noise counts: one row."""
-    one = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.count_if(col(cluster).cast("string") == str(noise)).alias("n_noise"))
-    p = purity(df, truth, cluster, noise)
-    m = mutual_info(df, truth, cluster, noise)
-    return one.withColumns({
-        "n_clusters": p.select("n_clusters").scalar(), "ari": ari(df, truth, cluster, noise).scalar(),
-        **{c: m.select(c).scalar() for c in m.columns}, "purity": p.select("purity").scalar()})
+    """ARI, NMI, homogeneity, completeness, V-measure, purity, cluster and noise counts: one row, one pass."""
+    exprs = {"ari": _ari(), **_information(), **_purity()}
+    noisy = F.coalesce(F.sum("noise"), F.lit(0))
+    return _margins(df, truth, cluster, noise).agg(
+        (F.coalesce(F.sum("n"), F.lit(0.0)).cast("long") + noisy).alias("n"), noisy.alias("n_noise"),
+        *[e.alias(n) for n, e in exprs.items()])
 
 
 def majority_map(df: DataFrame, truth: str, cluster: str) -> DataFrame:
@@ -100,8 +114,8 @@ def purity_verdict(metrics: DataFrame, value: str = "purity") -> DataFrame:
 def cluster_balance(df: DataFrame, cluster: str) -> DataFrame:
     """Normalised entropy of the cluster sizes, noise left out; 0 without clusters."""
     sizes = df.where(col(cluster) != -1).groupBy(col(cluster)).agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n")).scalar()
-    p = F.col("n") / total
+    sizes = sizes.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))))  # one row per cluster
+    p = F.col("p")
     agg = sizes.agg((-F.sum(p * F.ln(p + LOG_GUARD))).alias("h"), F.count(F.lit(1)).alias("k"))
     return agg.select(F.coalesce(F.when(F.col("k") > 1, F.col("h") / F.ln(F.col("k").cast("double"))).otherwise(F.col("h")),
                                  F.lit(0.0)).alias("balance"))

@@ -131,8 +131,9 @@ def average_precision(df: DataFrame, y: str = "y", prob: str = "prob") -> DataFr
 def evaluate(df: DataFrame, threshold: float = 0.5, y: str = "y", prob: str = "prob") -> DataFrame:
     """All binary metrics in one row."""
     rank = ranking_metrics(df.select(col(y), clipped(col(prob)).alias(prob)), y, prob)
-    return (binary_metrics(df, threshold, y, prob).withColumn("roc_auc", rank.select("roc_auc").scalar())
-            .withColumn("pr_auc", rank.select("pr_auc").scalar()))
+    both = rank.select(F.struct("roc_auc", "pr_auc")).scalar()  # one subquery for the two
+    return (binary_metrics(df, threshold, y, prob).withColumn("__rank", both)
+            .select("*", "__rank.roc_auc", "__rank.pr_auc").drop("__rank"))
 
 
 def threshold_candidates(df: DataFrame, prob: str = "prob", rows_per_task: int | None = None) -> DataFrame:
@@ -160,8 +161,8 @@ def sweep(df: DataFrame, candidates: DataFrame, y: str = "y", prob: str = "prob"
                               F.lit(0).cast("long").alias("neg"), F.lit(1).alias("c"))
     points = scores.unionByName(marks).groupBy("d").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.max("c").alias("c"))
     cum = in_order(points, [], ["d"], {"__tp": running_sum(F.col("pos")), "__fp": running_sum(F.col("neg"))}, rows_per_task)
-    totals = df.agg(F.count_if(col(y) == 1).alias("p"), F.count_if(col(y) == 0).alias("n"))
-    rows = (cum.where("c = 1").withColumn("__pos", totals.select("p").scalar()).withColumn("__neg", totals.select("n").scalar()))
+    totals = df.agg(F.struct(F.count_if(col(y) == 1).alias("p"), F.count_if(col(y) == 0).alias("n"))).scalar()
+    rows = cum.where("c = 1").withColumn("__all", totals).withColumns({"__pos": F.col("__all.p"), "__neg": F.col("__all.n")})
     rates = _rates(F.col("__tp"), F.col("__fp"), F.col("__pos"), F.col("__neg"))
     return rows.select((-F.col("d")).alias("threshold"), *[e.alias(n) for n, e in rates.items()])
 

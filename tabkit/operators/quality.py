@@ -105,15 +105,18 @@ def davies_bouldin(df: DataFrame, cluster: str, cols: list[str] | None = None, v
 
 def calinski_harabasz(df: DataFrame, cluster: str, cols: list[str] | None = None, vec: str | None = None) -> DataFrame:
     """(between / (k - 1)) / (within / (n - k))."""
-    rows = _labelled(df, cluster, cols, vec)
-    cent = _centroids(rows)
-    overall = rows.agg(vector_to_array(Summarizer.mean(array_to_vector("vec")))).scalar()
-    between = cent.withColumn("m", overall).agg(F.sum(F.col("n") * _square("centroid", "m")).alias("b"),
-                                               F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-    within = rows.join(cent.select(F.col("cluster").alias("c"), "centroid"), F.col("cluster") == F.col("c")) \
-        .agg(F.sum(_square("vec", "centroid"))).scalar()
-    return between.select(F.try_divide(F.try_divide(F.col("b"), F.col("k") - 1),
-                                       F.try_divide(within, F.col("n") - F.col("k"))).alias("calinski_harabasz"))
+    rows = _labelled(df, cluster, cols, vec).withColumn("v", array_to_vector("vec"))
+    parts = rows.groupBy("cluster").agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")) \
+        .select(vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("var"), F.col("s.count").alias("n")).toPandas()
+    k, n = len(parts), int(parts["n"].sum())  # one row per cluster
+    if not 1 < k < n:
+        return df.sparkSession.createDataFrame([(None,)], "calinski_harabasz double")
+    size, mean = parts["n"].to_numpy(dtype=float), _matrix(parts["mean"])
+    overall = (size[:, None] * mean).sum(0) / n
+    between = (size * np.square(mean - overall).sum(1)).sum()
+    within = ((size - 1) * _matrix(parts["var"]).sum(1)).sum()
+    value = float((between / (k - 1)) / (within / (n - k))) if within > 0 else 1.0
+    return df.sparkSession.createDataFrame([(value,)], "calinski_harabasz double")
 
 
 def cluster_metrics(df: DataFrame, algorithm: str, key: str, cluster: str, cols: list[str] | None = None,

@@ -15,6 +15,7 @@ from ..operators import (
     agreement, clean, cluster, combine, correlate, dedup, encode, features, impute, metrics, models,
     outliers, profile, project, quality, relabel, scale, split, validate,
 )
+from ..functions.runtime import cut_lineage
 from ..operators.params import Params
 from .combine import panel, _PANEL
 from .learn import blobs
@@ -81,7 +82,7 @@ def temporal_splits(df: DataFrame, unit: str = "unidad", time: str = "anio", lab
     rows = dedup.drop_duplicates(rows)
     rows, report = impute.require_label(rows, label)
     dropped = report.first()["n_dropped"]
-    rows = features.panel_features(rows, unit, time)
+    rows = cut_lineage(features.panel_features(rows, unit, time))  # read by every fit below
     parts = split.period_split(rows, time)
     train = parts.where(F.col("split") == "train")
     numeric = [c for c in project.columns_of(rows, "numeric") if c != label]
@@ -89,7 +90,7 @@ def temporal_splits(df: DataFrame, unit: str = "unidad", time: str = "anio", lab
     caps = outliers.fit_iqr_cap(train, numeric)
     capped = outliers.apply_iqr_cap(parts, caps)
     fitted = scale.fit_preprocessor(capped.where(F.col("split") == "train"), numeric, categorical, [label, "split"], "median", "robust")
-    ready = fitted.transform(capped)
+    ready = cut_lineage(fitted.transform(capped))
     weights = {r["label"]: r["weight"] for r in profile.class_weights(train, label).collect()}  # one row per class
     names = ["train", "valid", "test", "holdout"]
     feature_names = [c for c in ready.columns if c not in (label, "split")]
