@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .runtime import col, q
 
-VALUES_PER_TASK = 1_000_000
+VALUES_PER_TASK = 20_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -34,59 +34,71 @@ class _Bracket:
     found: dict[int, float] = field(default_factory=dict)
 
     def value(self) -> Column:
-        c = col(self.name)
-        kept = F.lit(True)
-        if self.low is not None:
-            kept = kept & (c > F.lit(self.low))
-        if self.high is not None:
-            kept = kept & (c < F.lit(self.high))
-        return F.when(kept, c)
+        c = col(self.name).cast("double")
+        if self.low is None:
+            return c
+        return F.when((c > F.lit(self.low)) & (c < F.lit(self.high)), c)
 
     def open_ranks(self) -> list[int]:
         return [r for r in self.ranks if r not in self.found]
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, int],
-                     few_values: dict[str, bool] | None = None, limit: int | None = None) -> dict[str, dict[int, float]]:
+                     limit: int | None = None) -> dict[str, dict[int, float]]:
     """Value at each 0-based rank of each numeric column (nulls left out)."""
     limit = limit or VALUES_PER_TASK
-    few_values = few_values or {}
-    out: dict[str, dict[int, float]] = {c: {} for c in wanted}
-    brackets = [_Bracket(c, [r], counts[c]) for c, ranks in wanted.items() for r in sorted(set(ranks))]
+    brackets = [_Bracket(c, near, counts[c]) for c, ranks in wanted.items() for near in _neighbours(ranks)]
     while True:
-        large = [b for b in brackets if b.open_ranks() and b.inside > limit and not few_values.get(b.name)]
+        large = [b for b in brackets if b.open_ranks() and b.inside > limit]
         if not large:
             break
         _narrow(df, large)
-    todo = [(b, r) for b in brackets for r in b.open_ranks()]
-    for at in range(0, len(todo), 200):
-        part = todo[at:at + 200]
-        picks = df.select(*[b.value().cast("double").alias(f"v{i}") for i, (b, _) in enumerate(part)])
-        row = picks.agg(*[
-            F.expr(f"percentile_disc({(r - b.base + 0.5) / b.inside!r}D) WITHIN GROUP (ORDER BY v{i})")
-            for i, (b, r) in enumerate(part)]).first()
-        for (b, r), v in zip(part, row):
-            b.found[r] = v
+    _read_off(df, [b for b in brackets if b.open_ranks()])
+    out: dict[str, dict[int, float]] = {c: {} for c in wanted}
     for b in brackets:
         out[b.name].update(b.found)
     return out
 
 
+def _neighbours(ranks: list[int]) -> list[list[int]]:
+    """Sorted ranks with direct neighbours kept together."""
+    groups: list[list[int]] = []
+    for r in sorted(set(ranks)):
+        if groups and r - groups[-1][-1] == 1 and len(groups[-1]) < 2:
+            groups[-1].append(r)
+        else:
+            groups.append([r])
+    return groups
+
+
+def _read_off(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """The few values left in each bracket, sorted; only the wanted ones leave Spark."""
+    same: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        same.setdefault((b.name, b.low, b.high), []).append(b)
+    groups = list(same.values())
+    for at in range(0, len(groups), 100):
+        part = groups[at:at + 100]
+        sorted_values = df.agg(*[F.sort_array(F.collect_list(g[0].value())).alias(f"v{i}") for i, g in enumerate(part)])
+        picks = [(b, r, i) for i, g in enumerate(part) for b in g for r in b.open_ranks()]
+        row = sorted_values.select(*[F.get(f"v{i}", F.lit(r - b.base)) for b, r, i in picks]).first()
+        for (b, r, _), v in zip(picks, row):
+            b.found[r] = v
+
+
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
-    sketch = df.agg(*[
-        F.percentile_approx(
-            b.value().cast("double"),
-            [max(0.0, (r - b.base) / b.inside - b.slack) for r in b.open_ranks()[:1]]
-            + [min(1.0, (r - b.base + 1) / b.inside + b.slack) for r in b.open_ranks()[-1:]],
-            SKETCH_ACCURACY)
-        for b in brackets]).first()
+    same: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        same.setdefault((b.name, b.low, b.high), []).append(b)
+    groups = list(same.values())
+    sketches = df.agg(*[F.percentile_approx(g[0].value(), [p for b in g for p in _fractions(b)], SKETCH_ACCURACY) for g in groups]).first()
+    tried = [(b, values[2 * i], values[2 * i + 1]) for g, values in zip(groups, sketches) for i, b in enumerate(g)]
     exprs = []
-    for b, (low, high) in zip(brackets, sketch):
+    for b, low, high in tried:
         c = col(b.name)
-        exprs += [F.count_if(c < low), F.count_if(c == low),
-                  F.count_if((c > low) & (c < high)), F.count_if(c == high)]
+        exprs += [F.count_if(c < low), F.count_if(c == low), F.count_if((c > low) & (c < high)), F.count_if(c == high)]
     row = df.agg(*exprs).first()
-    for i, (b, (low, high)) in enumerate(zip(brackets, sketch)):
+    for i, (b, low, high) in enumerate(tried):
         below, at_low, inside, at_high = row[4 * i:4 * i + 4]
         for r in b.open_ranks():
             if below <= r < below + at_low:
@@ -102,17 +114,9 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
             b.slack *= 4  # the sketch missed the rank: look wider in the next pass
 
 
-def sizes(df: DataFrame, cols: list[str], limit: int | None = None) -> tuple[dict[str, int], dict[str, bool]]:
-    """Non-null count per column, and whether its distinct values are known to fit one task."""
-    limit = limit or VALUES_PER_TASK
-    row = df.agg(*[F.count(col(c)) for c in cols]).first()
-    counts = dict(zip(cols, row))
-    few = {c: counts[c] <= limit for c in cols}
-    unsure = [c for c in cols if not few[c]]
-    if unsure:
-        est = df.agg(*[F.approx_count_distinct(col(c)) for c in unsure]).first()
-        few.update({c: 2 * e <= limit for c, e in zip(unsure, est)})
-    return counts, few
+def _fractions(b: _Bracket) -> tuple[float, float]:
+    first, last = b.open_ranks()[0], b.open_ranks()[-1]
+    return (max(0.0, (first - b.base) / b.inside - b.slack), min(1.0, (last - b.base + 1) / b.inside + b.slack))
 
 
 def quantile_columns(df: DataFrame, cols: list[str], probs: list[float],
@@ -121,10 +125,11 @@ def quantile_columns(df: DataFrame, cols: list[str], probs: list[float],
 
     An aggregate where the size check allows it, otherwise the values found by narrowing.
     """
-    counts, few = sizes(df, cols, limit)
+    cap = limit or VALUES_PER_TASK
+    counts = dict(zip(cols, df.agg(*[F.count(col(c)) for c in cols]).first()))
     out = {c: F.expr(f"percentile({q(c)}, array({', '.join(f'{p!r}D' for p in probs)}))")
-           for c in cols if few[c]}
-    large = [c for c in cols if not few[c]]
+           for c in cols if counts[c] <= cap}
+    large = [c for c in cols if counts[c] > cap]
     if large:
         for c, values in _narrowed_quantiles(df, large, probs, counts, limit).items():
             out[c] = F.array(*[F.lit(v) for v in values])
@@ -134,7 +139,7 @@ def quantile_columns(df: DataFrame, cols: list[str], probs: list[float],
 def _narrowed_quantiles(df, cols, probs, counts, limit) -> dict[str, list[float]]:
     at = {c: [p * (counts[c] - 1) for p in probs] for c in cols}
     ranks = {c: [r for x in at[c] for r in (math.floor(x), math.ceil(x))] for c in cols}
-    stats = order_statistics(df, ranks, counts, None, limit)
+    stats = order_statistics(df, ranks, counts, limit)
     out = {}
     for c in cols:
         out[c] = []

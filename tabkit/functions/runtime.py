@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MIN_ROWS_PER_PARTITION = 10_000
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the session names; only a local session may make its own."""
     sc = spark.sparkContext
@@ -29,6 +33,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def kept(df: DataFrame):
+    """Persisted rows for work that passes over them many times. Rows that sit in fewer
+    partitions than there are cores are spread first."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = [df.persist()]
+    try:
+        n = held[0].count()
+        wanted = min(cores, 1 + n // MIN_ROWS_PER_PARTITION)
+        have = held[0].rdd.getNumPartitions()
+        if have < wanted:
+            held.append(held[0].repartition(wanted).persist())
+        elif have > wanted and n < cores * MIN_ROWS_PER_PARTITION:
+            held.append(held[0].coalesce(wanted).persist())
+        yield held[-1]
+    finally:
+        for h in held:
+            h.unpersist()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder next to the checkpoints, readable by every executor."""
     ensure_checkpoint_dir(spark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, row_number
 from ..functions.quantiles import quantiles
-from ..functions.runtime import col, cut_lineage, unit_position
+from ..functions.runtime import col, cut_lineage, kept, unit_position
 from .agreement import ari
 from .neighbors import (
     _matrix, as_points, choose_pivots, compare_blocks, components, distinct_points, k_distance,
@@ -27,6 +29,7 @@ SUBTRACTIVE_RA, SUBTRACTIVE_RB = 2.2, 3.3
 ACCEPT_RATIO, REJECT_RATIO, MAX_CENTRES = 0.5, 0.22, 50
 SCORE_SILHOUETTE, SCORE_BALANCE, SCORE_NOISE = 0.6, 0.3, 0.1
 
+RESTARTS_AT_ONCE = 4
 MAX_BROADCAST_DOUBLES = 2**24  # 128 MB
 
 
@@ -40,16 +43,13 @@ def kmeans(df: DataFrame, k: int, cols: list[str] | None = None, vec: str | None
            seed: int = 0, max_iter: int = 300, tol: float = 1e-4, out: str = "cluster"):
     """Best of ``n_init`` seeded runs by inertia. Returns (rows with label, centres, inertia)."""
     rows = _vectors(df, cols, vec)
-    features = rows.select("__features").persist()
-    try:
-        best = None
-        for i in range(n_init):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="__features", predictionCol=out).fit(features)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
-    finally:
-        features.unpersist()
+
+    def run(i: int):
+        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="__features", predictionCol=out).fit(features)
+        return model.summary.trainingCost, i, model
+    with kept(rows.select("__features")) as features, ThreadPoolExecutor(RESTARTS_AT_ONCE) as pool:
+        best = min(pool.map(run, range(n_init)), key=lambda r: r[:2])
+    best = (best[0], best[2])
     labelled = best[1].transform(rows).drop("__features")
     return labelled, [list(map(float, c)) for c in best[1].clusterCenters()], float(best[0])
 
@@ -220,15 +220,12 @@ def fuzzy_cmeans(df: DataFrame, key: str, c: int, cols: list[str] | None = None,
     if start is None:
         start = [r["vec"] for r in points.orderBy(unit_position(["id"], seed), "id").limit(c).collect()]
     centres, before = np.array(start, dtype=float), None
-    cached = points.persist()
-    try:
+    with kept(points) as cached:
         for used in range(1, rounds + 1):
             new, change = _fuzzy_pass(cached, centres, before, m)
             before, centres = centres, new
             if change is not None and change < error:
                 break
-    finally:
-        cached.unpersist()
     final = before if before is not None else centres
     return _with_memberships(points, key, final, m), final.tolist(), used
 

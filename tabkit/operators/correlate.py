@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ordered import in_order, running_sum
-from ..functions.runtime import col, rows_from
+from ..functions.runtime import col, cut_lineage, rows_from
 
 # Levels of a strong and a moderate correlation.
 STRONG = 0.7
@@ -20,7 +20,7 @@ def average_ranks(df: DataFrame, name: str, rows_per_task: int | None = None) ->
     """One row per distinct value: ``value``, ``n`` and its average rank (ties share it)."""
     counts = df.where(col(name).isNotNull()).groupBy(col(name).cast("double").alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    summed = in_order(counts, [], ["value"], {"upto": running_sum(F.col("n"))}, rows_per_task)
+    summed = in_order(cut_lineage(counts), [], ["value"], {"upto": running_sum(F.col("n"))}, rows_per_task)
     return summed.select("value", "n", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, row_number
-from ..functions.runtime import col
+from ..functions.runtime import col, cut_lineage
 from .params import Params
 from .profile import levels
 
@@ -39,7 +39,7 @@ def fit_label(df: DataFrame, name: str, null_label: str | None = None, start: in
     text = F.trim(col(name).cast("string"))
     value = F.coalesce(text, F.lit(null_label)) if null_label is not None else text
     values = df.select(value.alias("value")).where(F.col("value").isNotNull()).distinct()
-    numbered = in_order(values, [], ["value"], {"code": row_number()}, rows_per_task)
+    numbered = in_order(cut_lineage(values), [], ["value"], {"code": row_number()}, rows_per_task)
     return numbered.withColumn("code", F.col("code") - 1 + start)
 
 
@@ -88,7 +88,7 @@ def factorize(df: DataFrame, name: str, order: list[str], out: str | None = None
     first = (df.where(col(name).isNotNull()).groupBy(col(name).alias("value"))
              .agg(F.min(order_key(df, order)).alias("__f")))
     flat = first.select("value", *[F.col("__f")[f"o{i}"].alias(f"__o{i}") for i in range(len(order))])
-    numbered = in_order(flat, [], [f"__o{i}" for i in range(len(order))], {"code": row_number()}, rows_per_task)
+    numbered = in_order(cut_lineage(flat), [], [f"__o{i}" for i in range(len(order))], {"code": row_number()}, rows_per_task)
     codes = numbered.select(F.col("value").alias("__value"), (F.col("code") - 1).alias("__code"))
     joined = df.join(codes, df[name] == codes["__value"], "left").drop("__value")
     return joined.withColumn(out or f"{name}_code", F.coalesce("__code", F.lit(-1))).drop("__code")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, previous, running_sum
 from ..functions.quantiles import quantiles
-from ..functions.runtime import col, rows_from
+from ..functions.runtime import col, cut_lineage, rows_from
 from ..functions.scalars import PROB_FLOOR, clip
 
 # Thresholds always tried, score quantiles tried, weights of the selection score.
@@ -107,7 +107,7 @@ def score_curve(df: DataFrame, y: str = "y", prob: str = "prob", rows_per_task:
     """Per distinct score, highest first: positives and negatives at it and at or above it."""
     counts = df.groupBy((-col(prob)).alias("__down")).agg(
         F.count_if(col(y) == 1).alias("pos"), F.count_if(col(y) == 0).alias("neg"))
-    cum = in_order(counts, [], ["__down"], {"tp": running_sum(F.col("pos")), "fp": running_sum(F.col("neg"))}, rows_per_task)
+    cum = in_order(cut_lineage(counts), [], ["__down"], {"tp": running_sum(F.col("pos")), "fp": running_sum(F.col("neg"))}, rows_per_task)
     return cum.select((-F.col("__down")).alias("score"), "pos", "neg", "tp", "fp")
 
 
@@ -141,7 +141,7 @@ def threshold_candidates(df: DataFrame, prob: str = "prob", rows_per_task: int |
     q = quantiles(df, [prob], SCORE_QUANTILES)[prob] or []
     fixed = sorted({0.5, *BASE_THRESHOLDS, *[round(v, 3) for v in q]})
     scores = df.select(F.bround(col(prob), 6).alias("s")).where(F.col("s").isNotNull()).distinct()
-    mids = in_order(scores, [], ["s"], {"p": previous(F.col("s"))}, rows_per_task).where("p is not null") \
+    mids = in_order(cut_lineage(scores), [], ["s"], {"p": previous(F.col("s"))}, rows_per_task).where("p is not null") \
         .select(F.bround((F.col("s") + F.col("p")) / 2, 6).alias("threshold"))
     given = df.sparkSession.createDataFrame([(float(v),) for v in fixed], "threshold double")
     return mids.union(given).distinct()
@@ -160,7 +160,7 @@ def sweep(df: DataFrame, candidates: DataFrame, y: str = "y", prob: str = "prob"
     marks = candidates.select((-F.col("threshold")).alias("d"), F.lit(0).cast("long").alias("pos"),
                               F.lit(0).cast("long").alias("neg"), F.lit(1).alias("c"))
     points = scores.unionByName(marks).groupBy("d").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.max("c").alias("c"))
-    cum = in_order(points, [], ["d"], {"__tp": running_sum(F.col("pos")), "__fp": running_sum(F.col("neg"))}, rows_per_task)
+    cum = in_order(cut_lineage(points), [], ["d"], {"__tp": running_sum(F.col("pos")), "__fp": running_sum(F.col("neg"))}, rows_per_task)
     totals = df.agg(F.struct(F.count_if(col(y) == 1).alias("p"), F.count_if(col(y) == 0).alias("n"))).scalar()
     rows = cum.where("c = 1").withColumn("__all", totals).withColumns({"__pos": F.col("__all.p"), "__neg": F.col("__all.n")})
     rates = _rates(F.col("__tp"), F.col("__fp"), F.col("__pos"), F.col("__neg"))

@@ -6,7 +6,7 @@ import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
@@ -20,7 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.runtime import col
+from ..functions.runtime import col, cut_lineage, kept
 from ..functions.scalars import to_class
 from .features import polynomial
 from .metrics import class_metrics, clipped, evaluate, select_threshold, selection_score
@@ -29,6 +29,7 @@ from .scale import apply_scaler, fit_scaler
 from .split import kfold
 
 FEATURES, WEIGHT = "features", "__weight"
+TREE_MEMORY_MB = 1024  # more memory per pass, fewer passes over the rows per tree level
 
 # Weight of the validation and the cross-validation score in the tree search.
 VALID_SHARE, CV_SHARE, CV_BRIER = 0.55, 0.45, 0.5
@@ -50,13 +51,18 @@ def add_weights(df: DataFrame, label: str, weights: dict | str | None) -> DataFr
     return df.withColumn(WEIGHT, out)
 
 
-def _fit(estimator, train: DataFrame, cols: list[str], label: str, weights) -> PipelineModel:
-    """Fit on assembled and weighted rows; the result takes plain columns."""
-    ready = add_weights(train.where(col(label).isNotNull()), label, weights)
+def _fit(estimator, train: DataFrame, cols: list[str], label: str, weights, passes: int = 2) -> PipelineModel:
+    """Fit on assembled and weighted rows; the result takes plain columns. Rows are kept when the
+    estimator passes over them more than once."""
     stage = VectorAssembler(inputCols=list(cols), outputCol=FEATURES)
+    rows = train.where(col(label).isNotNull()).select(*[col(c) for c in dict.fromkeys([*cols, label])])
+    ready = stage.transform(add_weights(rows, label, weights)).select(FEATURES, label, WEIGHT)
     if estimator.hasParam("weightCol") and weights is not None:
         estimator = estimator.copy({estimator.weightCol: WEIGHT})
-    return Pipeline(stages=[stage, estimator]).fit(ready)
+    if passes == 1:
+        return PipelineModel([stage, estimator.fit(ready)])
+    with kept(ready) as held:
+        return PipelineModel([stage, estimator.fit(held)])
 
 
 def tree_classifier(train: DataFrame, cols: list[str], label: str, depth: int = 10, criterion: str = "gini",
@@ -76,7 +82,7 @@ def logistic(train: DataFrame, cols: list[str], label: str, c: float = 1.0, weig
 
 
 def linear(train: DataFrame, cols: list[str], label: str) -> PipelineModel:
-    return _fit(LinearRegression(labelCol=label, featuresCol=FEATURES, regParam=0.0, solver="normal"), train, cols, label, None)
+    return _fit(LinearRegression(labelCol=label, featuresCol=FEATURES, regParam=0.0, solver="normal"), train, cols, label, None, 1)
 
 
 def ridge(train: DataFrame, cols: list[str], label: str, alpha: float = 1.0) -> PipelineModel:
@@ -84,7 +90,7 @@ def ridge(train: DataFrame, cols: list[str], label: str, alpha: float = 1.0) ->
     label's standard deviation, hence the factor."""
     n, spread = train.where(col(label).isNotNull()).agg(F.count(F.lit(1)), F.stddev_pop(col(label))).first()
     return _fit(LinearRegression(labelCol=label, featuresCol=FEATURES, regParam=alpha * spread / n, elasticNetParam=0.0,
-                                 standardization=False, solver="normal"), train, cols, label, None)
+                                 standardization=False, solver="normal"), train, cols, label, None, 1)
 
 
 def lasso(train: DataFrame, cols: list[str], label: str, alpha: float = 1.0) -> PipelineModel:
@@ -116,8 +122,8 @@ def polynomial_logistic(train: DataFrame, cols: list[str], label: str, degree: i
 def forest(train: DataFrame, cols: list[str], label: str, trees: int = 100, depth: int = 10, min_leaf: int = 1,
            regression: bool = False, weights=None, seed: int = 42) -> PipelineModel:
     kind = RandomForestRegressor if regression else RandomForestClassifier
-    return _fit(kind(labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed),
-                train, cols, label, weights)
+    return _fit(kind(labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
+                     cacheNodeIds=True, maxMemoryInMB=TREE_MEMORY_MB), train, cols, label, weights)
 
 
 def gbt(train: DataFrame, cols: list[str], label: str, trees: int = 100, depth: int = 3, rate: float = 0.1,
@@ -188,15 +194,13 @@ def cross_validate(estimator, maps: list, train: DataFrame, cols: list[str], lab
     if stratify is None and regression:
         rows = rows.withColumn("__all", F.lit(0))
     folded = kfold(rows, key, stratify or ("__all" if regression else label), folds, seed)
-    ready = assemble(folded, cols).select(FEATURES, col(label).cast("double").alias("label"), "fold").persist()
+    ready = assemble(folded, cols).select(FEATURES, col(label).cast("double").alias("label"), "fold")
     metric = (RegressionEvaluator(labelCol="label", metricName="r2") if regression
               else MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy"))
     est = estimator.copy({estimator.labelCol: "label", estimator.featuresCol: FEATURES})
-    try:
+    with kept(ready) as held:
         model = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=metric, numFolds=folds, foldCol="fold",
-                               parallelism=parallelism, seed=seed).fit(ready)
-    finally:
-        ready.unpersist()
+                               parallelism=parallelism, seed=seed).fit(held)
     table = [(", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(s), float(d))
              for m, s, d in zip(maps, model.avgMetrics, model.stdMetrics)]
     return model.bestModel, train.sparkSession.createDataFrame(table, "params string, mean_score double, std_score double") \
@@ -223,7 +227,7 @@ def random_search(train: DataFrame, cols: list[str], label: str, key: list[str],
     regression = kind != "logistic"
     rows = train.where(col(label).isNotNull())
     folded = kfold(rows.withColumn("__all", F.lit(0)) if regression else rows, key, "__all" if regression else label, folds, seed) \
-        .select(*[col(c) for c in cols], col(label).cast("double").alias(label), "fold").persist()
+        .select(*[col(c) for c in cols], col(label).cast("double").alias(label), "fold")
 
     def one(pair):
         degree, strength = pair
@@ -237,19 +241,15 @@ def random_search(train: DataFrame, cols: list[str], label: str, key: list[str],
                 out = polynomial_logistic(fit, cols, label, degree, strength)[0](held)
                 scores.append(MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy").evaluate(out))
         return degree, strength, sum(scores) / folds
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            table = list(pool.map(one, drawn))
-    finally:
-        folded.unpersist()
+    with kept(folded) as folded, ThreadPoolExecutor(parallelism) as pool:
+        table = list(pool.map(one, drawn))
     return train.sparkSession.createDataFrame(table, "degree int, strength double, mean_score double") \
         .orderBy(F.desc("mean_score"), "degree", "strength")
 
 
 def out_of_fold(train: DataFrame, cols: list[str], label: str, key: list[str], folds: int = 4, seed: int = 42, **tree) -> DataFrame:
     """(y, prob) of every training row from the model that did not see it."""
-    folded = kfold(train, key, label, folds, seed).persist()
-    try:
+    with kept(kfold(train, key, label, folds, seed)) as folded:
         parts = []
         for f in range(folds):
             model = tree_classifier(folded.where(F.col("fold") != f), cols, label, **tree)
@@ -257,9 +257,7 @@ def out_of_fold(train: DataFrame, cols: list[str], label: str, key: list[str], f
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        return out.select("y", "prob")
-    finally:
-        folded.unpersist()
+        return cut_lineage(out.select("y", "prob"))
 
 
 def search_tree(train: DataFrame, valid: DataFrame, cols: list[str], label: str, key: list[str], options: dict[str, list],
@@ -276,7 +274,7 @@ def search_tree(train: DataFrame, valid: DataFrame, cols: list[str], label: str,
         tree = dict(zip(names, values))
         oof = out_of_fold(train, cols, label, key, folds, seed, **tree)
         cv = selection_score(evaluate(oof, select_threshold(oof)).withColumn("brier", F.lit(CV_BRIER))).first()
-        held = score(tree_classifier(train, cols, label, **tree), valid, label)
+        held = cut_lineage(score(tree_classifier(train, cols, label, **tree), valid, label))
         t = select_threshold(held)
         v = selection_score(evaluate(held, t)).first()
         total = VALID_SHARE * v["selection_score"] + CV_SHARE * cv["selection_score"]
@@ -293,16 +291,13 @@ def search_tree(train: DataFrame, valid: DataFrame, cols: list[str], label: str,
 def cv_report(fit, df: DataFrame, label: str, key: list[str], folds: int = 5, seed: int = 42) -> DataFrame:
     """Mean and std (n) over folds of accuracy and macro F1. ``fit`` takes training rows and gives a
     function from rows to rows with ``prediction``."""
-    folded = kfold(df, key, label, folds, seed).persist()
-    try:
-        rows = []
+    rows = []
+    with kept(kfold(df, key, label, folds, seed)) as folded:
         for f in range(folds):
             predict = fit(folded.where(F.col("fold") != f))
             out = predict(folded.where(F.col("fold") == f)).select(col(label).cast("double").alias("y"), F.col("prediction").alias("pred"))
             m = class_metrics(out, "macro").first()
             rows.append((f, m["accuracy"], m["f1"]))
-    finally:
-        folded.unpersist()
     table = df.sparkSession.createDataFrame(rows, "fold int, accuracy double, f1 double")
     return table.agg(F.avg("accuracy").alias("accuracy_mean"), F.stddev_pop("accuracy").alias("accuracy_std"),
                      F.avg("f1").alias("f1_mean"), F.stddev_pop("f1").alias("f1_std"), F.count(F.lit(1)).alias("n_folds"))

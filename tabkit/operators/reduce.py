@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce as fold
 
+import numpy as np
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from ..functions.runtime import col
 from .profile import describe
 
 
+WIDE = 24  # beyond this many columns Spark ML builds the covariance matrix
+
+
 @dataclass(frozen=True)
 class Components:
     cols: list[str]
@@ -36,16 +40,30 @@ class Components:
 def fit_pca(df: DataFrame, cols: list[str], k: int) -> Components:
     """Sign rule: the loading of largest absolute value is positive."""
     rows = df.select(*[col(c).cast("double").alias(c) for c in cols]).na.drop()
-    means = list(rows.agg(*[F.avg(col(c)) for c in cols]).first())
-    centred = rows.select(*[(col(c) - F.lit(m)).alias(f"x{i}") for i, (c, m) in enumerate(zip(cols, means))])
-    vectors = VectorAssembler(inputCols=centred.columns, outputCol="v").transform(centred).select("v")
-    model = PCA(k=k, inputCol="v", outputCol="s").fit(vectors)
-    loadings = []
-    for j in range(k):
-        w = [float(model.pc[i, j]) for i in range(len(cols))]
-        sign = -1.0 if max(w, key=abs) < 0 else 1.0
-        loadings.append([sign * x for x in w])
-    return Components(list(cols), means, loadings, [float(x) for x in model.explainedVariance.toArray()])
+    d = len(cols)
+    if d <= WIDE:
+        means, axes, ratios = _from_covariances(rows, cols)
+    else:
+        means = list(rows.agg(*[F.avg(col(c)) for c in cols]).first())
+        centred = rows.select(*[(col(c) - F.lit(m)).alias(f"x{i}") for i, (c, m) in enumerate(zip(cols, means))])
+        model = PCA(k=k, inputCol="v", outputCol="s").fit(VectorAssembler(inputCols=centred.columns, outputCol="v").transform(centred).select("v"))
+        axes = [[float(model.pc[i, j]) for i in range(d)] for j in range(k)]
+        ratios = [float(x) for x in model.explainedVariance.toArray()]
+    loadings = [[(-1.0 if max(w, key=abs) < 0 else 1.0) * x for x in w] for w in axes[:k]]
+    return Components(list(cols), means, loadings, ratios[:k])
+
+
+def _from_covariances(rows: DataFrame, cols: list[str]) -> tuple[list[float], list[list[float]], list[float]]:
+    """Means, axes and variance shares from one aggregate; the d x d matrix is solved on the driver."""
+    d = len(cols)
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    row = rows.agg(*[F.avg(col(c)) for c in cols], *[F.covar_samp(col(cols[i]), col(cols[j])) for i, j in pairs]).first()
+    cov = np.zeros((d, d))
+    for (i, j), v in zip(pairs, row[d:]):
+        cov[i, j] = cov[j, i] = v
+    values, vectors = np.linalg.eigh(cov)
+    order = np.argsort(values)[::-1]
+    return list(row[:d]), [vectors[:, j].tolist() for j in order], [float(values[j] / values.sum()) for j in order]
 
 
 def pca(df: DataFrame, cols: list[str], k: int = 2) -> DataFrame:

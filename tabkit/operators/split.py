@@ -42,7 +42,7 @@ def _cut_points(df: DataFrame, key: list[str], label: str, wanted: dict, seed: i
         wide = df.select(col(label).alias("__y"), unit_position(key, seed).alias("__u")).select(*[
             F.when(F.col("__y").eqNullSafe(F.lit(c)), F.col("__u")).alias(f"u{i}") for i, c in enumerate(some)])
         stats = order_statistics(wide, {f"u{i}": wanted[c][1] for i, c in enumerate(some)},
-                                 {f"u{i}": wanted[c][0] for i, c in enumerate(some)}, None, limit)
+                                 {f"u{i}": wanted[c][0] for i, c in enumerate(some)}, limit)
         for i, c in enumerate(some):
             out[c] = stats[f"u{i}"]
     return out
