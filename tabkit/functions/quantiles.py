@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .runtime import col, q
 
-VALUES_PER_TASK = 20_000
+VALUES_PER_TASK = 200_000
 SKETCH_ACCURACY = 10_000
+CUTS_PER_PASS = 45  # two counts each: Spark compiles aggregates of up to 100 fields
 
 
 @dataclass
@@ -93,13 +94,16 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
     groups = list(same.values())
     sketches = df.agg(*[F.percentile_approx(g[0].value(), [p for b in g for p in _fractions(b)], SKETCH_ACCURACY) for g in groups]).first()
     tried = [(b, values[2 * i], values[2 * i + 1]) for g, values in zip(groups, sketches) for i, b in enumerate(g)]
-    exprs = []
+    cuts = sorted({(b.name, v) for b, low, high in tried for v in (low, high)})
+    below_of, at_of = {}, {}
+    for at in range(0, len(cuts), CUTS_PER_PASS):
+        part = cuts[at:at + CUTS_PER_PASS]
+        row = df.agg(*[e for n, v in part for e in (F.count_if(col(n) < v), F.count_if(col(n) == v))]).first()
+        for i, cut in enumerate(part):
+            below_of[cut], at_of[cut] = row[2 * i], row[2 * i + 1]
     for b, low, high in tried:
-        c = col(b.name)
-        exprs += [F.count_if(c < low), F.count_if(c == low), F.count_if((c > low) & (c < high)), F.count_if(c == high)]
-    row = df.agg(*exprs).first()
-    for i, (b, low, high) in enumerate(tried):
-        below, at_low, inside, at_high = row[4 * i:4 * i + 4]
+        below, at_low = below_of[b.name, low], at_of[b.name, low]
+        inside, at_high = below_of[b.name, high] - below - at_low, at_of[b.name, high]
         for r in b.open_ranks():
             if below <= r < below + at_low:
                 b.found[r] = low

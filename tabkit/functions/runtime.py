@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-MIN_ROWS_PER_PARTITION = 10_000
+MIN_ROWS_PER_PARTITION = 25_000
+BROADCAST_ROWS = 10_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -53,6 +54,13 @@ def kept(df: DataFrame):
             h.unpersist()
 
 
+def bounded(df: DataFrame, cap: int = BROADCAST_ROWS) -> DataFrame:
+    """The lookup side of a join: written once and counted, broadcast when it is small, and
+    otherwise joined as Spark sees fit (adaptive execution splits hot keys)."""
+    table = cut_lineage(df)
+    return F.broadcast(table) if table.count() <= cap else table
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder next to the checkpoints, readable by every executor."""
     ensure_checkpoint_dir(spark)

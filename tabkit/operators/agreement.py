@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.runtime import col
+from ..functions.runtime import bounded, col
 from .profile import error_by_group
 
 # Purity bands of the verdict and the guard inside the balance logarithm.
@@ -98,9 +98,9 @@ def majority_map(df: DataFrame, truth: str, cluster: str) -> DataFrame:
 
 def majority_errors(df: DataFrame, truth: str, cluster: str, unit: str) -> DataFrame:
     """Error share per unit when each cluster predicts its majority class."""
-    mapped = majority_map(df, truth, cluster)
-    flagged = df.join(mapped, df[cluster] == mapped["cluster"]).select(
-        df[unit], (df[truth] != mapped["majority"]).cast("int").alias("error"))
+    mapped = majority_map(df, truth, cluster).select(F.col("cluster").alias("__cluster"), "majority")
+    flagged = df.join(bounded(mapped), df[cluster] == F.col("__cluster")).select(
+        df[unit], (df[truth] != F.col("majority")).cast("int").alias("error"))
     return error_by_group(flagged, unit, "error")
 
 

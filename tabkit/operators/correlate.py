@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ordered import in_order, running_sum
-from ..functions.runtime import col, cut_lineage, rows_from
+from ..functions.runtime import bounded, col, cut_lineage, rows_from
 
 # Levels of a strong and a moderate correlation.
 STRONG = 0.7
@@ -30,7 +30,7 @@ def with_ranks(df: DataFrame, cols: list[str], rows_per_task: int | None = None)
     out = df
     for i, c in enumerate(cols):
         ranks = average_ranks(df, c, rows_per_task).select(F.col("value").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
-        out = out.join(ranks, out[c].cast("double") == ranks[f"__v{i}"], "left").drop(f"__v{i}")
+        out = out.join(bounded(ranks), out[c].cast("double") == F.col(f"__v{i}"), "left").drop(f"__v{i}")
     return out.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else col(c) for c in df.columns])
 
 

@@ -18,7 +18,8 @@ def count_duplicates(df: DataFrame, subset: list[str] | None = None) -> DataFram
 
 def flag_duplicates(df: DataFrame, subset: list[str], order: list[str], name: str = "is_duplicate") -> DataFrame:
     """True on every row after the first of its group in ``order`` (which must be unique)."""
-    key = order_key(df, order)
+    whole = order_key(df, order)
+    key = whole if len(order) > 1 else whole["o0"]  # one plain column keeps the aggregate hash based
     first = df.groupBy(*[col(c).alias(f"__k{i}") for i, c in enumerate(subset)]).agg(F.min(key).alias("__first"))
     on = same_keys(df, first, [(c, f"__k{i}") for i, c in enumerate(subset)])
     return df.join(first, on, "left").select(*[df[c] for c in df.columns], (key > F.col("__first")).alias(name))

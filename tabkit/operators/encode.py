@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, row_number
-from ..functions.runtime import col, cut_lineage
+from ..functions.runtime import bounded, col, cut_lineage
 from .params import Params
 from .profile import levels
 
@@ -49,7 +49,7 @@ def apply_label(df: DataFrame, name: str, codes: DataFrame, out: str | None = No
     text = F.trim(col(name).cast("string"))
     value = F.coalesce(text, F.lit(null_label)) if null_label is not None else text
     table = codes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
-    joined = df.withColumn("__text", value).join(table, F.col("__text") == F.col("__value"), "left")
+    joined = df.withColumn("__text", value).join(bounded(table), F.col("__text") == F.col("__value"), "left")
     code = F.coalesce(F.col("__code"), F.lit(unknown).cast("long")) if unknown is not None else F.col("__code")
     target = out or name
     keep = [col(c) for c in df.columns if c != target]
@@ -90,5 +90,5 @@ def factorize(df: DataFrame, name: str, order: list[str], out: str | None = None
     flat = first.select("value", *[F.col("__f")[f"o{i}"].alias(f"__o{i}") for i in range(len(order))])
     numbered = in_order(cut_lineage(flat), [], [f"__o{i}" for i in range(len(order))], {"code": row_number()}, rows_per_task)
     codes = numbered.select(F.col("value").alias("__value"), (F.col("code") - 1).alias("__code"))
-    joined = df.join(codes, df[name] == codes["__value"], "left").drop("__value")
+    joined = df.join(bounded(codes), df[name] == F.col("__value"), "left").drop("__value")
     return joined.withColumn(out or f"{name}_code", F.coalesce("__code", F.lit(-1))).drop("__code")

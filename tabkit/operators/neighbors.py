@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.runtime import col, cut_lineage
 
 BLOCK = 2_048
-ROWS_PER_PIVOT = 4_096
+ROWS_PER_PIVOT = 2_048
 MAX_PIVOTS = 16_384
 SLACK = 1e-9
 DIRECT_DIMS = 8

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import grouped_quantiles, quantile_columns
-from ..functions.runtime import col, rows_from
+from ..functions.runtime import bounded, col, rows_from
 
 PIVOT_CAP = 1_000
 
@@ -208,8 +208,7 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str | None = None, k: floa
         fences = quart.select(col(by).alias("__by"), *[
             F.struct(col(c)[0].alias("q1"), col(c)[1].alias("q2"), col(c)[2].alias("q3")).alias(f"f{i}")
             for i, c in enumerate(cols)])
-        # one row per class on the right: sent to the tasks only when Spark sees it is small
-        joined = rows.join(fences, rows[by].eqNullSafe(fences["__by"]))
+        joined = rows.join(bounded(fences), rows[by].eqNullSafe(F.col("__by")))  # one row per class
         keys = [F.col("__by")]
     else:
         found = quantile_columns(rows, cols, [0.25, 0.5, 0.75], limit)
@@ -222,13 +221,15 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str | None = None, k: floa
         f = F.col(f"f{i}")
         iqr = f["q3"] - f["q1"]
         outside = (col(c) < f["q1"] - k * iqr) | (col(c) > f["q3"] + k * iqr)
-        aggs += [F.count(col(c)).alias(f"n{i}"), F.any_value(f).alias(f"q{i}"), F.count_if(outside).alias(f"o{i}")]
+        # plain doubles, not the struct: they keep the aggregate hash based
+        aggs += [F.count(col(c)).alias(f"n{i}"), *[F.first(f[s]).alias(f"{s}_{i}") for s in ("q1", "q2", "q3")],
+                 F.count_if(outside).alias(f"o{i}")]
     agg = joined.groupBy(*keys).agg(*aggs)
     return agg.select(*([F.col("__by").alias(by)] if by else []), rows_from([
-        F.struct(F.lit(c).alias("column"), F.col(f"q{i}.q1").alias("q1"), F.col(f"q{i}.q2").alias("median"),
-                 F.col(f"q{i}.q3").alias("q3"),
-                 (F.col(f"q{i}.q1") - k * (F.col(f"q{i}.q3") - F.col(f"q{i}.q1"))).alias("lower"),
-                 (F.col(f"q{i}.q3") + k * (F.col(f"q{i}.q3") - F.col(f"q{i}.q1"))).alias("upper"),
+        F.struct(F.lit(c).alias("column"), F.col(f"q1_{i}").alias("q1"), F.col(f"q2_{i}").alias("median"),
+                 F.col(f"q3_{i}").alias("q3"),
+                 (F.col(f"q1_{i}") - k * (F.col(f"q3_{i}") - F.col(f"q1_{i}"))).alias("lower"),
+                 (F.col(f"q3_{i}") + k * (F.col(f"q3_{i}") - F.col(f"q1_{i}"))).alias("upper"),
                  F.col(f"o{i}").alias("n_outliers"),
                  F.try_divide(100.0 * F.col(f"o{i}"), F.col(f"n{i}")).alias("pct_outliers"))
         for i, c in enumerate(cols)]))

@@ -10,7 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.runtime import col, unit_position
+from ..functions.runtime import bounded, col, unit_position
 from .agreement import cluster_balance
 from .cluster import MAX_BROADCAST_DOUBLES, against_all, cluster_counts
 from .neighbors import _matrix, square_distances
@@ -82,7 +82,7 @@ def davies_bouldin(df: DataFrame, cluster: str, cols: list[str] | None = None, v
     """Mean over clusters of the worst (spread + spread) / centroid distance; null with one cluster."""
     rows = _labelled(df, cluster, cols, vec)
     cent = _centroids(rows)
-    spread = (rows.join(cent.select(F.col("cluster").alias("c"), "centroid"), F.col("cluster") == F.col("c"))
+    spread = (rows.join(bounded(cent.select(F.col("cluster").alias("c"), "centroid")), F.col("cluster") == F.col("c"))
               .groupBy("c").agg(F.avg(F.sqrt(_square("vec", "centroid"))).alias("s"), F.first("centroid").alias("v")))
     model = spread.toPandas()  # one row per cluster
     if len(model) < 2:
