@@ -25,8 +25,10 @@ RANGE = "__range"
 def _sortable(df: DataFrame, name: str) -> Column:
     """Order column as a type that survives JSON exactly."""
     kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(name).cast("timestamp"))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(F.col(name))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.col(name).cast("string")  # ISO text sorts like the time and knows no time zone
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(name))
     if isinstance(kind, T.BooleanType):

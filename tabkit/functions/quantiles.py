@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .runtime import col, q
 
 VALUES_PER_TASK = 200_000
+VALUES_PER_PASS = 1_000_000  # over all columns of one aggregate
 SKETCH_ACCURACY = 10_000
 CUTS_PER_PASS = 45  # two counts each: Spark compiles aggregates of up to 100 fields
 
@@ -78,8 +79,11 @@ def _read_off(df: DataFrame, brackets: list[_Bracket]) -> None:
     for b in brackets:
         same.setdefault((b.name, b.low, b.high), []).append(b)
     groups = list(same.values())
-    for at in range(0, len(groups), 100):
-        part = groups[at:at + 100]
+    while groups:
+        part, total = [], 0
+        while groups and len(part) < 100 and (not part or total + groups[0][0].inside <= VALUES_PER_PASS):
+            total += groups[0][0].inside
+            part.append(groups.pop(0))
         sorted_values = df.agg(*[F.sort_array(F.collect_list(g[0].value())).alias(f"v{i}") for i, g in enumerate(part)])
         picks = [(b, r, i) for i, g in enumerate(part) for b in g for r in b.open_ranks()]
         row = sorted_values.select(*[F.get(f"v{i}", F.lit(r - b.base)) for b, r, i in picks]).first()
@@ -129,7 +133,7 @@ def quantile_columns(df: DataFrame, cols: list[str], probs: list[float],
 
     An aggregate where the size check allows it, otherwise the values found by narrowing.
     """
-    cap = limit or VALUES_PER_TASK
+    cap = limit or max(20_000, min(VALUES_PER_TASK, VALUES_PER_PASS // max(1, len(cols))))
     counts = dict(zip(cols, df.agg(*[F.count(col(c)) for c in cols]).first()))
     out = {c: F.expr(f"percentile({q(c)}, array({', '.join(f'{p!r}D' for p in probs)}))")
            for c in cols if counts[c] <= cap}
