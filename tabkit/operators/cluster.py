@@ -111,61 +111,85 @@ def dbscan(df: DataFrame, key: str, eps: float, min_samples: int, cols: list[str
     """(key, cluster): a core row has ``min_samples`` rows within eps, itself included; clusters are
     the connected core rows, numbered by their smallest core key; a border row takes the smallest
     cluster it touches; all others are -1."""
+    labels = density_labels(df, key, [eps], min_samples, cols, vec, rows_per_pivot, block)
+    return labels.select(key, F.col("cluster").alias(out))
+
+
+def density_labels(df: DataFrame, key: str, radii: list[float], min_samples: int, cols: list[str] | None = None,
+                   vec: str | None = None, rows_per_pivot: int | None = None, block: int | None = None) -> DataFrame:
+    """(key, radius, cluster) for several radii. Blocks that cover the largest radius cover all,
+    so the rows are compared once for the counts and once for the links."""
     points = as_points(df, key, cols, vec)
     single = cut_lineage(distinct_points(points))
     pivots = choose_pivots(single, rows_per_pivot)
-    counts = neighbour_counts(single, eps, pivots, block)
-    marked = cut_lineage(single.join(counts.select("id", (F.col("n") >= min_samples).alias("core")), "id"))
-    core = marked.where("core")
     kind = single.schema["id"].dataType.simpleString()
-    links = cut_lineage(compare_blocks(marked, core, pivots, eps, _links(eps), f"u {kind}, v {kind}, border boolean", block))
-    root = components(links.where("not border").select("u", "v"))
-    cores = core.select("id").join(root, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-    numbers = in_order(cores.select("root").distinct(), [], ["root"], {"__n": row_number()})
-    labels = cut_lineage(cores.join(numbers, "root").select("id", (F.col("__n") - 1).cast("int").alias("c")))
-    edge = (links.where("border").join(labels, F.col("v") == labels["id"])
-            .groupBy(F.col("u").alias("id")).agg(F.min("c").alias("c")))
-    known = single.join(labels.unionByName(edge), "id", "left").select("vec", F.coalesce("c", F.lit(-1)).alias(out))
-    return points.join(known, "vec").select(F.col("id").alias(key), out)
-
-
-def _links(eps: float):
+    counts = neighbour_counts(single, radii, pivots, block)
+    marked = cut_lineage(single.join(counts.select("id", F.transform("n", lambda n: n >= min_samples).alias("core")), "id"))
+    any_core = marked.where(F.exists("core", lambda c: c))
+    links = cut_lineage(compare_blocks(marked, any_core, pivots, max(radii), _links(radii),
+                                       f"e int, u {kind}, v {kind}, border boolean", block))
+    node = (lambda c: F.struct("e", F.col(c).alias("id"))) if len(radii) > 1 else F.col
+    root = components(links.where("not border").select(node("u").alias("u"), node("v").alias("v")))
+    if len(radii) > 1:
+        root = root.select("id.e", "id.id", F.col("root.id").alias("root"))
+    else:
+        root = root.select(F.lit(0).alias("e"), "id", "root")
+    cores = marked.select("id", F.posexplode("core").alias("e", "core")).where("core").select("e", "id")
+    cores = cores.join(root, ["e", "id"], "left").select("e", "id", F.coalesce("root", "id").alias("root"))
+    numbers = in_order(cut_lineage(cores.select("e", "root").distinct()), ["e"], ["root"], {"__n": row_number()})
+    labels = cut_lineage(cores.join(numbers, ["e", "root"]).select("e", "id", (F.col("__n") - 1).cast("int").alias("c")))
+    touched = labels.select("e", F.col("id").alias("v"), "c")
+    edge = links.where("border").join(touched, ["e", "v"]).groupBy("e", F.col("u").alias("id")).agg(F.min("c").alias("c"))
+    every = single.select("id", "vec", F.posexplode(F.array(*[F.lit(float(r)) for r in radii])).alias("e", "radius"))
+    known = every.join(labels.unionByName(edge), ["e", "id"], "left").select("vec", "radius", F.coalesce("c", F.lit(-1)).alias("cluster"))
+    return points.join(known, "vec").select(F.col("id").alias(key), "radius", "cluster")
+
+
+def _links(radii: list[float]):
     """Core rows: star edges of a spanning forest inside the two blocks. Border rows: their core neighbours."""
     def links(x, y):
-        us, vs, border = [], [], []
+        es, us, vs, border = [], [], [], []
         if len(x) and len(y):
-            near = within(_matrix(x["vec"]), _matrix(y["vec"]), eps)
-            xid, yid, is_core = x["id"].to_numpy(), y["id"].to_numpy(), x["core"].to_numpy(dtype=bool)
-            for i in np.nonzero(~is_core)[0]:
-                hit = yid[near[i]]
-                us += [xid[i]] * len(hit)
-                vs += list(hit)
-                border += [True] * len(hit)
-            rows = np.nonzero(is_core)[0]
-            open_rows, open_cols = set(rows.tolist()), np.ones(len(yid), dtype=bool)
-            while open_rows:
-                stack, group = [open_rows.pop()], []
-                while stack:
-                    i = stack.pop()
-                    group.append(xid[i])
-                    new = np.nonzero(near[i] & open_cols)[0]
-                    open_cols[new] = False
-                    group += list(yid[new])
-                    if len(new):
-                        for j in np.nonzero(near[:, new].any(axis=1))[0]:
-                            if j in open_rows:
-                                open_rows.discard(int(j))
-                                stack.append(int(j))
-                least = min(group)
-                rest = {g for g in group if g != least}
-                us += list(rest)
-                vs += [least] * len(rest)
-                border += [False] * len(rest)
-        return pd.DataFrame({"u": pd.Series(us, dtype=x["id"].dtype), "v": pd.Series(vs, dtype=x["id"].dtype),
-                             "border": pd.Series(border, dtype=bool)})
+            a, b = _matrix(x["vec"]), _matrix(y["vec"])
+            xid, all_ids = x["id"].to_numpy(), y["id"].to_numpy()
+            x_core, y_core = np.stack(x["core"].to_numpy()).astype(bool), np.stack(y["core"].to_numpy()).astype(bool)
+            for e, eps in enumerate(radii):
+                near, yid = within(a, b[y_core[:, e]], eps) if y_core[:, e].any() else None, all_ids[y_core[:, e]]
+                if near is None:
+                    continue
+                i, j = np.nonzero(near & ~x_core[:, e][:, None])
+                pairs = [(xid[k], yid[m], True) for k, m in zip(i, j)] + [(u, v, False) for u, v in _forest(near, xid, yid, x_core[:, e])]
+                es += [e] * len(pairs)
+                us += [p[0] for p in pairs]
+                vs += [p[1] for p in pairs]
+                border += [p[2] for p in pairs]
+        return pd.DataFrame({"e": pd.Series(es, dtype="int32"), "u": pd.Series(us, dtype=x["id"].dtype),
+                             "v": pd.Series(vs, dtype=x["id"].dtype), "border": pd.Series(border, dtype=bool)})
     return links
 
 
+def _forest(near: np.ndarray, xid: np.ndarray, yid: np.ndarray, core: np.ndarray):
+    """(id, smallest id) inside each connected part of the block's core rows and columns."""
+    open_rows, open_cols = set(np.nonzero(core)[0].tolist()), np.ones(len(yid), dtype=bool)
+    while open_rows:
+        stack, group = [open_rows.pop()], []
+        while stack:
+            i = stack.pop()
+            group.append(xid[i])
+            new = np.nonzero(near[i] & open_cols)[0]
+            open_cols[new] = False
+            group += list(yid[new])
+            if len(new):
+                for j in np.nonzero(near[:, new].any(axis=1))[0].tolist():
+                    if j in open_rows:
+                        open_rows.discard(j)
+                        stack.append(j)
+        least = min(group)
+        for g in set(group):
+            if g != least:
+                yield g, least
+
+
 def single_link_cut(df: DataFrame, key: str, t: float, cols: list[str] | None = None, vec: str | None = None, **options) -> DataFrame:
     """Flat single-linkage clusters at distance t: the connected rows of the t-neighbour graph."""
     return dbscan(df, key, t, 1, cols, vec, **options)
@@ -182,11 +206,12 @@ def dbscan_sweep(df: DataFrame, key: str, probs: list[float], min_samples: int,
     """Clusters and noise for eps at rounded quantiles of the k-distance curve."""
     curve = cut_lineage(k_distance(df, key, min_samples, cols, vec, **options))
     found = sorted({round(e, 3) for e in quantiles(curve, ["k_distance"], probs)["k_distance"]})
-    rows = []
-    for eps in found:
-        r = cluster_counts(dbscan(df, key, eps, min_samples, cols, vec, **options), "cluster").first()
-        rows.append((eps, min_samples, r["n_clusters"], r["n_noise"], 100.0 * r["n_noise"] / r["n"]))
-    return df.sparkSession.createDataFrame(rows, "eps double, min_samples int, n_clusters long, n_noise long, noise_pct double")
+    labels = density_labels(df, key, found, min_samples, cols, vec, **options)
+    per = labels.groupBy(F.col("radius").alias("eps")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct(F.when(F.col("cluster") != -1, F.col("cluster"))).alias("n_clusters"),
+        F.count_if(F.col("cluster") == -1).alias("n_noise"))
+    return per.select("eps", F.lit(min_samples).alias("min_samples"), "n_clusters", "n_noise",
+                      (100.0 * F.col("n_noise") / F.col("n")).alias("noise_pct"))
 
 
 def cluster_counts(df: DataFrame, cluster: str) -> DataFrame:

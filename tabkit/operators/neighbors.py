@@ -115,16 +115,22 @@ def compare_blocks(home: DataFrame, others: DataFrame, pivots: np.ndarray, eps:
     return left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInPandas(fn, schema)
 
 
-def neighbour_counts(points: DataFrame, eps: float, pivots: np.ndarray, block: int | None = None) -> DataFrame:
-    """(id, n): total weight within eps, the point itself included."""
+def neighbour_counts(points: DataFrame, radii: list[float], pivots: np.ndarray, block: int | None = None) -> DataFrame:
+    """(id, n): total weight within each radius (array in the order of ``radii``), the point itself included."""
+    names = [f"n{i}" for i in range(len(radii))]
+
     def count(x, y):
+        out = {"id": x["id"]}
         if not len(x) or not len(y):
-            return pd.DataFrame({"id": x["id"][:0], "n": np.zeros(0, dtype="int64")})
-        near = within(_matrix(x["vec"]), _matrix(y["vec"]), eps)
-        return pd.DataFrame({"id": x["id"], "n": near @ y["w"].to_numpy(dtype="int64")})
+            return pd.DataFrame({"id": x["id"][:0], **{n: np.zeros(0, dtype="int64") for n in names}})
+        a, b, w = _matrix(x["vec"]), _matrix(y["vec"]), y["w"].to_numpy(dtype="int64")
+        for name, eps in zip(names, radii):
+            out[name] = within(a, b, eps) @ w
+        return pd.DataFrame(out)
     kind = points.schema["id"].dataType.simpleString()
-    parts = compare_blocks(points, points, pivots, eps, count, f"id {kind}, n long", block)
-    return parts.groupBy("id").agg(F.sum("n").alias("n"))
+    schema = ", ".join([f"id {kind}", *[f"{n} long" for n in names]])
+    parts = compare_blocks(points, points, pivots, max(radii), count, schema, block)
+    return parts.groupBy("id").agg(F.array(*[F.sum(n) for n in names]).alias("n"))
 
 
 def radius_counts(df: DataFrame, key: str, eps: float, cols: list[str] | None = None, vec: str | None = None,
@@ -132,8 +138,8 @@ def radius_counts(df: DataFrame, key: str, eps: float, cols: list[str] | None =
     """How many rows lie within eps of each row, itself included."""
     points = as_points(df, key, cols, vec)
     single = cut_lineage(distinct_points(points))
-    counts = neighbour_counts(single, eps, choose_pivots(single, rows_per_pivot), block)
-    known = single.join(counts, "id").select("vec", "n")
+    counts = neighbour_counts(single, [eps], choose_pivots(single, rows_per_pivot), block)
+    known = single.join(counts, "id").select("vec", F.col("n")[0].alias("n"))
     return points.join(known, "vec").select(F.col("id").alias(key), F.col("n").alias("n_neighbours"))
 
 
