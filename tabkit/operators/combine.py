@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, previous, row_number
-from ..functions.runtime import bounded, col
+from ..functions.runtime import col
 
 
 def join_by_key(a: DataFrame, b: DataFrame, key: list[str], how: str = "left") -> DataFrame:
@@ -90,5 +90,5 @@ def ranks(df: DataFrame, name: str, order: list[str], rows_per_task: int | None
     """Average rank of ``name`` and the row's position in ``order``."""
     from .correlate import average_ranks
     table = average_ranks(df, name, rows_per_task).select(F.col("value").alias("__v"), F.col("rank").alias("avg_rank"))
-    ranked = df.join(bounded(table), df[name].cast("double") == F.col("__v"), "left").drop("__v")
+    ranked = df.join(table, df[name].cast("double") == F.col("__v"), "left").drop("__v")
     return in_order(ranked, [], order, {"position": row_number()}, rows_per_task)

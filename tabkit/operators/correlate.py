@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -9,19 +10,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ordered import in_order, running_sum
-from ..functions.runtime import bounded, col, cut_lineage, rows_from
+from ..functions.runtime import BROADCAST_ROWS, col, cut_lineage, rows_from
 
 # Levels of a strong and a moderate correlation.
 STRONG = 0.7
 MODERATE = 0.5
 
+PAIRS_AT_ONCE = 4
+
 
 def average_ranks(df: DataFrame, name: str, rows_per_task: int | None = None) -> DataFrame:
-    """One row per distinct value: ``value``, ``n`` and its average rank (ties share it)."""
-    counts = df.where(col(name).isNotNull()).groupBy(col(name).cast("double").alias("value")).agg(
-        F.count(F.lit(1)).alias("n"))
-    summed = in_order(cut_lineage(counts), [], ["value"], {"upto": running_sum(F.col("n"))}, rows_per_task)
-    return summed.select("value", "n", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
+    """One row per distinct value: ``value``, ``n`` and its average rank (ties share it). A table
+    known to be small carries a broadcast hint for the joins it is used in."""
+    counts = cut_lineage(df.where(col(name).isNotNull()).groupBy(col(name).cast("double").alias("value"))
+                         .agg(F.count(F.lit(1)).alias("n")))
+    summed = in_order(counts, [], ["value"], {"upto": running_sum(F.col("n"))}, rows_per_task)
+    ranks = summed.select("value", "n", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank"))
+    return F.broadcast(ranks) if counts.count() <= BROADCAST_ROWS else ranks
 
 
 def with_ranks(df: DataFrame, cols: list[str], rows_per_task: int | None = None) -> DataFrame:
@@ -30,7 +35,7 @@ def with_ranks(df: DataFrame, cols: list[str], rows_per_task: int | None = None)
     out = df
     for i, c in enumerate(cols):
         ranks = average_ranks(df, c, rows_per_task).select(F.col("value").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
-        out = out.join(bounded(ranks), out[c].cast("double") == F.col(f"__v{i}"), "left").drop(f"__v{i}")
+        out = out.join(ranks, out[c].cast("double") == ranks[f"__v{i}"], "left").drop(f"__v{i}")
     return out.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else col(c) for c in df.columns])
 
 
@@ -81,10 +86,12 @@ def _spearman(rows, cols, pairs, nulls, rows_per_task) -> DataFrame:
     if plain:
         used = [c for c in cols if any(c in p for p in plain)]
         parts.append(_pearson(with_ranks(rows.select(*[col(c) for c in used]), used, rows_per_task), plain))
-    for a, b in pairs:  # ranks depend on which rows the other column keeps
-        if has_null & {a, b}:
-            both = rows.select(col(a), col(b)).na.drop()
-            parts.append(_pearson(with_ranks(both, [a, b], rows_per_task), [(a, b)]))
+
+    def ranked_pair(pair):  # ranks depend on which rows the other column keeps
+        both = rows.select(*[col(c) for c in pair]).na.drop()
+        return _pearson(with_ranks(both, list(pair), rows_per_task), [pair])
+    with ThreadPoolExecutor(PAIRS_AT_ONCE) as pool:
+        parts += list(pool.map(ranked_pair, [p for p in pairs if has_null & set(p)]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
