@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html, packing, quality, secrets, sharding
+from . import html, packing, quality, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_line_block_text")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op1_vantage_point_simhash")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle_words=3, radius=2)
