@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import words
 
 # Fixed values of the rules.
-SENTENCE_END = r"[.!?…][)\]\x22'”’»]*( |\t|$)"  # a sentence ends somewhere in the line
+SENTENCE_END = r"[.!?…][)\]\x22\x27”’»]*( |\t|$)"  # a sentence ends somewhere in the line
 MARKS = r"[#*$%&|<>!?]"  # marks that prose uses sparingly
 BOILERPLATE = (r"(?i)licensed under|released under the|all rights reserved|copyright|©|\bcookies?\b|privacy policy|terms of (use|service)"
                r"|enable javascript|subscribe to|click here|sign up|log in|read more|share this|powered by")
