@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, packing, quality, secrets, sharding, simhash, substrings
+from . import decontaminate, html, packing, pitman_yor, quality, secrets, sharding, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_fm_index_repeats")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents"))
+
+
+@query("op6_pitman_yor_scores")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.score_texts(table(spark, folder, "documents"))
