@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, packing, pitman_yor, quality, secrets, sharding, simhash, substrings
+from . import chat, decontaminate, html, packing, pitman_yor, quality, secrets, sharding, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_pitman_yor_scores")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return pitman_yor.score_texts(table(spark, folder, "documents"))
+
+
+@query("op3_minimum_cost_roles")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.repair_roles(table(spark, folder, "conversations"))
