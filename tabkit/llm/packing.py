@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,9 +24,14 @@ from .common import staged
 
 CAPACITY = 1024
 END_ID = 2
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_000_000
 
-INNER_SPACE = re.compile(r"\s \s|\s \Z|\A \s|\A \Z")
+SPACE_PAIR, INNER_SPACE = re.compile(r" \s"), re.compile(r"\s \s|\s \Z|\A \s|\A \Z")
+
+
+def needs_whole(text: str) -> bool:
+    """Whether a space stands inside a longer run of white space, where no cut is certain."""
+    return (SPACE_PAIR.search(text) is not None or text[-1:] == " ") and INNER_SPACE.search(text) is not None
 
 
 class Encoder:
@@ -38,23 +44,28 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        assert array("I").itemsize == 4
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [None if INNER_SPACE.search(t) else t.split(" ") for t in texts]
-        new = {w for p in parts if p for w in p[1:]}.difference(self.known)
+        heads, tails, seen = [], [], set()
+        for t in texts:
+            tail = [] if needs_whole(t) else t.split(" ")
+            heads.append(tail.pop(0) if tail else t)
+            tails.append(tail)
+            seen.update(tail)
+        new = seen.difference(self.known)
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = {}
-            new = {w for p in parts if p for w in p[1:]}
+            self.known, new = {}, seen
         fresh = list(new)
         self.known.update(zip(fresh, self._whole([" " + w for w in fresh])))
-        whole = iter(self._whole([t if p is None else p[0] for t, p in zip(texts, parts)]))
-        return [next(whole) if p is None else next(whole) + b"".join(map(self.known.__getitem__, p[1:])) for p in parts]
+        ids_of = self.known.__getitem__
+        return [head + b"".join(map(ids_of, tail)) for head, tail in zip(self._whole(heads), tails)]
 
 
 @lru_cache(maxsize=2)
