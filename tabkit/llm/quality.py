@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.runtime import col
 from .common import words
 
 # Fixed values of the rules.
@@ -95,4 +96,6 @@ def clean_lines(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFr
                          | (100 * F.col("__n_repeat_words") > MAX_REPEAT_PERCENT * F.col("__n_words")))
     out = out.withColumn("__kept", ~F.col("__base_failed") & (100 * F.col("__lost") <= MAX_LOST_PERCENT * F.col("__word_chars")))
     mine = [prefix + m for m in MEASURES]
-    return out.select(*[c for c in docs.columns if c not in mine], *[F.col(f"__{m}").alias(prefix + m) for m in MEASURES])
+    # a one-row generator: a filter on a verdict is applied to the measured columns instead of measuring once more
+    measured = F.inline(F.array(F.struct(*[F.col(f"__{m}").alias(prefix + m) for m in MEASURES])))
+    return out.select(*[col(c) for c in docs.columns if c not in mine], measured)
