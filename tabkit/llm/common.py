@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.runtime import col, scratch_path
+from ..functions.runtime import q, scratch_path
 
 SPACES = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,28 +59,32 @@ def unsigned(x) -> np.ndarray:
     return np.ascontiguousarray(x, dtype=np.int64).view(np.uint64)
 
 
-def with_arrow(df: DataFrame, sources: dict[str, Column], added: T.StructType, fn: Callable[..., dict[str, list]],
-               rows: int = 2_000) -> DataFrame:
-    """``df`` plus the columns that ``fn`` computes from the source expressions, given as lists.
+def packed(df: DataFrame, names: list[str]) -> Column:
+    """The caller's columns as one struct, so that no name of theirs meets one of ours on the way."""
+    return F.struct(*[df[q(n)].alias(n) for n in names] or [F.lit(0).alias("none")]).alias("rest")
 
-    Other columns pass through as Arrow arrays, untouched: no null turns a number into a float.
-    Columns of ``df`` with an added name are replaced. ``fn`` sees ``rows`` rows at a time.
+
+def unpacked(names: list[str]) -> list[Column]:
+    return [F.col("rest")[n].alias(n) for n in names]
+
+
+def with_arrow(df: DataFrame, source: Column, added: T.StructType, fn: Callable[[list], dict[str, list]], rows: int = 2_000) -> DataFrame:
+    """``df`` plus the columns that ``fn`` computes from the source values, given and returned as lists.
+
+    Other columns pass through as they are: no null turns a number into a float. Columns of ``df`` with an added name are
+    replaced. ``fn`` sees ``rows`` rows at a time.
     """
     keep = [c for c in df.columns if c not in added.names]
-    given = {f"__src{i}": c for i, c in enumerate(sources.values())}
-    base = df.withColumns(given).select(*[col(c) for c in keep], *given)
-    kept = [f for f in base.schema if f.name not in given]
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in kept] + list(added))
-    target, names, n_src = [(f.name, f.dataType) for f in added], schema.names, len(given)
+    base = df.select(packed(df, keep), source.alias("source"))
+    schema = T.StructType([base.schema["rest"], *added])
+    target, names = [(f.name, f.dataType) for f in added], schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
         for whole in batches:
             for at in range(0, whole.num_rows, rows):
                 batch = whole.slice(at, rows)
-                new = fn(*[batch.column(batch.num_columns - n_src + i).to_pylist() for i in range(n_src)])
-                arrays = [batch.column(i) for i in range(batch.num_columns - n_src)]
-                arrays += [pa.array(new[n], to_arrow_type(t)) for n, t in target]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                new = fn(batch.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(new[n], to_arrow_type(t)) for n, t in target]], names=names)
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, schema).select(*unpacked(keep), *added.names)

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, words
+from ..functions.runtime import q
+from .common import packed, staged, unpacked, words
 
 SHINGLE_WORDS = 5
 MIN_CONTAINMENT_PERCENT = 80
@@ -47,8 +48,8 @@ def _text_key(text: Column) -> list[Column]:
 
 def _matches(docs: DataFrame, text: str, items: DataFrame, item_id: str, item_text: str) -> DataFrame:
     """(__k1, __k2, __item, __n, __shared) of every document text and item that it holds."""
-    texts = docs.select(docs[text].alias("__text")).where("__text is not null")
-    bench = items.select(items[item_id].alias("__item"), items[item_text].alias("__body")).distinct()
+    texts = docs.select(docs[q(text)].alias("__text")).where("__text is not null")
+    bench = items.select(items[q(item_id)].alias("__item"), items[q(item_text)].alias("__body")).distinct()
     bench = staged(bench.withColumn("__shingles", F.array_distinct(shingles(_tokens(F.col("__body")))))
                    .select("__item", F.xxhash64("__body").alias("__body_key"), F.size("__shingles").alias("__n"), "__shingles",
                            F.array_sort(F.array_distinct(shingle_hashes(_tokens(F.col("__body"))))).alias("__hashes"))
@@ -76,7 +77,7 @@ def containments(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     get their rows; repeated items (same id, same text) count once. Extra columns are not carried.
     """
     held = staged(_matches(docs, text, items, item_id, item_text), "containments")
-    keyed = docs.select(docs[id_col].alias("__id"), *_text_key(docs[text])).where(docs[text].isNotNull())
+    keyed = docs.select(docs[q(id_col)].alias("__id"), *_text_key(docs[q(text)])).where(docs[q(text)].isNotNull())
     return keyed.join(held, ["__k1", "__k2"]).select(
         F.col("__id").alias(id_col), F.col("__item").alias(item_id), F.col("__n").cast("long").alias("n_shingles"),
         F.col("__shared").cast("long").alias("n_shared"), (F.col("__shared") / F.col("__n")).alias("containment"))
@@ -86,5 +87,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     """The rows of ``docs``, all columns, that hold no item. Rows with a null text stay."""
     bad = staged(_matches(docs, text, items, item_id, item_text).select("__k1", "__k2").distinct(), "contaminated")
     names = docs.columns
-    keyed = docs.select("*", *_text_key(docs[text]))
-    return keyed.join(bad, ["__k1", "__k2"], "left_anti").select(*[F.col("`" + n.replace("`", "``") + "`") for n in names])
+    keyed = docs.select(packed(docs, names), *_text_key(docs[q(text)]))
+    return keyed.join(bad, ["__k1", "__k2"], "left_anti").select(*unpacked(names))

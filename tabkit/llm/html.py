@@ -15,6 +15,7 @@ from html import unescape
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..functions.runtime import q
 from .common import with_arrow
 
 WINDOW = 3
@@ -221,4 +222,4 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
         texts = [extract(h) for h in htmls]
         return {"text": texts, "n_chars": [len(t) for t in texts]}
 
-    return with_arrow(pages, {"html": pages[html]}, added, run, rows=200)
+    return with_arrow(pages, pages[q(html)], added, run, rows=200)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.runtime import col
-from .common import words
+from ..functions.runtime import q
+from .common import packed, unpacked, words
 
 # Fixed values of the rules.
 SENTENCE_END = r"[.!?…][)\]\x22\x27”’»]*( |\t|$)"  # a sentence ends somewhere in the line
@@ -61,8 +61,8 @@ def _covered(hashes: Column) -> Column:
     return F.get(F.transform(F.array(placed), places), F.lit(0))
 
 
-def _measured(df: DataFrame, text: str) -> DataFrame:
-    t = F.col(text)
+def _measured(df: DataFrame) -> DataFrame:
+    t = F.col("__text")
     df = df.withColumn("__words", words(t)).withColumn("__lines", F.split(F.coalesce(t, F.lit("")), "\n"))
     df = df.withColumn("__hashes", repeat_words(F.col("__words")))
     df = df.withColumn("__repeats", F.size(F.col("__hashes")) > F.size(F.array_distinct("__hashes")))
@@ -89,13 +89,13 @@ def clean_lines(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFr
     A null text counts as empty: no words, base_failed, an empty clean_text. Repeated rows are
     judged one by one alike; an empty table gives an empty one.
     """
-    out = _measured(docs.withColumn("__text", F.col(text)), "__text")
+    keep = [c for c in docs.columns if c not in [prefix + m for m in MEASURES]]
+    out = _measured(docs.select(packed(docs, keep), docs[q(text)].alias("__text")))
     clean = F.array_join("__kept_lines", "\n")
     out = out.withColumn("__clean_text", clean).withColumn("__lost", F.col("__word_chars") - _chars(F.col("__clean_text")))
     out = out.withColumn("__base_failed", (F.col("__n_words") < MIN_WORDS)
                          | (100 * F.col("__n_repeat_words") > MAX_REPEAT_PERCENT * F.col("__n_words")))
     out = out.withColumn("__kept", ~F.col("__base_failed") & (100 * F.col("__lost") <= MAX_LOST_PERCENT * F.col("__word_chars")))
-    mine = [prefix + m for m in MEASURES]
     # a one-row generator: a filter on a verdict is applied to the measured columns instead of measuring once more
     measured = F.inline(F.array(F.struct(*[F.col(f"__{m}").alias(prefix + m) for m in MEASURES])))
-    return out.select(*[col(c) for c in docs.columns if c not in mine], measured)
+    return out.select(*unpacked(keep), measured)

@@ -119,3 +119,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_minimum_cost_roles")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return chat.repair_roles(table(spark, folder, "conversations"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, folder)

@@ -17,9 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.runtime import col
 from ..operators.neighbors import components
-from .common import byte_words, mix, signed, staged
+from .common import byte_words, mix, packed, signed, staged, unpacked
 from .simhash import fingerprint_links, shingle_hashes, simhash, unite
 
 SHINGLE_WORDS = 5
@@ -118,8 +117,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     repeated rows one stays. Texts under five words are one shingle. ``docs`` must come from files, not from a shuffle, as
     rows are told apart by their place in them.
     """
-    placed = docs.withColumn("__row", F.monotonically_increasing_id())
-    narrow = placed.select(F.col("__row").alias("row"), F.coalesce(col(id_col).cast("long"), F.lit(LAST)).alias("place"), col(text).alias("text"))
+    placed = docs.select(packed(docs, docs.columns), F.monotonically_increasing_id().alias("row"))
+    narrow = placed.select("row", F.coalesce(F.col("rest")[id_col].cast("long"), F.lit(LAST)).alias("place"), F.col("rest")[text].alias("text"))
     longs = ", ".join(f"{c} long" for c in ["row", "place", "c1", "c2", "fp", *[f"v{j}" for j in range(VIEWS)]])
     marked = staged(narrow.mapInArrow(_features, longs), "features")
     same = marked.groupBy("c1", "c2").agg(F.min(F.struct("place", "row")).alias("first"), *[F.min(c).alias(c) for c in ["fp", *[f"v{j}" for j in range(VIEWS)]]])
@@ -144,4 +143,4 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     copies = marked.join(reps.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("row").alias("kept")),
                          (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).where("row <> kept").select(F.col("row").alias("gone"))
     gone = staged(second.unionByName(copies), "removed")
-    return placed.join(gone, F.col("__row") == F.col("gone"), "left_anti").drop("__row")
+    return placed.join(gone, F.col("row") == F.col("gone"), "left_anti").select(*unpacked(docs.columns))

@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..functions.runtime import q
 from .common import with_arrow
 
 # The base patterns, in the order in which their kinds are listed.
@@ -51,7 +52,7 @@ def random_parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
     more or less changes one term of the sum. The wide class also asks for digits and both cases,
     which words, paths and numbers lack.
     """
-    weight = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+    weight = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
     found: list[tuple[int, int]] = []
     for kind, (chars, least) in CLASSES.items():
         most = (math.log2(WINDOW) - least) * WINDOW  # the largest allowed sum of c log2 c
@@ -144,4 +145,4 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
                 "spans": [joined(f) for f in found],
                 "redacted": [redacted(t, f) for t, f in zip(texts, found)]}
 
-    return with_arrow(docs, {"text": docs[text]}, added, scan)
+    return with_arrow(docs, docs[q(text)], added, scan)

@@ -7,8 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.runtime import col
-from .common import staged
+from ..functions.runtime import q
+from .common import packed, staged, unpacked
 
 RANGES_PER_SHARD = 16
 ROWS_PER_RANGE = 100_000
@@ -39,7 +39,9 @@ def splitters(keyed: DataFrame, ranges: int, total: int) -> list[tuple[int, floa
 
 
 def _place(cuts: list[tuple[int, float]]):
+    """Twice the number of boundaries not above the row, plus one if its group is subdivided."""
     hashes, spreads = np.array([c[0] for c in cuts], dtype=np.int64), np.array([c[1] for c in cuts])
+    divided = np.unique(hashes[spreads >= 0])
 
     @F.pandas_udf("int")
     def place(h: pd.Series, r: pd.Series) -> pd.Series:
@@ -48,7 +50,7 @@ def _place(cuts: list[tuple[int, float]]):
         out = high.copy()  # boundaries not above the row: all with a smaller hash, and of its own hash those not above its spread
         for i in np.flatnonzero(high > low):
             out[i] = low[i] + np.searchsorted(spreads[low[i]:high[i]], rv[i], "right")
-        return pd.Series(out.astype(np.int32))
+        return pd.Series((2 * out + np.isin(hv, divided)).astype(np.int32))
 
     return place
 
@@ -69,16 +71,17 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, text: str = "text", seed:
     """
     made = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     others = [c for c in docs.columns if c != text and c not in made]
-    t = docs[text]
+    t = docs[q(text)]
     keyed = staged(docs.select(
-        *[docs[c].alias(c) for c in others], (F.coalesce(F.octet_length(t), F.lit(0)) + ROW_BYTES).cast("long").alias("__size"),
+        packed(docs, others), (F.coalesce(F.octet_length(t), F.lit(0)) + ROW_BYTES).cast("long").alias("__size"),
         F.crc32(F.encode(t, "UTF-8")).alias("__crc"), F.xxhash64(t).alias("__h"), F.rand(seed).alias("__r"),
         F.rand(seed + 1).alias("__u")), "sharding")
     total, n = keyed.agg(F.sum("__size"), F.count(F.lit(1))).first()
     if not n:
         return _named(keyed.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}), others)
     ranges = int(min(MAX_RANGES, max(RANGES_PER_SHARD * shards, n // ROWS_PER_RANGE)))
-    ranged = keyed.withColumn("__range", _place(splitters(keyed.select("__h", "__r", "__u", "__size"), ranges, total))("__h", "__r"))
+    cuts = splitters(keyed.select("__h", "__r", "__u", "__size"), ranges, total)
+    ranged = keyed.withColumn("__placed", _place(cuts)("__h", "__r")).withColumn("__range", F.floor(F.col("__placed") / 2).cast("int"))
 
     sums = ranged.groupBy("__range").agg(F.sum("__size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # at most MAX_RANGES rows
@@ -89,7 +92,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, text: str = "text", seed:
     placed = ranged.select(
         "*", (F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__size")).alias("__start"),
         (F.row_number().over(order) - 1).cast("long").alias("__row"))
-    heavy = F.sum("__size").over(group) * F.lit(RANGES_PER_SHARD * shards) > 2 * total
+    heavy = F.col("__placed") % 2 == 1
     placed = placed.select(
         "*", F.when(heavy, F.col("__start")).otherwise(F.min("__start").over(group)).alias("__from"),
         F.when(heavy, F.col("__size")).otherwise(F.sum("__size").over(group)).alias("__span"))
@@ -103,5 +106,5 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, text: str = "text", seed:
 
 
 def _named(placed: DataFrame, others: list[str]) -> DataFrame:
-    return placed.select(*[col(c) for c in others], F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+    return placed.select(*unpacked(others), F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.lit("bytes").alias("law"),
                          "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

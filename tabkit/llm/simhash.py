@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.runtime import q
 from ..operators.neighbors import components
 from .common import byte_words, mix, signed, staged, unsigned, with_arrow
 
@@ -59,7 +60,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle_words: int = 3
         prints = [simhash(shingle_hashes(byte_words(t, lower=True), shingle_words)) for t in texts]
         return {name: signed(np.array(prints, dtype=np.uint64)).tolist()}
 
-    return with_arrow(docs, {"text": docs[text]}, T.StructType([T.StructField(name, T.LongType())]), run)
+    return with_arrow(docs, docs[q(text)], T.StructType([T.StructField(name, T.LongType())]), run)
 
 
 class VantageTree:
