@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import same_keys
+from .runtime import col, same_keys
 
 ROWS_PER_TASK = 2_000_000
 MAX_RANGES = 20_000
@@ -26,17 +26,17 @@ def _sortable(df: DataFrame, name: str) -> Column:
     """Order column as a type that survives JSON exactly."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(F.col(name))
+        return F.unix_micros(col(name))
     if isinstance(kind, T.TimestampNTZType):
-        return F.col(name).cast("string")  # ISO text sorts like the time and knows no time zone
+        return col(name).cast("string")  # ISO text sorts like the time and knows no time zone
     if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name))
+        return F.unix_date(col(name))
     if isinstance(kind, T.BooleanType):
-        return F.col(name).cast("int")
+        return col(name).cast("int")
     if isinstance(kind, (T.IntegralType, T.DoubleType, T.StringType)):
-        return F.col(name)
+        return col(name)
     if isinstance(kind, T.FloatType):
-        return F.col(name).cast("double")
+        return col(name).cast("double")
     raise TypeError(f"cannot order by {name}: {kind.simpleString()}")
 
 
@@ -48,12 +48,12 @@ def _rows_in_large_groups(df: DataFrame, part: list[str], limit: int) -> tuple[i
     if not part:
         n = df.count()
         return (n if n > limit else 0), df
-    sizes = df.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    sizes = df.groupBy(*[col(p) for p in part]).agg(F.count(F.lit(1)).alias("__n"))
     large = sizes.where(F.col("__n") > limit)
     n = large.agg(F.sum("__n")).first()[0] or 0
     if not n:
         return 0, df
-    keys = large.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(part)])
+    keys = large.select(*[col(c).alias(f"__k{i}") for i, c in enumerate(part)])
     on = same_keys(df, keys, [(c, f"__k{i}") for i, c in enumerate(part)])
     return n, df.join(keys, on, "left_semi")
 
@@ -68,7 +68,7 @@ def with_ranges(df: DataFrame, part: list[str], order: list[str],
     n_ranges = min(MAX_RANGES, max(2, math.ceil(4 * n / limit)))
     one_in = max(1, n // (SAMPLE_PER_RANGE * n_ranges))
     key = order_key(df, order)
-    sample = (large.where(F.pmod(F.xxhash64(*part, *order), F.lit(one_in)) == 0)
+    sample = (large.where(F.pmod(F.xxhash64(*[col(c) for c in [*part, *order]]), F.lit(one_in)) == 0)
               .select(key.alias("k")).orderBy("k").select(F.to_json("k")).collect())
     step = max(1, len(sample) // n_ranges)
     cuts = [r[0] for r in sample[step::step]]
@@ -114,30 +114,30 @@ def in_order(df: DataFrame, part: list[str], order: list[str], outputs: dict[str
     """Add one column per output. ``order`` must order the rows of a group without ties."""
     ranged, split = with_ranges(df, part, order, rows_per_task)
     if not split:
-        local = Window.partitionBy(*part).orderBy(*order)
+        local = Window.partitionBy(*map(col, part)).orderBy(*map(col, order))
         back = _backwards(part, order)
         return df.select("*", *[_local(kind, value, local, back).alias(name)
                                 for name, (kind, value) in outputs.items()])
 
     keys = [*part, RANGE]
-    local = Window.partitionBy(*keys).orderBy(*order)
+    local = Window.partitionBy(*map(col, keys)).orderBy(*map(col, order))
     back = _backwards(keys, order)
     rows = ranged.select("*", *[_local(kind, value, local, back).alias(f"__{name}")
                                 for name, (kind, value) in outputs.items()],
                          F.row_number().over(local).alias("__at"))
 
     at = order_key(df, order)
-    summary = ranged.groupBy(*keys).agg(
+    summary = ranged.groupBy(*map(col, keys)).agg(
         *[_summary(kind, value, at).alias(name) for name, (kind, value) in outputs.items()])
-    before = Window.partitionBy(*part).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*part).orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*map(col, part)).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*map(col, part)).orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        *[col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         *[_carry(kind, F.col(name), before, after).alias(f"__c_{name}")
           for name, (kind, _) in outputs.items()])
 
     joined = rows.join(carry, same_keys(rows, carry, [(k, f"__k{i}") for i, k in enumerate(keys)]), "left")
-    return joined.select(*df.columns, *[_combine(kind, name).alias(name) for name, (kind, _) in outputs.items()])
+    return joined.select(*map(col, df.columns), *[_combine(kind, name).alias(name) for name, (kind, _) in outputs.items()])
 
 
 def _backwards(keys: list[str], order: list[str]):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,20 @@ MIN_ROWS_PER_PARTITION = 25_000
 BROADCAST_ROWS = 10_000
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, unless their Python path (taken over from the driver's environment) has it."""
+    root = Path(__file__).resolve().parents[2]
+    paths = [Path(p or ".").resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if root in paths or str(root) in spark.conf.get("spark.tabkit.shipped", ""):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tabkit-package-")) / "tabkit.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted([*(root / "tabkit").rglob("*.py"), *root.glob("corpus_pipeline.py")]):
+            z.write(f, f.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    spark.conf.set("spark.tabkit.shipped", str(root))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the session names; only a local session may make its own."""
     sc = spark.sparkContext

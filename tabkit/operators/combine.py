@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, previous, row_number
-from ..functions.runtime import col
+from ..functions.runtime import bounded, col
+
+LITERAL_PAIRS = 32
 
 
 def join_by_key(a: DataFrame, b: DataFrame, key: list[str], how: str = "left") -> DataFrame:
@@ -28,11 +30,17 @@ def union_all(dfs: list[DataFrame]) -> DataFrame:
 
 def map_values(df: DataFrame, name: str, mapping: dict, out: str | None = None, default: str | None = None) -> DataFrame:
     """Value map; unmapped values become null, or the value of column ``default``."""
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    mapped = F.try_element_at(F.create_map(*pairs), col(name))
-    if default is not None:
-        mapped = F.coalesce(mapped, col(default))
-    return df.withColumn(out or name, mapped)
+    target = out or name
+    if len(mapping) <= LITERAL_PAIRS:
+        pairs = [F.lit(x) for kv in mapping.items() for x in kv]
+        mapped = F.try_element_at(F.create_map(*pairs), col(name))
+        if default is not None:
+            mapped = F.coalesce(mapped, col(default))
+        return df.withColumn(target, mapped)
+    table = bounded(df.sparkSession.createDataFrame(list(mapping.items()), ["__from", "__to"]))
+    mapped = F.col("__to") if default is None else F.coalesce(F.col("__to"), col(default))
+    joined = df.join(table, col(name) == F.col("__from"), "left")
+    return joined.withColumn(target, mapped).drop(*[c for c in ("__from", "__to") if c != target])
 
 
 def consensus(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -57,14 +65,14 @@ def same_set(a: DataFrame, b: DataFrame, name: str) -> bool:
 
 def returns(df: DataFrame, part: list[str], order: list[str], name: str, out: str = "ret",
             log: bool = False, first: float | None = 0.0, rows_per_task: int | None = None) -> DataFrame:
-    """Change relative to the previous row of the entity; the first row gets ``first``."""
-    rows = in_order(df, part, order, {"__prev": previous(col(name))}, rows_per_task)
+    """Change relative to the previous row of the entity. Its first row gets ``first``; after a missing or zero value the change is null."""
+    rows = in_order(df, part, order, {"__prev": previous(col(name)), "__at": row_number()}, rows_per_task)
     change = F.try_divide(col(name), F.col("__prev")) - 1
     if log:
         change = F.log1p(change)
     if first is not None:
-        change = F.coalesce(change, F.lit(first))
-    return rows.withColumn(out, change).drop("__prev")
+        change = F.when(F.col("__at") == 1, F.lit(first)).otherwise(change)
+    return rows.withColumn(out, change).drop("__prev", "__at")
 
 
 def delta(df: DataFrame, part: list[str], order: list[str], name: str, out: str | None = None,

@@ -17,8 +17,15 @@ STRESS_CODES = {"Low": 0, "Moderate": 1, "High": 2}
 
 
 def fit_onehot(df: DataFrame, cols: list[str], cap: int = ONEHOT_CAP) -> Params:
-    """Sorted categories per column. More than ``cap`` would be as many columns: an error."""
-    return Params({c: {"levels": [str(v) for v in levels(df.select(col(c).cast("string").alias(c)), c, cap)]} for c in cols})
+    """Categories per column, sorted in the column's own type (2 before 10). More than ``cap`` would be as many columns: an error."""
+    return Params({c: {"levels": _names(df, c, cap)} for c in cols})
+
+
+def _names(df: DataFrame, name: str, cap: int) -> list[str]:
+    found = df.select(col(name).alias("v"), col(name).cast("string").alias("s")).where("v is not null").distinct().orderBy("v").limit(cap + 1).collect()
+    if len(found) > cap:
+        raise ValueError(f"{name} has more than {cap} distinct values")
+    return [r["s"] for r in found]
 
 
 def apply_onehot(df: DataFrame, params: Params, drop_first: bool = False) -> DataFrame:

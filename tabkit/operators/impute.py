@@ -44,10 +44,9 @@ def fit_impute(df: DataFrame, cols: list[str], how: str = "mean", limit: int | N
     elif how == "mode":
         kinds = dict(df.dtypes)
         row = {}
-        for group in ([c for c in cols if kinds[c] == "string"], [c for c in cols if kinds[c] != "string"]):
-            if group:
-                narrowed = df.select(*[col(c) if kinds[c] == "string" else col(c).cast("double").alias(c) for c in group])
-                row.update({r["column"]: r["top"] for r in modes(narrowed, group).collect()})  # one row per column
+        for kind in dict.fromkeys(kinds[c] for c in cols):  # each in its own type: no number, flag or date becomes another one
+            group = [c for c in cols if kinds[c] == kind]
+            row.update({r["column"]: r["top"] for r in modes(df.select(*[col(c) for c in group]), group).collect()})  # one row per column
         row = [row.get(c, UNKNOWN if kinds[c] == "string" else None) for c in cols]
     else:
         raise ValueError(f"unknown method {how}")

@@ -58,12 +58,20 @@ def class_metrics(df: DataFrame, average: str = "macro", y: str = "y", pred: str
                    mean("recall").alias("recall"), mean("f1").alias("f1"))
 
 
-def confusion(df: DataFrame, labels: list, y: str = "y", pred: str = "pred") -> DataFrame:
-    """Zero-filled (actual, predicted, n) over a fixed label list; one aggregate without a shuffle of rows."""
-    pairs = [(a, b) for a in labels for b in labels]
-    agg = df.agg(*[F.count_if((col(y) == F.lit(a)) & (col(pred) == F.lit(b))).alias(f"n{i}") for i, (a, b) in enumerate(pairs)])
-    return agg.select(rows_from([F.struct(F.lit(a).alias("actual"), F.lit(b).alias("predicted"), F.col(f"n{i}").alias("n"))
-                                 for i, (a, b) in enumerate(pairs)]))
+def confusion(df: DataFrame, labels: list | DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
+    """Zero-filled (actual, predicted, n) over a label list or a one-column table of labels.
+
+    The rows are counted once; the grid of labels, which is the result, takes the counts by a join.
+    """
+    if isinstance(labels, DataFrame):
+        one = labels.select(F.col(labels.columns[0]).alias("actual"))
+    else:
+        kind = df.select(col(y)).schema[0].dataType
+        one = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(x).cast(kind) for x in labels])).alias("actual"))
+    grid = one.crossJoin(one.select(F.col("actual").alias("predicted")))  # one row per row of the result
+    counts = outcome_counts(df, y, pred).select(F.col("actual").alias("__a"), F.col("predicted").alias("__p"), "n")
+    out = grid.join(counts, (F.col("actual") == F.col("__a")) & (F.col("predicted") == F.col("__p")), "left")
+    return out.select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def _rates(tp: Column, fp: Column, pos: Column, neg: Column) -> dict[str, Column]:

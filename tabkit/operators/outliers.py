@@ -33,6 +33,8 @@ def iqr_report(df: DataFrame, cols: list[str], k: float = IQR_FACTOR, bounds: Pa
     """Quartiles, fences and how many non-null values lie outside, per column."""
     bounds = bounds or iqr_bounds(df, cols, k, limit)
     kept = [c for c in cols if c in bounds.values]
+    if not kept:
+        return df.sparkSession.createDataFrame([], "column string, q1 double, q3 double, iqr double, lower double, upper double, n_outliers long, pct_outliers double")
     aggs = []
     for i, c in enumerate(kept):
         b = bounds.values[c]

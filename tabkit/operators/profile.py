@@ -59,14 +59,15 @@ def describe_text(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe_all(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Numeric and text columns in one table; statistics that do not apply are null."""
+    """Numeric columns and all others (text, flags, dates, times; as text) in one table; statistics that do not apply are null."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    plain = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    text = [f.name for f in df.schema if isinstance(f.dataType, plain)]
     parts = []
     if numeric:
         parts.append(describe(df, numeric, limit))
     if text:
-        parts.append(describe_text(df, text))
+        parts.append(describe_text(df.select(*[col(c).cast("string").alias(c) for c in text]), text))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

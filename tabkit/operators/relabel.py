@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.runtime import col
+from ..functions.runtime import col, cut_lineage
 from .agreement import contingency
 from .combine import map_values
 from .encode import STRESS_CODES
-from .profile import levels
 
 CLUSTER_CAP = 100_000
 
@@ -82,6 +81,7 @@ def lost_classes(df: DataFrame, label: str) -> DataFrame:
 
 def transition(df: DataFrame, label: str) -> DataFrame:
     """Zero-filled (before, after, n) over the labels of either side."""
-    both = sorted({*levels(df, label), *levels(df, "corrected")})
     from .metrics import confusion
+    pairs = df.groupBy(col(label).alias("a"), F.col("corrected").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    both = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("label")).where("label is not null").distinct())
     return confusion(df, both, label, "corrected").select(F.col("actual").alias("before"), F.col("predicted").alias("after"), "n")

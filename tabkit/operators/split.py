@@ -17,7 +17,6 @@ from ..functions.runtime import UNIT_RANGE, col, unit_position
 
 CLASS_CAP = 10_000
 CLASSES_PER_PASS = 100
-PERIOD_CAP = 100_000
 
 
 def random_split(df: DataFrame, key: list[str], frac: float, seed: int = 0) -> DataFrame:

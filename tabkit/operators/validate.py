@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.runtime import col, rows_from
-
-DOMAIN_CAP = 1_000
+from .profile import value_table
 
 # Hour columns lie in a day, a grade average on a four-point scale.
 HOURS = (0.0, 24.0)
@@ -35,18 +34,17 @@ def rowsum_report(df: DataFrame, cols: list[str], high: float = 24.0) -> DataFra
     return agg.select("n_rows", "n_over", F.try_divide(100.0 * F.col("n_over"), F.col("n_rows")).alias("pct_over"))
 
 
-def domain_report(df: DataFrame, cols: list[str], cap: int = DOMAIN_CAP) -> DataFrame:
-    """Sorted distinct values per low-cardinality column; columns beyond ``cap`` give only the count."""
-    est = df.agg(*[F.approx_count_distinct(col(c)) for c in cols]).first()
-    listed = {c for c, n in zip(cols, est) if n <= cap}
-    agg = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count_distinct(col(c)).alias(f"d{i}"), F.count(col(c)).alias(f"n{i}"),
-        (F.array_sort(F.collect_set(col(c).cast("string"))) if c in listed
-         else F.lit(None).cast("array<string>")).alias(f"v{i}"))])
-    return agg.select(rows_from([
-        F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("n_unique"),
-                 (F.col(f"d{i}") == F.col(f"n{i}")).alias("is_unique"),
-                 F.array_join(F.col(f"v{i}"), ",").alias("domain")) for i, c in enumerate(cols)]))
+def domain_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, value, n): every distinct non-null value of every column, as text. One aggregate, any number of values."""
+    return value_table(df.select(*[col(c).cast("string").alias(c) for c in cols]), cols)
+
+
+def domain_report(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct values per column and whether each occurs once; ``domain_values`` lists them. Columns without values count zero."""
+    found = domain_values(df, cols).groupBy(F.col("column").alias("__c")).agg(F.count(F.lit(1)).alias("n_unique"), F.max("n").alias("__most"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = names.join(F.broadcast(found), F.col("column") == F.col("__c"), "left")  # one row per column
+    return out.select("column", F.coalesce("n_unique", F.lit(0)).alias("n_unique"), (F.coalesce("__most", F.lit(1)) == 1).alias("is_unique"))
 
 
 def unmapped(df: DataFrame, name: str, mapping: dict | list, fail: bool = False) -> DataFrame:
@@ -55,9 +53,9 @@ def unmapped(df: DataFrame, name: str, mapping: dict | list, fail: bool = False)
     out = (df.where(col(name).isNotNull() & ~col(name).isin(known)).groupBy(col(name).alias("value"))
            .agg(F.count(F.lit(1)).alias("n")))
     if fail:
-        bad = [r["value"] for r in out.orderBy("value").limit(20).collect()]
-        if bad:
-            raise ValueError(f"unmapped values in {name}: {bad}")
+        values, rows, example = out.agg(F.count(F.lit(1)), F.sum("n"), F.min("value")).first()
+        if values:
+            raise ValueError(f"{values} unmapped values in {rows} rows of {name}, the smallest is {example!r}; without fail= they come as a table")
     return out
 
 

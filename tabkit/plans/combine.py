@@ -60,14 +60,21 @@ def _(spark, d):
 
 # windows --------------------------------------------------------------------------------
 
-@query("returns_per_entity", """SELECT event_id, coalesce(CASE WHEN p <> 0 THEN value / p - 1 END, 0) AS ret, coalesce(CASE WHEN p <> 0 THEN ln(1 + (value / p - 1)) END, 0) AS log_ret
-       FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)""", doubles="ret log_ret")
+@query("returns_per_entity", """SELECT event_id, CASE WHEN rn = 1 THEN 0 WHEN p <> 0 THEN value / p - 1 END AS ret, CASE WHEN rn = 1 THEN 0 WHEN p <> 0 THEN ln(1 + (value / p - 1)) END AS log_ret
+       FROM (SELECT *, lag(value) OVER w AS p, row_number() OVER w AS rn FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""", doubles="ret log_ret")
 def _(spark, d):
     rows = table(spark, d, "events")
     out = combine.returns(rows, ["user_id"], ["ts", "event_id"], "value")
     return combine.returns(out, ["user_id"], ["ts", "event_id"], "value", "log_ret", log=True).select("event_id", "ret", "log_ret")
 
 
+@query("returns_after_gaps", """SELECT event_id, CASE WHEN rn = 1 THEN 0 WHEN p <> 0 THEN v / p - 1 END AS ret FROM (SELECT *, lag(v) OVER w AS p, row_number() OVER w AS rn
+       FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0.0 ELSE value END AS v FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""", doubles="ret")
+def _(spark, d):
+    rows = table(spark, d, "events").withColumn("v", F.expr("CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0.0D ELSE value END"))
+    return combine.returns(rows, ["user_id"], ["ts", "event_id"], "v").select("event_id", "ret")
+
+
 @query("delta_per_entity", "SELECT event_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS delta_value FROM events", doubles="delta_value")
 def _(spark, d):
     return combine.delta(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value").select("event_id", "delta_value")

@@ -34,13 +34,19 @@ def _(spark, d):
     return validate.rowsum_report(dirty.items(spark, d), ["quantity", "l_linenumber"], 40.0)
 
 
-@query("domain_report", """SELECT 'o_orderkey' AS "column", count(DISTINCT o_orderkey) AS n_unique, count(DISTINCT o_orderkey) = count(o_orderkey) AS is_unique, NULL AS domain FROM orders
-       UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus), false, (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT o_orderstatus AS x FROM orders)) FROM orders
-       UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority), false, (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT o_orderpriority AS x FROM orders)) FROM orders""")
+@query("domain_report", """SELECT 'o_orderkey' AS "column", count(DISTINCT o_orderkey) AS n_unique, count(DISTINCT o_orderkey) = count(o_orderkey) AS is_unique FROM orders
+       UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus), count(DISTINCT o_orderstatus) = count(o_orderstatus) FROM orders
+       UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority), count(DISTINCT o_orderpriority) = count(o_orderpriority) FROM orders""")
 def _(spark, d):
     return validate.domain_report(table(spark, d, "orders"), ["o_orderkey", "o_orderstatus", "o_orderpriority"])
 
 
+@query("domain_values", """SELECT 'o_custkey' AS "column", CAST(o_custkey AS VARCHAR) AS value, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey
+       UNION ALL SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority""")
+def _(spark, d):
+    return validate.domain_values(table(spark, d, "orders"), ["o_custkey", "o_orderpriority"])
+
+
 @query("unmapped_values", "SELECT o_orderpriority AS value, count(*) AS n FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH') GROUP BY 1")
 def _(spark, d):
     return validate.unmapped(table(spark, d, "orders"), "o_orderpriority", {"1-URGENT": 0, "2-HIGH": 1})

@@ -30,6 +30,34 @@ def _(spark, d):
     return sources.read_csv(spark, path)
 
 
+@query("csv_missing_tokens", """SELECT CAST(p_partkey AS INTEGER) AS p_partkey, CASE WHEN p_partkey % 11 <> 0 THEN p_name END AS p_name,
+       CASE WHEN p_partkey % 5 <> 0 AND p_partkey % 7 <> 0 THEN p_retailprice END AS price, CASE WHEN p_partkey % 3 <> 0 THEN p_size END AS size FROM part""")
+def _(spark, d):
+    path = scratch_path(spark, "csv")
+    rows = table(spark, d, "part").selectExpr(
+        "p_partkey", "CASE WHEN p_partkey % 11 = 0 THEN 'None' ELSE p_name END AS p_name",
+        "CASE WHEN p_partkey % 5 = 0 THEN 'NaN' WHEN p_partkey % 7 = 0 THEN 'N/A' ELSE CAST(p_retailprice AS STRING) END AS price",
+        "CASE WHEN p_partkey % 3 = 0 THEN 'NA' ELSE CAST(p_size AS STRING) END AS size")
+    sources.write_csv(rows, path)
+    return sources.read_csv(spark, path, encoding="UTF-8")
+
+
+@query("csv_quoted_separator", """SELECT CAST(p_partkey AS INTEGER) AS "key, part", p_retailprice AS "price, usd", p_name || '; ' || p_brand AS "name" FROM part""")
+def _(spark, d):
+    path = scratch_path(spark, "csv")
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("key, part"), F.col("p_retailprice").alias("price, usd"), F.concat_ws("; ", "p_name", "p_brand").alias("name"))
+    rows.write.option("header", True).option("sep", ";").option("quoteAll", True).option("escape", "\"").csv(path)
+    return sources.read_csv(spark, path)
+
+
+@query("csv_line_breaks", """SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name || chr(10) || 'said "' || p_brand || '", twice' AS note FROM part""")
+def _(spark, d):
+    path = scratch_path(spark, "csv")
+    rows = table(spark, d, "part").select("p_partkey", F.concat("p_name", F.lit("\nsaid \""), "p_brand", F.lit("\", twice")).alias("note"))
+    sources.write_csv(rows, path)
+    return sources.read_csv(spark, path, multiline=True)
+
+
 @query("csv_latin1", "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, 'Señor ' || s_name || ' é' AS s_name FROM supplier")
 def _(spark, d):
     path = scratch_path(spark, "csv")

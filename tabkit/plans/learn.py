@@ -185,11 +185,11 @@ def _(spark, d):
     return cluster.dbscan_sweep(table(spark, d, "embeddings"), "vec_id", [0.3, 0.6], MIN_SAMPLES, vec="embedding")
 
 
-@query("connected_components", """WITH RECURSIVE e AS (SELECT DISTINCT o_custkey % 211 * 10 AS u, o_custkey % 97 * 10 + 1 AS v FROM orders WHERE o_totalprice > 450000),
+@query("connected_components", """WITH RECURSIVE e AS (SELECT DISTINCT o_custkey % 211 * 10 AS u, o_custkey % 97 * 10 + 1 AS v FROM orders),
        b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r AS (SELECT u AS id, u AS root FROM b UNION SELECT b.v, r.root FROM r JOIN b ON r.id = b.u WHERE r.root < b.v)
        SELECT id, min(root) AS root FROM r GROUP BY 1""")
 def _(spark, d):
-    links = table(spark, d, "orders").where("o_totalprice > 450000").selectExpr("o_custkey % 211 * 10 AS u", "o_custkey % 97 * 10 + 1 AS v")
+    links = table(spark, d, "orders").selectExpr("o_custkey % 211 * 10 AS u", "o_custkey % 97 * 10 + 1 AS v")
     return neighbors.components(links)
 
 

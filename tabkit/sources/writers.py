@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    df.write.mode(mode).option("header", True).option("sep", sep).option("escape", "\"").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
