@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, row_number
@@ -30,7 +31,7 @@ ACCEPT_RATIO, REJECT_RATIO, MAX_CENTRES = 0.5, 0.22, 50
 SCORE_SILHOUETTE, SCORE_BALANCE, SCORE_NOISE = 0.6, 0.3, 0.1
 
 RESTARTS_AT_ONCE = 4
-MAX_BROADCAST_DOUBLES = 2**24  # 128 MB
+KERNEL_ROUNDING = 1e-16  # of the whole sum of kernels, may be left out
 
 
 def _vectors(df: DataFrame, cols: list[str] | None, vec: str | None) -> DataFrame:
@@ -291,87 +292,71 @@ def _with_memberships(points: DataFrame, key: str, centres: np.ndarray, m: float
 
 # subtractive ----------------------------------------------------------------------------
 
-def against_all(points: DataFrame, queries: np.ndarray, value, groups: int = 1) -> DataFrame:
-    """(q, g, total): for each query row the sum of ``value(distances²)`` over all points, by group.
+def potentials(df: DataFrame, key: str, ra: float = SUBTRACTIVE_RA, cols: list[str] | None = None, vec: str | None = None,
+               candidates: int | None = None, seed: int = 0) -> DataFrame:
+    """(id, vec, potential) of the rows, copies of a vector as one; each potential sums over all rows.
 
-    The queries are broadcast (size checked here) and every task reduces its own points, so
-    only query totals are shuffled.
+    Beyond the reach at which the kernels of all rows together fall below rounding nothing is compared, so the cost is that of a radius
+    search; when that reach covers the data it is quadratic, in blocks. ``candidates`` asks for that many rows by key hash instead of all.
     """
-    if queries.size > MAX_BROADCAST_DOUBLES:
-        raise ValueError(f"{len(queries)} query rows are too many to send to every task; pass a sample")
-    shared = points.sparkSession.sparkContext.broadcast(queries)
-    grouped = "g" in points.columns
-
-    def totals(batches):
-        q = shared.value
-        out = np.zeros((len(q), groups))
-        for pdf in batches:
-            for at in range(0, len(pdf), 1024):
-                part = pdf.iloc[at:at + 1024]
-                x = _matrix(part["vec"])
-                w = part["w"].to_numpy(dtype=float)
-                onehot = np.zeros((len(part), groups))
-                onehot[np.arange(len(part)), part["g"].to_numpy(dtype=int) if grouped else 0] = w
-                for s in range(0, len(q), 2048):
-                    out[s:s + 2048] += value(square_distances(q[s:s + 2048], x)) @ onehot
-        i, g = np.nonzero(out)
-        yield pd.DataFrame({"q": i.astype("int64"), "g": g.astype("int32"), "total": out[i, g]})
-    return points.mapInPandas(totals, "q long, g int, total double").groupBy("q", "g").agg(F.sum("total").alias("total"))
-
-
-def potentials(df: DataFrame, key: str, ra: float = SUBTRACTIVE_RA, cols: list[str] | None = None, vec: str | None = None,
-               candidates: int | None = None, seed: int = 0) -> pd.DataFrame:
-    """(id, vec, potential) of the candidate rows; each potential sums over all rows."""
-    points = as_points(df, key, cols, vec)
-    single = cut_lineage(distinct_points(points))
-    picked = single
-    if candidates is not None:
-        picked = single.orderBy(unit_position(["id"], seed), "id").limit(candidates)
-    n, dims = picked.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
-    if n * (dims or 1) > MAX_BROADCAST_DOUBLES:
-        raise ValueError("too many rows for every row to be a candidate centre; pass candidates=")
-    chosen = picked.select("id", "vec").orderBy("id").toPandas()
-    q = _matrix(chosen["vec"])
-    scale = (ra / 2.0) ** 2
-    sums = against_all(single, q, lambda d2: np.exp(-d2 / scale)).toPandas()
-    chosen["potential"] = 0.0
-    chosen.loc[sums["q"].to_numpy(), "potential"] = sums["total"].to_numpy()
-    return chosen
+    single = cut_lineage(distinct_points(as_points(df, key, cols, vec)))
+    picked = single if candidates is None else single.orderBy(unit_position(["id"], seed), "id").limit(candidates)
+    n = max(1, single.agg(F.sum("w")).first()[0] or 1)
+    scale, reach = (ra / 2.0) ** 2, (ra / 2.0) * math.sqrt(math.log(n) - math.log(KERNEL_ROUNDING))
+
+    def total(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"id": x["id"][:0], "potential": np.zeros(0)})
+        return pd.DataFrame({"id": x["id"], "potential": np.exp(-square_distances(_matrix(x["vec"]), _matrix(y["vec"])) / scale) @ y["w"].to_numpy(dtype=float)})
+    kind = single.schema["id"].dataType.simpleString()
+    sums = compare_blocks(picked.select("id", "vec"), single, choose_pivots(single), reach, total, f"id {kind}, potential double")
+    sums = sums.groupBy(F.col("id").alias("__id")).agg(F.sum("potential").alias("potential"))
+    return picked.join(sums, F.col("id") == F.col("__id")).select("id", "vec", "potential")
 
 
 def subtractive(df: DataFrame, key: str, ra: float = SUBTRACTIVE_RA, rb: float = SUBTRACTIVE_RB, cols: list[str] | None = None,
                 vec: str | None = None, candidates: int | None = None, seed: int = 0) -> tuple[DataFrame, list[list[float]]]:
-    """Density peaks as centres, every row labelled with the nearest.
-
-    All rows are candidates while they fit into one broadcast; for a larger table say how many
-    (a hash sample) may become centres. Potentials always count every row.
-    """
-    table = potentials(df, key, ra, cols, vec, candidates, seed)
-    centres = _peaks(_matrix(table["vec"]), table["potential"].to_numpy(), ra, rb)
-    return assign_nearest(df, centres.tolist(), cols, vec), centres.tolist()
-
-
-def _peaks(x: np.ndarray, potential: np.ndarray, ra: float, rb: float) -> np.ndarray:
-    left = potential.astype(float).copy()
-    at = int(left.argmax())
-    first = height = left[at]
-    centres = [at]
+    """Density peaks as centres, every row labelled with the nearest. All rows may become centres, unless ``candidates`` asks for a sample."""
+    table = cut_lineage(potentials(df, key, ra, cols, vec, candidates, seed))
+    centres = _peaks(table, ra, rb)
+    return assign_nearest(df, centres, cols, vec), centres
+
+
+def _peaks(table: DataFrame, ra: float, rb: float) -> list[list[float]]:
+    """One pass over the potential table per peak. What earlier peaks took away is applied as a fold over the few peaks so far."""
+    lowered: list[tuple[list[float], float]] = []
+    dropped: list = []
+
+    def highest() -> tuple:
+        left = F.col("potential")
+        if lowered:
+            steps = F.array(*[F.struct(F.array(*map(F.lit, v)).alias("v"), F.lit(h).alias("h")) for v, h in lowered])
+
+            def square(v: Column) -> Column:
+                return F.aggregate(F.zip_with("vec", v, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, d: total + d)
+            left = F.aggregate(steps, left, lambda at, s: F.greatest(at - s["h"] * F.exp(-square(s["v"]) / (rb / 2.0) ** 2), F.lit(0.0)))
+        if dropped:
+            left = F.when(F.col("id").isin(dropped), F.lit(0.0)).otherwise(left)
+        rows = table.select("id", "vec", left.alias("left"))
+        best = rows.agg(F.min_by(F.struct("id", "vec", "left"), F.struct(-F.col("left"), F.col("id")))).first()[0]
+        return best["id"], list(best["vec"]), best["left"]
+
+    if table.isEmpty():
+        return []
+    _, newest, first = highest()
+    centres, height = [newest], first
     while len(centres) < MAX_CENTRES and first > 0:
-        # the newest centre weakens its surroundings in every round, also after a rejected peak
-        d2 = np.square(x - x[centres[-1]]).sum(1)
-        left = np.maximum(left - height * np.exp(-d2 / (rb / 2.0) ** 2), 0.0)
-        at = int(left.argmax())
-        ratio = left[at] / first
-        if ratio < REJECT_RATIO:
+        lowered.append((newest, height))  # the newest centre weakens its surroundings again after a rejected peak
+        at, place, left = highest()
+        if left / first < REJECT_RATIO or left <= 0:
             break
-        if ratio > ACCEPT_RATIO or np.sqrt(np.square(x[centres] - x[at]).sum(1)).min() > ra:
-            centres.append(at)
-            height = left[at]
+        nearest = min(math.dist(place, c) for c in centres)
+        if left / first > ACCEPT_RATIO or nearest > ra:
+            centres.append(place)
+            newest, height = place, left
         else:
-            left[at] = 0.0
-            if left.max() <= 0:
-                break
-    return x[centres]
+            dropped.append(at)
+    return centres
 
 
 # choice and stability -------------------------------------------------------------------

@@ -10,10 +10,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.runtime import bounded, col, unit_position
+from ..functions.runtime import bounded, col, cut_lineage, unit_position
 from .agreement import cluster_balance
-from .cluster import MAX_BROADCAST_DOUBLES, against_all, cluster_counts
-from .neighbors import _matrix, square_distances
+from .cluster import cluster_counts
+from .neighbors import _matrix, compare_blocks, square_distances
 
 
 def _labelled(df: DataFrame, cluster: str, cols: list[str] | None, vec: str | None, key: str | None = None) -> DataFrame:
@@ -21,51 +21,41 @@ def _labelled(df: DataFrame, cluster: str, cols: list[str] | None, vec: str | No
     return df.where(col(cluster) != -1).select(*([col(key).alias("id")] if key else []), v.alias("vec"), col(cluster).alias("cluster"))
 
 
-def _sizes(rows: DataFrame) -> list[tuple[int, int]]:
-    return sorted((r[0], r[1]) for r in rows.groupBy("cluster").agg(F.count(F.lit(1))).collect())  # one row per cluster
-
-
 def silhouette(df: DataFrame, key: str, cluster: str, cols: list[str] | None = None, vec: str | None = None,
                metric: str = "euclidean", sample: int | None = None, seed: int = 0) -> DataFrame:
     """Mean silhouette without noise; null unless there are 2 to n - 1 clusters.
 
-    ``euclidean`` needs all distances and is for tables whose rows fit one broadcast; beyond
-    that ask for ``sample`` rows (each still measured against every row; the result says so), or
-    for ``squared``, which has a closed form and costs one pass at any size.
+    ``euclidean`` is a mean over all pairs of rows, which are compared block by block: quadratic work by definition. ``sample`` measures that
+    many rows against every row (the result says so); ``squared`` has a closed form and costs one pass.
     """
     rows = _labelled(df, cluster, cols, vec, key)
-    sizes = _sizes(rows)
-    n = sum(s for _, s in sizes)
-    if not 1 < len(sizes) < n:
+    n, k = rows.agg(F.count(F.lit(1)), F.count_distinct("cluster")).first()
+    if not 1 < k < n:
         return df.sparkSession.createDataFrame([(None, n, False)], "silhouette double, n long, is_estimate boolean")
     if metric == "squared":
         vectors = rows.select(array_to_vector("vec").alias("features"), F.col("cluster").cast("double").alias("prediction"))
         s = ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(vectors)
         return df.sparkSession.createDataFrame([(float(s), n, False)], "silhouette double, n long, is_estimate boolean")
-    number = {c: i for i, (c, _) in enumerate(sizes)}
-    g = F.lit(None).cast("int")
-    for c, i in number.items():
-        g = F.when(F.col("cluster") == F.lit(c), i).otherwise(g)
-    rows = rows.select("id", "vec", g.alias("g"), F.lit(1).alias("w"))
     picked = rows.orderBy(unit_position(["id"], seed), "id").limit(sample) if sample else rows
-    dims = rows.select(F.size("vec")).first()[0]
-    if min(n, sample or n) * dims > MAX_BROADCAST_DOUBLES:
-        raise ValueError("too many rows for exact Euclidean silhouettes; pass sample= or metric='squared'")
-    own = picked.select("id", "vec", "g").toPandas()
-    totals = against_all(rows, _matrix(own["vec"]), np.sqrt, len(sizes)).toPandas()
-    sums = np.zeros((len(own), len(sizes)))
-    sums[totals["q"].to_numpy(), totals["g"].to_numpy()] = totals["total"].to_numpy()
-    count = np.array([s for _, s in sizes], dtype=float)
-    mine = own["g"].to_numpy(dtype=int)
-    at = np.arange(len(own))
-    mean = sums / count
-    inner = sums[at, mine] / np.maximum(count[mine] - 1, 1)
-    mean[at, mine] = np.inf
-    outer = mean.min(axis=1)
-    top = np.maximum(inner, outer)
-    s = np.where((count[mine] > 1) & (top > 0), (outer - inner) / np.where(top > 0, top, 1.0), 0.0)
-    return df.sparkSession.createDataFrame([(float(s.mean()), n, bool(sample and sample < n))],
-                                           "silhouette double, n long, is_estimate boolean")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def sums(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"id": x["id"][:0], "other": y["cluster"][:0], "total": np.zeros(0)})
+        other, at = np.unique(y["cluster"].to_numpy(), return_inverse=True)
+        total = np.sqrt(square_distances(_matrix(x["vec"]), _matrix(y["vec"]))) @ np.eye(len(other))[at]
+        return pd.DataFrame({"id": np.repeat(x["id"].to_numpy(), len(other)), "other": np.tile(other, len(x)), "total": total.ravel()})
+    parts = compare_blocks(picked.select("id", "vec"), rows, np.zeros((0, 0)), 0.0, sums, f"id {kinds['id']}, other {kinds['cluster']}, total double")
+    totals = parts.groupBy("id", "other").agg(F.sum("total").alias("total"))
+    counts = rows.groupBy(F.col("cluster").alias("__c")).agg(F.count(F.lit(1)).alias("n"))
+    own = picked.select(F.col("id").alias("__id"), "cluster")
+    each = totals.join(counts, F.col("other") == F.col("__c")).join(own, F.col("id") == F.col("__id"))
+    same = F.col("other") == F.col("cluster")
+    inner, outer = F.max(F.when(same & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))), F.min(F.when(~same, F.col("total") / F.col("n")))
+    each = each.groupBy("id").agg(inner.alias("a"), outer.alias("b"))
+    top = F.greatest("a", "b")
+    value = F.coalesce(F.when(F.col("a").isNotNull() & (top > 0), (F.col("b") - F.col("a")) / top), F.lit(0.0))
+    return each.agg(F.avg(value).alias("silhouette")).withColumns({"n": F.lit(n).cast("long"), "is_estimate": F.lit(bool(sample and sample < n))})
 
 
 def _centroids(rows: DataFrame) -> DataFrame:
@@ -84,23 +74,20 @@ def davies_bouldin(df: DataFrame, cluster: str, cols: list[str] | None = None, v
     cent = _centroids(rows)
     spread = (rows.join(bounded(cent.select(F.col("cluster").alias("c"), "centroid")), F.col("cluster") == F.col("c"))
               .groupBy("c").agg(F.avg(F.sqrt(_square("vec", "centroid"))).alias("s"), F.first("centroid").alias("v")))
-    model = spread.toPandas()  # one row per cluster
-    if len(model) < 2:
+    spread = cut_lineage(spread.select(F.col("c").alias("id"), "s", F.col("v").alias("vec")))
+    if spread.count() < 2:
         return df.sparkSession.createDataFrame([(None,)], "davies_bouldin double")
-    centres = _matrix(model["v"])
-    if centres.size > MAX_BROADCAST_DOUBLES:
-        raise ValueError(f"{len(model)} clusters are too many to compare with each other")
-    shared = df.sparkSession.sparkContext.broadcast((model["c"].to_numpy(), model["s"].to_numpy(), centres))
-
-    def worst(batches):
-        ids, s, c = shared.value
-        for pdf in batches:
-            if len(pdf):
-                d = np.sqrt(square_distances(_matrix(pdf["v"]), c))
-                apart = (d > 0) & (pdf["c"].to_numpy()[:, None] != ids[None, :])
-                r = np.where(apart, (pdf["s"].to_numpy()[:, None] + s[None, :]) / np.where(apart, d, 1.0), 0.0)
-                yield pd.DataFrame({"r": r.max(axis=1)})
-    return spread.mapInPandas(worst, "r double").agg(F.avg("r").alias("davies_bouldin"))
+
+    def worst(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"id": x["id"][:0], "r": np.zeros(0)})
+        d = np.sqrt(square_distances(_matrix(x["vec"]), _matrix(y["vec"])))
+        apart = (d > 0) & (x["id"].to_numpy()[:, None] != y["id"].to_numpy()[None, :])
+        r = np.where(apart, (x["s"].to_numpy()[:, None] + y["s"].to_numpy()[None, :]) / np.where(apart, d, 1.0), 0.0)
+        return pd.DataFrame({"id": x["id"], "r": r.max(axis=1)})
+    kind = spread.schema["id"].dataType.simpleString()
+    pairs = compare_blocks(spread, spread, np.zeros((0, 0)), 0.0, worst, f"id {kind}, r double")
+    return pairs.groupBy("id").agg(F.max("r").alias("r")).agg(F.avg("r").alias("davies_bouldin"))
 
 
 def calinski_harabasz(df: DataFrame, cluster: str, cols: list[str] | None = None, vec: str | None = None) -> DataFrame:

@@ -220,14 +220,13 @@ def _(spark, d):
 
 @query("subtractive_potentials", f"SELECT i AS vec_id, sum(exp(-dist * dist / 1.21)) AS potential FROM {_PAIRS} GROUP BY 1", doubles="potential", scale=5)
 def _(spark, d):
-    out = cluster.potentials(table(spark, d, "embeddings"), "vec_id", vec="embedding")
-    return spark.createDataFrame(out[["id", "potential"]], "vec_id long, potential double")
+    return cluster.potentials(table(spark, d, "embeddings"), "vec_id", vec="embedding").select(F.col("id").alias("vec_id"), "potential")
 
 
 @query("subtractive_clusters", f"SELECT event_id, n FROM {_BLOBS_SQL} JOIN (SELECT truth, count(*) AS n FROM {_BLOBS_SQL} GROUP BY 1) USING (truth)")
 def _(spark, d):
     rows = blobs(spark, d)
-    labelled = cluster.subtractive(rows, "event_id", 20.0, 30.0, ["x", "y"], candidates=2_000)[0]
+    labelled = cluster.subtractive(rows, "event_id", 20.0, 30.0, ["x", "y"])[0]
     sizes = labelled.groupBy(F.col("cluster").alias("c")).agg(F.count(F.lit(1)).alias("n"))
     return labelled.join(sizes, F.col("cluster") == F.col("c")).select("event_id", "n")
 

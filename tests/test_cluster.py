@@ -176,7 +176,7 @@ def test_subtractive(cloud):
     ra, rb = 2.2, 3.3
     labelled, centres = cluster.subtractive(df, "id", ra, rb, COLS)
     p = np.exp(-np.square(brute(x, x)) / (ra / 2) ** 2).sum(1)
-    table = cluster.potentials(df, "id", ra, COLS)
+    table = cluster.potentials(df, "id", ra, COLS).toPandas()
     np.testing.assert_allclose(table["potential"], [p[i] for i in table["id"]], rtol=1e-10)
     assert np.allclose(centres[0], x[p.argmax()])
     d = brute(x, np.array(centres))
