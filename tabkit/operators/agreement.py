@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.runtime import bounded, col
+from ..functions.runtime import bounded, col, cut_lineage
 from .profile import error_by_group
 
 # Purity bands of the verdict and the guard inside the balance logarithm.
@@ -114,7 +114,8 @@ def purity_verdict(metrics: DataFrame, value: str = "purity") -> DataFrame:
 def cluster_balance(df: DataFrame, cluster: str) -> DataFrame:
     """Normalised entropy of the cluster sizes, noise left out; 0 without clusters."""
     sizes = df.where(col(cluster) != -1).groupBy(col(cluster)).agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1))))  # one row per cluster
+    sizes = cut_lineage(sizes)
+    sizes = sizes.withColumn("p", F.col("n") / sizes.agg(F.sum("n")).scalar())
     p = F.col("p")
     agg = sizes.agg((-F.sum(p * F.ln(p + LOG_GUARD))).alias("h"), F.count(F.lit(1)).alias("k"))
     return agg.select(F.coalesce(F.when(F.col("k") > 1, F.col("h") / F.ln(F.col("k").cast("double"))).otherwise(F.col("h")),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.quantiles import grouped_quantiles, quantile_columns
-from ..functions.runtime import bounded, col, rows_from
+from ..functions.runtime import bounded, col, cut_lineage, rows_from
 
 PIVOT_CAP = 1_000
 
@@ -129,8 +129,13 @@ def nunique(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
 def value_counts(df: DataFrame, name: str) -> DataFrame:
     """Frequency and % of each value; null is a value of its own."""
     counts = df.groupBy(col(name).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.select("value", "n", (100.0 * F.col("n") / total).alias("pct"))
+    return _of_all(counts, F.sum("n").alias("total")).select("value", "n", (100.0 * F.col("n") / F.col("all.total")).alias("pct"))
+
+
+def _of_all(counts: DataFrame, *totals: Column) -> DataFrame:
+    """The counts, computed once, each with the totals over all of them in column ``all``."""
+    kept = cut_lineage(counts)
+    return kept.withColumn("all", kept.agg(F.struct(*totals)).scalar())
 
 
 def group_mean(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -239,17 +244,17 @@ def boxplot_stats(df: DataFrame, cols: list[str], by: str | None = None, k: floa
 def class_balance(df: DataFrame, label: str, threshold: float = 1.5) -> DataFrame:
     """Count and % per class, the largest-to-smallest ratio and whether it exceeds ``threshold``."""
     counts = df.where(col(label).isNotNull()).groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    every = Window.partitionBy(F.lit(1))  # one row per class
-    ratio = F.max("n").over(every) / F.min("n").over(every)
-    return counts.select("label", "n", (100.0 * F.col("n") / F.sum("n").over(every)).alias("pct"),
+    counts = _of_all(counts, F.sum("n").alias("total"), (F.max("n") / F.min("n")).alias("ratio"))
+    ratio = F.col("all.ratio")
+    return counts.select("label", "n", (100.0 * F.col("n") / F.col("all.total")).alias("pct"),
                          ratio.alias("max_min_ratio"), (ratio > threshold).alias("imbalanced"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight n / (classes * n_class)."""
     counts = df.where(col(label).isNotNull()).groupBy(col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    every = Window.partitionBy(F.lit(1))  # one row per class
-    return counts.select("label", "n", (F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))).alias("weight"))
+    counts = _of_all(counts, (F.sum("n") / F.count(F.lit(1))).alias("mean"))
+    return counts.select("label", "n", (F.col("all.mean") / F.col("n")).alias("weight"))
 
 
 def prevalence(df: DataFrame, keys: list[str], label: str) -> DataFrame:

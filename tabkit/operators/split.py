@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import order_statistics
-from ..functions.runtime import UNIT_RANGE, col, unit_position
+from ..functions.ordered import in_order, row_number
+from ..functions.runtime import UNIT_RANGE, bounded, col, unit_position
 
-CLASS_CAP = 10_000
 CLASSES_PER_PASS = 100
 
 
@@ -25,13 +25,21 @@ def random_split(df: DataFrame, key: list[str], frac: float, seed: int = 0) -> D
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
-def _class_counts(df: DataFrame, label: str) -> list[tuple[object, int]]:
-    rows = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).limit(CLASS_CAP + 1).collect()
-    if len(rows) > CLASS_CAP:
-        raise ValueError(f"{label} has more than {CLASS_CAP} classes")
+def _class_counts(df: DataFrame, label: str) -> list[tuple[object, int]] | None:
+    """Few classes are solved by their cut positions, without ranking any row; None for more of them."""
+    rows = df.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).limit(CLASSES_PER_PASS + 1).collect()
+    if len(rows) > CLASSES_PER_PASS:
+        return None
     return sorted(((r[0], r["n"]) for r in rows), key=lambda x: (x[0] is None, x[0]))
 
 
+def _ranked(df: DataFrame, key: list[str], label: str, seed: int) -> DataFrame:
+    """Rows with their rank by position inside their class (``__rank``) and its size (``__n``): any number of classes, hot ones in ranges."""
+    ranked = in_order(df.withColumn("__u", unit_position(key, seed)), [label], ["__u", *key], {"__rank": row_number()})
+    sizes = bounded(df.groupBy(col(label).alias("__y")).agg(F.count(F.lit(1)).alias("__n")))
+    return ranked.join(sizes, col(label).eqNullSafe(F.col("__y"))).drop("__u", "__y")
+
+
 def _cut_points(df: DataFrame, key: list[str], label: str, wanted: dict, seed: int, limit: int | None) -> dict:
     """Position of the given 0-based ranks inside each class: ``{class: {rank: position}}``."""
     classes = [c for c, (n, ranks) in wanted.items() if ranks]
@@ -73,6 +81,12 @@ def three_way_split(df: DataFrame, key: list[str], label: str, valid: float = 0.
 
 def _cut_split(df, key, label, parts, rest, seed, limit) -> DataFrame:
     counts = _class_counts(df, label)
+    if counts is None:
+        expr, upto = F.lit(rest), sum(f for _, f in parts)
+        for name, f in reversed(parts):
+            expr = F.when(F.col("__rank") <= F.floor(upto * F.col("__n") + 0.5), name).otherwise(expr)
+            upto -= f
+        return _ranked(df, key, label, seed).withColumn("split", expr).drop("__rank", "__n")
     wanted, sizes = {}, {}
     for c, n in counts:
         ends, upto = [], 0.0
@@ -97,6 +111,9 @@ def _cut_split(df, key, label, parts, rest, seed, limit) -> DataFrame:
 def kfold(df: DataFrame, key: list[str], label: str, k: int = 5, seed: int = 0, limit: int | None = None) -> DataFrame:
     """Column ``fold`` 0..k-1; fold sizes differ by at most one row inside every class."""
     counts = _class_counts(df, label)
+    if counts is None:
+        fold = sum((F.when(F.col("__rank") > F.floor(F.lit(i) * F.col("__n") / k), 1).otherwise(0) for i in range(1, k)), F.lit(0))
+        return _ranked(df, key, label, seed).withColumn("fold", fold.cast("int")).drop("__rank", "__n")
     ends = {c: [i * n // k for i in range(1, k)] for c, n in counts}
     wanted = {c: (n, sorted({e - 1 for e in ends[c] if e > 0})) for c, n in counts}
     cuts = _cut_points(df, key, label, wanted, seed, limit)
@@ -112,7 +129,12 @@ def kfold(df: DataFrame, key: list[str], label: str, k: int = 5, seed: int = 0,
 
 def undersample(df: DataFrame, key: list[str], label: str, seed: int = 0, limit: int | None = None) -> DataFrame:
     """The same number of rows from every class: as many as the smallest class has."""
-    counts = [(c, n) for c, n in _class_counts(df, label) if c is not None]
+    counts = _class_counts(df, label)
+    if counts is None:
+        known = df.where(col(label).isNotNull())
+        least = known.groupBy(col(label)).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n")).first()[0]
+        return _ranked(known, key, label, seed).where(F.col("__rank") <= least).drop("__rank", "__n")
+    counts = [(c, n) for c, n in counts if c is not None]
     least = min(n for _, n in counts)
     cuts = _cut_points(df, key, label, {c: (n, [least - 1]) for c, n in counts}, seed, limit)
     cases = {c: F.lit(cuts[c][least - 1]) for c, _ in counts}

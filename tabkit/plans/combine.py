@@ -302,6 +302,24 @@ def _(spark, d):
     return split.stratified_split(rows, ["o_orderkey"], "o_orderpriority", 0.2, 3)
 
 
+_BY_CUSTOMER = f"""(SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY {_unit('o_orderkey', 3)}, o_orderkey) AS rn, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)"""
+
+
+@query("stratified_split_many_classes", f"""SELECT o_orderkey, o_custkey, CASE WHEN rn <= floor(0.2 * n + 0.5) THEN 'test' ELSE 'train' END AS split FROM {_BY_CUSTOMER}""")
+def _(spark, d):
+    return split.stratified_split(table(spark, d, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], "o_custkey", 0.2, 3)
+
+
+@query("stratified_folds_many_classes", f"""SELECT o_orderkey, CAST((CASE WHEN rn > n // 3 THEN 1 ELSE 0 END) + (CASE WHEN rn > 2 * n // 3 THEN 1 ELSE 0 END) AS INTEGER) AS fold FROM {_BY_CUSTOMER}""")
+def _(spark, d):
+    return split.kfold(table(spark, d, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], "o_custkey", 3, 3).select("o_orderkey", "fold")
+
+
+@query("undersample_many_classes", f"""SELECT o_orderkey FROM {_BY_CUSTOMER} WHERE rn <= (SELECT min(n) FROM {_BY_CUSTOMER})""")
+def _(spark, d):
+    return split.undersample(table(spark, d, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], "o_custkey", 3).select("o_orderkey")
+
+
 @query("three_way_split", f"""SELECT o_orderkey, o_orderpriority, CASE WHEN rn <= floor(0.2 * n + 0.5) THEN 'test' WHEN rn <= floor(0.4 * n + 0.5) THEN 'valid' ELSE 'train' END AS split FROM (SELECT *,
        row_number() OVER (PARTITION BY o_orderpriority ORDER BY {_unit('o_orderkey', 3)}) AS rn, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)""")
 def _(spark, d):

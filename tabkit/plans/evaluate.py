@@ -51,6 +51,16 @@ def _(spark, d):
     return metrics.confusion(classes(spark, d), ["A", "N", "R", "X"])
 
 
+_MANY = "(SELECT l_suppkey AS y, l_partkey % 100 + 1 AS pred FROM lineitem)"
+
+
+@query("confusion_many_labels", f"""SELECT a.y AS actual, b.y AS predicted, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT y FROM {_MANY}) a CROSS JOIN (SELECT DISTINCT y FROM {_MANY}) b
+       LEFT JOIN (SELECT y, pred, count(*) AS n FROM {_MANY} GROUP BY 1, 2) c ON c.y = a.y AND c.pred = b.y""")
+def _(spark, d):
+    rows = table(spark, d, "lineitem").selectExpr("l_suppkey AS y", "l_partkey % 100 + 1 AS pred")
+    return metrics.confusion(rows, rows.select("y").distinct())
+
+
 _CLIPPED = f"(SELECT y, greatest(1e-8, least(1 - 1e-8, prob)) AS p FROM {SCORED_SQL})"
 
 
