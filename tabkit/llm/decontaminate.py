@@ -37,8 +37,10 @@ def shingle_hashes(tokens: Column, k: int = SHINGLE_WORDS) -> Column:
 
 
 def shingles(tokens: Column, k: int = SHINGLE_WORDS) -> Column:
-    return (F.when(F.size(tokens) >= k, F.transform(_starts(tokens, k), lambda i: F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(k)])))
-            .when(F.size(tokens) > 0, F.array(F.array_join(tokens, " "))).otherwise(F.array().cast("array<string>")))
+    def of(w: Column) -> Column:
+        return (F.when(F.size(w) >= k, F.transform(_starts(w, k), lambda i: F.concat_ws(" ", *[F.get(w, i + j) for j in range(k)])))
+                .when(F.size(w) > 0, F.array(F.array_join(w, " "))).otherwise(F.array().cast("array<string>")))
+    return F.transform(F.array(tokens), of)[0]
 
 
 def _text_key(text: Column) -> list[Column]:
@@ -65,7 +67,8 @@ def _matches(docs: DataFrame, text: str, items: DataFrame, item_id: str, item_te
     named = texts.select(*_text_key(F.col("__text")), "__text")
     pairs = named.join(found, ["__k1", "__k2"])
     shared = F.size(F.array_intersect("__shingles", shingles(_tokens(F.col("__text")))))
-    held = pairs.select("__k1", "__k2", "__item", "__n", shared.alias("__shared")).where(100 * F.col("__shared") >= MIN_CONTAINMENT_PERCENT * F.col("__n"))
+    # a one-row generator keeps the filter from counting once more
+    held = pairs.select("__k1", "__k2", "__item", "__n", F.explode(F.array(shared)).alias("__shared")).where(100 * F.col("__shared") >= MIN_CONTAINMENT_PERCENT * F.col("__n"))
     return held.groupBy("__k1", "__k2", "__item").agg(F.max("__n").alias("__n"), F.max("__shared").alias("__shared"))
 
 
