@@ -81,7 +81,28 @@ def bounded(df: DataFrame, cap: int = BROADCAST_ROWS) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder next to the checkpoints, readable by every executor."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+_scratch: list[str] = []
+
+
+@contextmanager
+def temporary_scratch(spark: SparkSession):
+    """Delete the scratch folders made inside, once what was computed from them has been written elsewhere."""
+    before = len(_scratch)
+    try:
+        yield
+    finally:
+        while len(_scratch) > before:
+            delete_path(spark, _scratch.pop())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def all_of(conditions: list[Column]) -> Column:

@@ -12,6 +12,7 @@ from ..functions.scalars import PROB_FLOOR, clip
 
 # Thresholds always tried, score quantiles tried, weights of the selection score.
 BASE_THRESHOLDS = [0.15, 0.20, 0.25, 0.30, 0.40, 0.50, 0.60, 0.70]
+FULL_LOW, FULL_HIGH, FULL_CUTS = 0.2, 0.8, 25
 SCORE_QUANTILES = [0.20, 0.40, 0.60, 0.80]
 SELECTION_WEIGHTS = {"f1": 0.28, "balanced_accuracy": 0.22, "specificity": 0.18, "pr_auc": 0.17, "roc_auc": 0.10}
 BRIER_WEIGHT = 0.05
@@ -144,14 +145,20 @@ def evaluate(df: DataFrame, threshold: float = 0.5, y: str = "y", prob: str = "p
             .select("*", "__rank.roc_auc", "__rank.pr_auc").drop("__rank"))
 
 
-def threshold_candidates(df: DataFrame, prob: str = "prob", rows_per_task: int | None = None) -> DataFrame:
-    """Fixed list, 0.5, rounded score quantiles, and midpoints between neighbouring distinct scores."""
-    q = quantiles(df, [prob], SCORE_QUANTILES)[prob] or []
-    fixed = sorted({0.5, *BASE_THRESHOLDS, *[round(v, 3) for v in q]})
+def threshold_candidates(df: DataFrame, prob: str = "prob", rows_per_task: int | None = None, full: bool = False) -> DataFrame:
+    """Fixed list, 0.5, rounded score quantiles, and midpoints between neighbouring distinct scores. ``full``: even cuts for the
+    fixed list and every rounded score for the quantiles."""
+    if full:
+        fixed = sorted({0.5, *[round(FULL_LOW + i * (FULL_HIGH - FULL_LOW) / (FULL_CUTS - 1), 9) for i in range(FULL_CUTS)]})
+    else:
+        q = quantiles(df, [prob], SCORE_QUANTILES)[prob] or []
+        fixed = sorted({0.5, *BASE_THRESHOLDS, *[round(v, 3) for v in q]})
     scores = df.select(F.bround(col(prob), 6).alias("s")).where(F.col("s").isNotNull()).distinct()
     mids = in_order(cut_lineage(scores), [], ["s"], {"p": previous(F.col("s"))}, rows_per_task).where("p is not null") \
         .select(F.bround((F.col("s") + F.col("p")) / 2, 6).alias("threshold"))
     given = df.sparkSession.createDataFrame([(float(v),) for v in fixed], "threshold double")
+    if full:
+        given = given.union(df.select(F.bround(col(prob), 3)).where(col(prob).isNotNull()).distinct())
     return mids.union(given).distinct()
 
 
@@ -175,14 +182,14 @@ def sweep(df: DataFrame, candidates: DataFrame, y: str = "y", prob: str = "prob"
     return rows.select((-F.col("d")).alias("threshold"), *[e.alias(n) for n, e in rates.items()])
 
 
-def threshold_table(df: DataFrame, y: str = "y", prob: str = "prob", rows_per_task: int | None = None) -> DataFrame:
-    """All candidates, best first. The ranking metrics do not depend on the threshold; they join as constants."""
-    table = sweep(df, threshold_candidates(df, prob, rows_per_task), y, prob, rows_per_task)
+def threshold_table(df: DataFrame, y: str = "y", prob: str = "prob", rows_per_task: int | None = None, full: bool = False) -> DataFrame:
+    """All candidates, best first."""
+    table = sweep(df, threshold_candidates(df, prob, rows_per_task, full), y, prob, rows_per_task)
     return table.orderBy(*[F.desc_nulls_last(c) for c in ("balanced_accuracy", "f1", "specificity", "precision", "recall")], "threshold")
 
 
-def select_threshold(df: DataFrame, y: str = "y", prob: str = "prob") -> float:
-    return threshold_table(df, y, prob).select("threshold").first()[0]
+def select_threshold(df: DataFrame, y: str = "y", prob: str = "prob", full: bool = False) -> float:
+    return threshold_table(df, y, prob, full=full).select("threshold").first()[0]
 
 
 def selection_score(metrics: DataFrame) -> DataFrame:

@@ -123,14 +123,28 @@ _CANDIDATES = f"""(SELECT unnest([0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7]) AS
        UNION SELECT round_even((s + p) / 2, 6) FROM (SELECT s, lag(s) OVER (ORDER BY s) AS p FROM (SELECT DISTINCT round_even(prob, 6) AS s FROM {SCORED_SQL})) WHERE p IS NOT NULL)"""
 
 
-@query("threshold_table", f"""SELECT threshold, tn, fp, fn, tp, (tp + tn) / (tp + tn + fp + fn) AS accuracy, (tp / (tp + fn) + tn / (tn + fp)) / 2 AS balanced_accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+_FULL_CANDIDATES = f"""(SELECT DISTINCT round(threshold, 9) AS threshold FROM (SELECT unnest([0.2 + 0.6 * i / 24 FOR i IN range(25)]) AS threshold UNION SELECT 0.5
+       UNION SELECT round_even(prob, 3) FROM {SCORED_SQL} WHERE prob IS NOT NULL
+       UNION SELECT round_even((s + p) / 2, 6) FROM (SELECT s, lag(s) OVER (ORDER BY s) AS p FROM (SELECT DISTINCT round_even(prob, 6) AS s FROM {SCORED_SQL})) WHERE p IS NOT NULL))"""
+
+
+def _thresholds_sql(candidates):
+    return f"""SELECT threshold, tn, fp, fn, tp, (tp + tn) / (tp + tn + fp + fn) AS accuracy, (tp / (tp + fn) + tn / (tn + fp)) / 2 AS balanced_accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
        tp / (tp + fn) AS recall, tn / (tn + fp) AS specificity, tn / nullif(tn + fn, 0) AS npv, coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1 FROM (
        SELECT threshold, count(*) FILTER (y = 1 AND p >= threshold) AS tp, count(*) FILTER (y = 0 AND p >= threshold) AS fp, count(*) FILTER (y = 1 AND p < threshold) AS fn,
-       count(*) FILTER (y = 0 AND p < threshold) AS tn FROM {_CLIPPED}, {_CANDIDATES} GROUP BY 1)""", doubles="threshold accuracy balanced_accuracy precision recall specificity npv f1")
+       count(*) FILTER (y = 0 AND p < threshold) AS tn FROM {_CLIPPED}, {candidates} GROUP BY 1)"""
+
+
+@query("threshold_table", _thresholds_sql(_CANDIDATES), doubles="threshold accuracy balanced_accuracy precision recall specificity npv f1")
 def _(spark, d):
     return metrics.threshold_table(scored(spark, d))
 
 
+@query("threshold_table_full", _thresholds_sql(_FULL_CANDIDATES), doubles="threshold accuracy balanced_accuracy precision recall specificity npv f1")
+def _(spark, d):
+    return metrics.threshold_table(scored(spark, d), full=True)
+
+
 @query("selection_score", f"""SELECT n, 0.28 * f1 + 0.22 * balanced_accuracy + 0.18 * specificity + 0.17 * {_AP.format(s='p', t=_CLIPPED)} + 0.10 * {_AUC.format(s='p', t=_CLIPPED)} + 0.05 * (1 - brier) AS selection_score
        FROM ({_binary_sql(0.5)})""", doubles="selection_score")
 def _(spark, d):
