@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.functions.runtime import scratch_path
+from tabkit.functions.runtime import scratch_path, temporary_scratch
 from tabkit.llm import decontaminate, packing, quality, resemblance, secrets
 from tabkit.llm.queries import tokenizer_path
 
@@ -53,6 +53,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with temporary_scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
