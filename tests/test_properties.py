@@ -395,3 +395,56 @@ def test_log_features(spark):
 def test_family(spark):
     df = spark.createDataFrame([(0, 0), (1, 2), (None, 1)], "a int, b int")
     assert [tuple(r)[2:] for r in features.family_features(df, "a", "b").collect()] == [(1, 1), (4, 0), (None, 0)]
+
+
+# types, gaps and many values --------------------------------------------------------------
+
+def test_separator_of_quoted_header():
+    from tabkit.sources.readers import separator_of
+    assert separator_of('id;"price, usd"', (",", ";")) == ";"
+    assert separator_of('id,"a;b",c', (",", ";")) == ","
+    assert separator_of("one", (",", ";")) == ","
+
+
+def test_csv_cells(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,price,flag,day,note\n1,NaN,true,2024-01-02,"a\nb"\n2,N/A,,2024-01-03,"say ""x"""\n3,inf,false,,None\n4,1.5,true,2024-02-01,007 x\n')
+    df = sources.read_csv(spark, f"{tmp_path}/a.csv", multiline=True)
+    assert df.dtypes == [("id", "int"), ("price", "double"), ("flag", "boolean"), ("day", "date"), ("note", "string")]
+    rows = df.orderBy("id").collect()
+    assert [r["price"] for r in rows] == [None, None, None, 1.5] and [r["flag"] for r in rows] == [True, None, False, True]
+    assert [r["note"] for r in rows] == ["a\nb", 'say "x"', None, "007 x"]
+
+
+def test_modes_keep_their_type(spark):
+    import datetime
+
+    from tabkit.operators import impute
+    day, big = datetime.date(2024, 5, 1), 2**60 + 1
+    df = spark.createDataFrame([(True, day, big, "a"), (True, day, big, "a"), (False, None, 3, None), (None, None, None, "b")], "f boolean, d date, n long, s string")
+    out = impute.apply_impute(df, impute.fit_impute(df, df.columns, "mode"))
+    assert out.dtypes == df.dtypes and out.where("f and d is not null and n > 3").count() == 3
+    assert out.where(f"n = {big}").count() == 3 and out.where("s is null").count() == 0
+    kinds = {r["column"]: r["count"] for r in profile.describe_all(df).collect()}
+    assert kinds == {"n": 3, "s": 3, "f": 3, "d": 2}
+
+
+def test_one_hot_order_and_empty_report(spark):
+    df = spark.createDataFrame([(10,), (2,), (None,)], "g int")
+    assert encode.fit_onehot(df, ["g"]).values["g"]["levels"] == ["2", "10"]
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert outliers.iqr_report(empty, ["x"]).count() == 0
+
+
+def test_large_value_map(spark):
+    df = spark.range(200).selectExpr("id", "id * 2 AS other")
+    out = combine.map_values(df, "id", {i: f"v{i}" for i in range(100)}, "m")
+    assert out.columns == ["id", "other", "m"] and out.where("m = concat('v', id)").count() == 100 and out.where("m is null").count() == 100
+
+
+def test_potentials_prune_beyond_reach(spark):
+    from tabkit.operators import cluster
+    df = spark.range(3_000).selectExpr("id", "CAST(id % 50 AS DOUBLE) * 40 AS x", "CAST(id % 7 AS DOUBLE) AS y")
+    got = {r["id"]: r["potential"] for r in cluster.potentials(df, "id", 2.0, ["x", "y"]).collect()}
+    p = np.array([[i % 50 * 40.0, float(i % 7)] for i in range(3_000)])
+    for i in list(got)[:20]:
+        assert abs(got[i] - np.exp(-np.square(p - p[i]).sum(1)).sum()) < 1e-8
