@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.neighbors import components
@@ -27,6 +27,7 @@ VIEWS = 6
 RADIUS = 2
 BLOCK = 1_000  # rows of a bucket that meet in one task
 ROWS_PER_TASK = 2_000
+FILTER_BITS = 2**23
 LAST = 2**63 - 1
 
 
@@ -110,6 +111,23 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
 
 
+def _maybe_in(rows: DataFrame, name: str) -> Column:
+    """A bit filter of fixed size over the row numbers: what it turns away is surely not among ``rows``, so that only the other texts are
+    shuffled by the exact join behind it. A full filter lets everything pass."""
+    def slot(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)).cast("int")
+    taken = rows.select(slot(name).alias("slot")).distinct().toPandas()["slot"].to_numpy()  # at most FILTER_BITS numbers
+    flags = np.zeros(FILTER_BITS, dtype=bool)
+    flags[taken] = True
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(flags, bitorder="little"))
+
+    @F.pandas_udf("boolean")
+    def maybe(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+    return maybe(slot("row"))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, less those that a group has beyond its first: the smallest id stays (null ids last).
 
@@ -131,7 +149,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     sizes = member.groupBy(F.col("kind").alias("kind2"), F.col("key").alias("key2")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = staged(member.join(sizes, (F.col("kind") == F.col("kind2")) & (F.col("key") == F.col("key2")))
                     .groupBy(F.col("row").alias("row2")).agg(F.collect_list(F.struct("kind", "key", F.ceil(F.col("n") / BLOCK).alias("blocks"))).alias("buckets")), "candidates")
-    shipped = narrow.join(wanted, F.col("row") == F.col("row2")).select("row", "text", "buckets").mapInArrow(
+    shipped = narrow.where(_maybe_in(wanted, "row2")).join(wanted, F.col("row") == F.col("row2")).select("row", "text", "buckets").mapInArrow(
         _ship, "kind int, key long, pair long, row long, block long, hashes binary")
     tasks = max(1, (wanted.agg(F.sum(F.expr("aggregate(buckets, 0L, (n, b) -> n + b.blocks)"))).first()[0] or 0) // ROWS_PER_TASK)
     links = shipped.groupBy(F.pmod(F.xxhash64("kind", "key", "pair"), F.lit(tasks))).applyInPandas(_verify, "u long, v long")
@@ -143,4 +161,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     copies = marked.join(reps.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("row").alias("kept")),
                          (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).where("row <> kept").select(F.col("row").alias("gone"))
     gone = staged(second.unionByName(copies), "removed")
-    return placed.join(gone, F.col("row") == F.col("gone"), "left_anti").select(*unpacked(docs.columns))
+    maybe = _maybe_in(gone, "gone")
+    doubtful = placed.where(maybe).join(gone, F.col("row") == F.col("gone"), "left_anti")
+    return placed.where(~maybe).unionByName(doubtful).select(*unpacked(docs.columns))
