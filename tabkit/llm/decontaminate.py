@@ -64,7 +64,9 @@ def _matches(docs: DataFrame, text: str, items: DataFrame, item_id: str, item_te
     found = found.join(bench.select(F.col("__item").alias("__i"), F.col("__body_key").alias("__b"), "__n", "__shingles"),
                        F.col("__item").eqNullSafe(F.col("__i")) & (F.col("__body_key") == F.col("__b")))
     found = staged(found.select("__k1", "__k2", "__item", "__n", "__shingles"), "candidates")
-    named = texts.select(*_text_key(F.col("__text")), "__text")
+    # first the few texts that have a candidate, by keys alone; then these with what the items hold
+    keys = staged(found.select("__k1", "__k2").distinct(), "candidate-texts")
+    named = staged(texts.select(*_text_key(F.col("__text")), "__text").join(keys, ["__k1", "__k2"], "left_semi"), "texts-to-verify")
     pairs = named.join(found, ["__k1", "__k2"])
     shared = F.size(F.array_intersect("__shingles", shingles(_tokens(F.col("__text")))))
     # a one-row generator keeps the filter from counting once more
