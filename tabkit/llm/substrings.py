@@ -195,8 +195,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     base = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     base = base.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("place"), "text", *_text_key(F.col("text")))
     runs = staged(_anchor_rows(base.select("k1", "k2", "text"), window, anchor), "anchors")
-    shared = (runs.groupBy("anchor").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d"))
-              .where("a <> b or c <> d").select(F.col("anchor").alias("shared")))
+    # written first, so that the join may split the rows of a hot anchor among tasks
+    shared = staged(runs.groupBy("anchor").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d"))
+                    .where("a <> b or c <> d").select(F.col("anchor").alias("shared")), "shared-anchors")
     suspects = (runs.join(shared, F.col("anchor") == F.col("shared")).select("k1", "k2", "anchor", "first", "n").distinct()
                 .groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("runs")))
     keyed = staged(base.groupBy("k1", "k2").agg(F.min("place").alias("owner")).join(suspects, ["k1", "k2"], "left"), "texts")
@@ -243,7 +244,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     places = staged(texts.mapInArrow(cut, "k1 long, k2 long, owner long, first int, n int, anchor long, s1 long, s2 long, segment binary"), "segments")
     segments = staged(places.groupBy("anchor", "s1", "s2", "segment").agg(F.min("owner").alias("low")), "distinct-segments")
 
-    sizes = segments.groupBy(F.col("anchor").alias("__a")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    sizes = staged(segments.groupBy(F.col("anchor").alias("__a")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), "segments-by-anchor")
     met = staged(segments.join(sizes, F.col("anchor") == F.col("__a")).select("anchor", "s1", "s2", "segment", "low", "__n"), "met-segments")
     total = met.agg(F.sum(F.octet_length("segment"))).first()[0] or 0
     shards = max(1, -(-int(total) // (6 * shard_words)))
