@@ -3,7 +3,8 @@
 Markup becomes lines (one per block). A line weighs as much as its running text: what sits in menus,
 adverts, notices, forms or comments, and what consists of links, weighs nothing. The weights are
 summed over sliding windows of lines; text begins where the sum surges above the threshold and
-ends where it dives to nothing. The lines between are the main text.
+ends where it dives to nothing. The lines between are the main text. This holds on every page: where
+a page marks its article, the running text of the article weighs more, and that is all.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from .common import with_arrow
 WINDOW = 3
 SURGE = 60  # characters in a window
 LINK_SHARE = 0.5
-SHARE = 0.2
+MARKED = 4  # so many times weighs running text inside an article or main element
 
 # Element names of HTML and the words by which pages name their furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -106,8 +107,9 @@ class _Reader:
         line = " ".join(unescape("".join(self.parts)).split())
         if line:
             chrome, main = self.depth["chrome"] > 0, self.depth["main"] > 0
-            link = not main and self.linked > LINK_SHARE * self.plain
-            self.lines.append(Line(line, 0 if chrome or link else len(line), chrome, main))
+            link = self.linked > LINK_SHARE * self.plain
+            times = 0 if chrome or (link and not main) else MARKED if main and not link else 1
+            self.lines.append(Line(line, times * len(line), chrome, main))
         self.parts, self.plain, self.linked = [], 0, 0
 
     def start(self, name: str, attrs: str) -> None:
@@ -176,9 +178,9 @@ def lines_of(html: str | None) -> list[Line]:
     return reader.lines
 
 
-def main_range(weights: list[int], window: int = WINDOW, surge: int = SURGE, share: float = SHARE) -> list[tuple[int, int]]:
-    """(first, last) of the lines between each surge point and its dive point; of several stretches
-    those with at least ``share`` of the heaviest one's text."""
+def main_range(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
+    """(first, last) of the lines between each surge point and its dive point. The surge is the test that each stretch
+    passes by itself, however heavy another one is."""
     n = len(weights)
     sums = [sum(weights[i:i + window]) for i in range(n)]
     threshold = min(surge, max(sums, default=0))  # a page of short lines still has its text
@@ -194,20 +196,13 @@ def main_range(weights: list[int], window: int = WINDOW, surge: int = SURGE, sha
             i = j + 1
         else:
             i += 1
-    mass = [sum(weights[a:b + 1]) for a, b in found]
-    return [r for r, m in zip(found, mass) if m >= share * max(mass)]
+    return found
 
 
 def extract(html: str | None) -> str:
-    """Where the page marks its article, only lines inside it weigh, and short ones are text as well."""
     lines = lines_of(html)
-    if any(x.main and x.weight for x in lines):
-        weights = [x.weight if x.main else 0 for x in lines]
-        stretches = main_range(weights, surge=1, share=0.0)
-    else:
-        weights = [x.weight for x in lines]
-        stretches = main_range(weights)
-    return "\n".join(lines[i].text for a, b in stretches for i in range(a, b + 1) if weights[i])
+    weights = [x.weight for x in lines]
+    return "\n".join(lines[i].text for a, b in main_range(weights) for i in range(a, b + 1) if weights[i])
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:

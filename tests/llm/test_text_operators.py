@@ -437,6 +437,16 @@ def test_surge_and_dive():
     assert html.main_range([0, 0], window=3) == [] and html.main_range([4, 3], window=3) == [(0, 1)]
 
 
+def test_windows_choose_on_marked_pages():
+    body = "The body of this page stands in a plain element and is what readers came for. " * 5
+    cards = "<article><h2>A teaser</h2></article><aside><p>x</p><p>y</p><p>z</p></aside>"
+    assert html.extract(f"<body>{cards}<div>{body}</div></body>").endswith(body.strip())  # text outside the mark
+    menu = "<nav><p>a</p><p>b</p><p>c</p></nav>"
+    short = "A second stretch of running text, much shorter than the first, is text as well."
+    assert html.extract(f"<div>{body}</div>{menu}<div>{short}</div>") == f"{body.strip()}\n{short}"  # under a fifth of the heaviest
+    assert html.extract(f"<article><p>{body}</p>{menu}<p>Tiny</p></article>") == body.strip()  # the threshold holds inside the mark
+
+
 def test_near_duplicate_stage(spark, tmp_path):
     rng = random.Random(11)
     texts = [(i, t) for i, t in ROWS]
