@@ -277,6 +277,19 @@ def test_word_model(docs, none):
     assert pitman_yor.score_texts(none).count() == 0
 
 
+def test_context_words_come_from_all_training_texts(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 80 >= 5 and zlib.crc32(str(i).encode()) % 5 != 1][:40]
+    texts = spark.createDataFrame([(i, " ".join(f"of x{i % 2} to y{i % 2}" for _ in range(20))) for i in ids], "doc_id long, text string")
+    chosen = []
+    before = pitman_yor._frequent_words
+    pitman_yor._frequent_words = lambda train: chosen.append(before(train)) or chosen[-1]
+    try:
+        assert pitman_yor.score_texts(texts).count() == len(ids)
+    finally:
+        pitman_yor._frequent_words = before
+    assert set(chosen[0]) == {b"of", b"to", b"x0", b"x1", b"y0", b"y1"}  # none of these texts is in the sixteenth that chose before
+
+
 def test_probabilities_sum_to_one(docs):
     base = docs.select(F.col("doc_id").alias("id"), "text", F.lit(False).alias("held_out"))
     frequent = pitman_yor._frequent_words(base)
