@@ -27,8 +27,17 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 RUN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WINDOW = 24
 CLASSES = {"hex": (frozenset("0123456789abcdefABCDEF"), 3.0), "token": (frozenset(RUN_CHARS), 3.85)}
+# Keys in one case: base36, base32. They have fewer symbols, so their thresholds are lower and they must hold several digits.
+LOWER, UPPER = frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+LONG = CLASSES | {"lower": (LOWER, 3.7), "upper": (UPPER, 3.7)}
+# Tokens of SHORT to WINDOW - 1 characters, whole or between separators, are read with a window of SHORT.
+SHORT = 20
+BRIEF = {"hex20": (CLASSES["hex"][0], 2.9, re.compile(r"[0-9a-fA-F]+")), "token": (CLASSES["token"][0], 3.75, re.compile(r"[0-9a-zA-Z]+")),
+         "lower": (LOWER, 3.5, re.compile(r"[0-9a-z]+")), "upper": (UPPER, 3.5, re.compile(r"[0-9A-Z]+"))}
+# Least numbers of digits, lower-case, upper-case characters and letters in a window.
+NEEDS = {"token": (1, 1, 1, 2), "lower": (3, 3, 0, 3), "upper": (2, 0, 3, 3), "hex20": (3, 0, 0, 3)}
 # Allow-list: identifiers that look random but open nothing, and placeholders.
-ALLOWED = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|sha(1|256|384|512)-|(?i:example|placeholder|your[_-]|xxxx|abcdefghij|0123456789)")
+ALLOWED = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}|sha(?:1|256|384|512)-[A-Za-z0-9+/]*=*|(?i:example|placeholder|your[_-]|xxxx|abcdefghij|0123456789)")
 
 _RUNS = np.zeros(128, dtype=bool)
 _RUNS[[ord(c) for c in RUN_CHARS]] = True
@@ -45,35 +54,39 @@ def runs(text: str) -> Iterator[tuple[int, int]]:
     yield from zip(starts[long].tolist(), ends[long].tolist())
 
 
-def random_parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+def random_parts(text: str, start: int, end: int, classes: dict[str, tuple] = CLASSES, window: int = WINDOW) -> list[tuple[int, int]]:
     """Unions of windows whose entropy reaches the threshold of a class that holds all their characters.
 
     Counts are carried from window to window: entropy = log2 W - sum(c log2 c) / W, and one character
-    more or less changes one term of the sum. The wide class also asks for digits and both cases,
+    more or less changes one term of the sum. Most classes also ask for digits and letters (NEEDS),
     which words, paths and numbers lack.
     """
-    weight = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
+    weight = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     found: list[tuple[int, int]] = []
-    for kind, (chars, least) in CLASSES.items():
-        most = (math.log2(WINDOW) - least) * WINDOW  # the largest allowed sum of c log2 c
+    for kind, (chars, least, *_) in classes.items():
+        most = (math.log2(window) - least) * window  # the largest allowed sum of c log2 c
         counts: dict[str, int] = {}
         total, foreign = 0.0, 0
         for i in range(start, end):
-            for c, step in ((text[i], 1), (text[i - WINDOW] if i - WINDOW >= start else "", -1)):
+            for c, step in ((text[i], 1), (text[i - window] if i - window >= start else "", -1)):
                 if not c:
                     continue
                 n = counts.get(c, 0)
                 counts[c] = n + step
                 total += weight[n + step] - weight[n]
                 foreign += step * (c not in chars)
-            if i - start + 1 >= WINDOW and not foreign and total <= most + 1e-9:
-                if kind == "token" and not _mixed(counts):
+            if i - start + 1 >= window and not foreign and total <= most + 1e-9:
+                if kind in NEEDS and not _holds(counts, NEEDS[kind]):
                     continue
-                at = i - WINDOW + 1
+                at = i - window + 1
                 if found and found[-1][1] >= at and found[-1][0] <= at:
                     found[-1] = (found[-1][0], max(found[-1][1], i + 1))
                 else:
                     found.append((at, i + 1))
+    return _merged(found)
+
+
+def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and merged[-1][1] >= a:
@@ -83,9 +96,27 @@ def random_parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return merged
 
 
-def _mixed(counts: dict[str, int]) -> bool:
-    held = [c for c, n in counts.items() if n]
-    return any(c.isdigit() for c in held) and any(c.islower() for c in held) and any(c.isupper() for c in held)
+def _holds(counts: dict[str, int], need: tuple[int, int, int, int]) -> bool:
+    digits = sum(n for c, n in counts.items() if c.isdigit())
+    lower = sum(n for c, n in counts.items() if c.islower())
+    upper = sum(n for c, n in counts.items() if c.isupper())
+    return all(x >= least for x, least in zip((digits, lower, upper, lower + upper), need))
+
+
+def entropy_parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Random parts of a run. Only windows that overlap an allow-listed match are left out, so the scan reads the gaps between the matches."""
+    edges = [start, *(x for m in ALLOWED.finditer(text, start, end) for x in m.span()), end]
+    found: list[tuple[int, int]] = []
+    for a, b in zip(edges[::2], edges[1::2]):
+        if b - a >= WINDOW:
+            found += random_parts(text, a, b, LONG)
+        elif b - a >= SHORT:
+            found += random_parts(text, a, b, BRIEF, SHORT)
+        for kind, rule in BRIEF.items():
+            for m in rule[2].finditer(text, a, b):
+                if SHORT <= m.end() - m.start() < WINDOW:
+                    found += random_parts(text, m.start(), m.end(), {kind: rule}, SHORT)
+    return _merged(found)
 
 
 def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
@@ -99,8 +130,7 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     for start, end in runs(text):
         spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text, start, end) if m.end() - m.start() >= MIN_ACCESS]
         spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text, start, end) if m.end() - m.start() >= MIN_HEX]
-        if not ALLOWED.search(text, max(0, start - 8), end):
-            entropy += random_parts(text, start, end)
+        entropy += entropy_parts(text, start, end)
     for a, b in entropy:  # only what no fixed pattern covers
         if not any(s <= a and b <= e for s, e, _ in spans):
             spans.append((a, b, "entropy"))

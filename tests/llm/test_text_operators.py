@@ -397,6 +397,21 @@ def test_entropy_by_increments():
         assert {i for a, b in secrets.random_parts(text, 0, len(text)) for i in range(a, b)} == direct
 
 
+def test_entropy_beside_allowed_and_in_one_case():
+    rng = random.Random(4)
+
+    def key(symbols, n):
+        return "".join(rng.choice(symbols) for _ in range(n))
+    low36, up32 = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    wide = low36 + up32[:26]
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    for make in (lambda: f"/v1/{uuid}/{key(wide, 40)}", lambda: f"docs/example/{key(wide, 40)}", lambda: f"{key(wide, 60)}xxxx{key(wide, 60)}",
+                 lambda: key(low36, 32), lambda: key(up32, 32), lambda: key(wide, 21), lambda: key(low36, 22), lambda: f"api/{key(wide, 20)}/list-of-things"):
+        assert sum("entropy" in [k for _, _, k in secrets.find_secrets(f"see {make()} there")] for _ in range(50)) >= 40
+    for plain in (f"/v1/{uuid}/items", f"id {uuid.upper()} ok", "sha256-" + key(wide, 43) + "=", "thisisaverylongwordwithoutanysecretinit", "12345678901234567890", "SHOUTEDWORDSWITHOUTANYNUMBER"):
+        assert secrets.find_secrets(plain) == []
+
+
 def shingles(text, k=5):
     w = (text or "").lower()
     w = words(w)
