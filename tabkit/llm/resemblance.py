@@ -132,10 +132,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     """The rows of ``docs``, all columns, less those that a group has beyond its first: the smallest id stays (null ids last).
 
     Groups are the connected components of resemblance. Texts with the same words, empty and null ones among themselves, are copies: of
-    repeated rows one stays. Texts under five words are one shingle. ``docs`` must come from files, not from a shuffle, as
-    rows are told apart by their place in them.
+    repeated rows one stays. Texts under five words are one shingle. Rows are numbered once and written with their columns:
+    numbers made anew in each scan would follow how the files are split, which follows the number of live cores.
     """
-    placed = docs.select(packed(docs, docs.columns), F.monotonically_increasing_id().alias("row"))
+    placed = staged(docs.select(packed(docs, docs.columns), F.monotonically_increasing_id().alias("row")), "placed")
     narrow = placed.select("row", F.coalesce(F.col("rest")[id_col].cast("long"), F.lit(LAST)).alias("place"), F.col("rest")[text].alias("text"))
     longs = ", ".join(f"{c} long" for c in ["row", "place", "c1", "c2", "fp", *[f"v{j}" for j in range(VIEWS)]])
     marked = staged(narrow.mapInArrow(_features, longs), "features")

@@ -503,6 +503,28 @@ def test_near_duplicate_stage(spark, tmp_path):
         resemblance.BLOCK = before
 
 
+def test_near_duplicates_when_files_are_split_anew(spark, tmp_path, monkeypatch):
+    rng = random.Random(12)
+    texts = [(i, prose(rng, 60)) for i in range(60)]
+    texts += [(100 + i, t) for i, t in texts[:20]]
+    rng.shuffle(texts)
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_path}/d")
+    before = resemblance.staged
+
+    def staged(df, name):
+        out = before(df, name)
+        if name == "features":  # from here on all files fit into one partition
+            for k, v in (("openCostInBytes", "0"), ("minPartitionNum", "1"), ("maxPartitionBytes", "128m")):
+                spark.conf.set(f"spark.sql.files.{k}", v)
+        return out
+    monkeypatch.setattr(resemblance, "staged", staged)
+    try:
+        assert sorted(r["doc_id"] for r in resemblance.drop_near_duplicates(spark.read.parquet(f"{tmp_path}/d")).collect()) == list(range(60))
+    finally:
+        for k in ("openCostInBytes", "minPartitionNum", "maxPartitionBytes"):
+            spark.conf.unset(f"spark.sql.files.{k}")
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
