@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, packing, pitman_yor, quality, secrets, sharding, simhash, substrings
+from . import chat, collocations, decontaminate, html, infill, packing, pitman_yor, quality, secrets, sharding, simhash, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,6 +121,41 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return chat.repair_roles(table(spark, folder, "conversations"))
 
 
+@query("op11_naive_bayes_toxicity")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.where("crc32(cast(doc_id AS string)) % 3 <> 1"))
+    scored = toxicity.apply(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.expr("crc32(cast(doc_id AS string)) % 3 = 1").alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op12_fm_index_collocations")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+x AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS r1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS r2,
+  n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 AS plain,
+  CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 AS spm FROM d),
+c AS (SELECT *, least(r1, r2) AS a, greatest(r1, r2) AS b FROM x)
+SELECT doc_id, CAST(n AS BIGINT) AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+  CASE WHEN NOT plain THEN CAST(a AS BIGINT) END AS prefix_chars, CASE WHEN NOT plain THEN CAST(b - a AS BIGINT) END AS middle_chars,
+  sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a)
+    ELSE '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM c"""
+
+
+@query("op13_skip_list_infill", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    made = infill.infill(table(spark, folder, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
