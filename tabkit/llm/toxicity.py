@@ -75,7 +75,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, lab
         of_class = F.when(F.col("label") == c, F.lit(s)).otherwise(of_class)
     chosen = known.withColumn("share", of_class).where(unit_position(["key"]) < F.col("share") * UNIT_RANGE)
     rows = docs.select(col(key).alias("key"), col(text).alias("text")).join(F.broadcast(chosen), "key")  # bounded by per_class
-    return rows.select("text", "label", (1 / F.col("share")).alias("weight")).repartition(SAMPLE_PARTS, F.xxhash64("key")), counts
+    return rows.select("text", "label", F.try_divide(F.lit(1.0), F.col("share")).alias("weight")).repartition(SAMPLE_PARTS, F.xxhash64("key")), counts
 
 
 def ratios(sample: DataFrame, features: int) -> list:
