@@ -17,7 +17,7 @@ from ..functions.runtime import col
 from .common import LOWER, UPPER, mix, staged
 
 MAX_WORDS = 4
-SHARD_WORDS = 1 << 21  # words of one index; a longer piece makes a longer index
+SHARD_WORDS = 1 << 20  # words of one index; a longer piece makes a longer index
 SLICE = 1 << 20  # bytes of a text that are split at a time, cut where a piece ends
 SEGMENT_KEYS = 1 << 21  # keys that one task sums, on average
 MIN_SEGMENTS = 256
@@ -29,8 +29,8 @@ MARK = b"."
 PIECES = bytes.maketrans(UPPER.encode() + CUTS, LOWER.encode() + MARK * len(CUTS))
 
 SHARD_SCHEMA = "shard long, lang string, vocabulary binary, ids binary, n_words long"
-LEVEL_SCHEMA = ("kind string, shard long, lang string, vocabulary binary, ids binary, segment long, keys binary, counts binary, "
-                "phrase string, words int, n long, n_left long, n_right long")
+BLOCK_SCHEMA = "segment long, shard long, keys binary, checks binary, counts binary"
+LEVEL_SCHEMA = f"kind string, lang string, {BLOCK_SCHEMA}, vocabulary binary, ids binary, phrase string, words int, n long, n_left long, n_right long"
 
 
 # shards ---------------------------------------------------------------------------------
@@ -63,10 +63,22 @@ class _Shard:
     def row(self, shard: int, lang: str) -> dict:
         ids = np.concatenate(self.parts)
         ids = ids[(ids != BREAK) | np.concatenate([[True], ids[:-1] != BREAK])]  # one break is enough
-        return {"shard": shard, "lang": lang, "vocabulary": MARK.join(list(self.words)[1:]), "ids": ids.tobytes(),
+        return {"shard": shard, "lang": lang, "vocabulary": MARK.join(list(self.words)[1:]), "ids": pack(ids),
                 "n_words": int((ids != BREAK).sum())}
 
 
+def pack(ids: np.ndarray) -> bytes:
+    """Ids as bytes: the low and the high halves apart, since few words of a shard need the high ones."""
+    halves = np.ascontiguousarray(ids, np.uint32).view(np.uint16).reshape(-1, 2).T.tobytes()
+    return len(ids).to_bytes(8, "little") + pa.compress(halves, "zstd", asbytes=True)
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    halves = np.frombuffer(pa.decompress(raw[8:], 4 * n, "zstd"), np.uint16).reshape(2, -1)
+    return np.ascontiguousarray(halves.T).view(np.uint32).ravel().view(np.int32)
+
+
 def shards(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """Whole texts as rows of word ids, one language each. A shard is a stretch of one input partition."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,9 +105,9 @@ def shards(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 SHARD_TYPES = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("vocabulary", pa.binary()), ("ids", pa.binary()), ("n_words", pa.int64())])
-LEVEL_TYPES = pa.schema([("kind", pa.string()), ("shard", pa.int64()), ("lang", pa.string()), ("vocabulary", pa.binary()), ("ids", pa.binary()),
-                         ("segment", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("phrase", pa.string()), ("words", pa.int32()),
-                         ("n", pa.int64()), ("n_left", pa.int64()), ("n_right", pa.int64())])
+LEVEL_TYPES = pa.schema([("kind", pa.string()), ("lang", pa.string()), ("segment", pa.int64()), ("shard", pa.int64()), ("keys", pa.binary()),
+                         ("checks", pa.binary()), ("counts", pa.binary()), ("vocabulary", pa.binary()), ("ids", pa.binary()), ("phrase", pa.string()),
+                         ("words", pa.int32()), ("n", pa.int64()), ("n_left", pa.int64()), ("n_right", pa.int64())])
 
 
 def _batch(rows: list[dict], types: pa.Schema) -> pa.RecordBatch:
@@ -119,7 +131,7 @@ class _Direction:
         if depth > 2:
             ranks = np.unique(key, return_inverse=True)[1]
             key = ranks[:n] * (int(ranks.max(initial=0)) + 1) + ranks[2:n + 2]
-        self.order = np.argsort(key[:n])
+        self.order = np.argsort(key[:n]).astype(np.int32)
         self.bwt = ids[self.order - 1]  # the id before the first one is the last one, always a break
         self.first = np.concatenate([[0], np.cumsum(np.bincount(ids, minlength=size))])
 
@@ -127,8 +139,8 @@ class _Direction:
     def last_to_first(self) -> np.ndarray:
         """Where the suffix that starts one id earlier stands: the ids before all suffixes, counted up to each place."""
         by_id = np.argsort(self.bwt, kind="stable")
-        out = np.empty(len(by_id), np.int64)
-        out[by_id] = np.arange(len(by_id))
+        out = np.empty(len(by_id), np.int32)
+        out[by_id] = np.arange(len(by_id), dtype=np.int32)
         return out
 
 
@@ -170,16 +182,16 @@ class PhraseIndex:
         first_place = np.minimum.reduceat(places, new) if len(new) else places
         which, added = key_which[new], key_added[new]
         inside = np.concatenate([[0], np.cumsum(of.n)])[:-1]
-        moved, kept = side.last_to_first[first_place], other[which] + new - inside[which]
+        moved, kept = side.last_to_first[first_place].astype(np.int64), other[which] + new - inside[which]
         words = np.column_stack([added[:, None], of.words[which]] if left else [of.words[which], added[:, None]])
         out = Phrases(words, moved, kept, n) if left else Phrases(words, kept, moved, n)
         return out.where(added >= FIRST)
 
-    def continued(self, of: Phrases, left: bool) -> np.ndarray:
-        """How many occurrences of each phrase have a word of the same piece on that side."""
+    def at_edge(self, of: Phrases, left: bool) -> np.ndarray:
+        """How many occurrences of each phrase start (or end) their piece."""
         side, low = (self.forward, of.low) if left else (self.backward, of.back)
-        words = np.concatenate([[0], np.cumsum(side.bwt != BREAK)])
-        return words[low + of.n] - words[low]
+        breaks = np.concatenate([[0], np.cumsum(side.bwt == BREAK)])
+        return breaks[low + of.n] - breaks[low]
 
     def places(self, of: Phrases) -> np.ndarray:
         """Where the phrases start."""
@@ -192,55 +204,69 @@ def ranges(low: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return which, np.arange(len(which)) + np.repeat(low - (np.cumsum(n) - n), n)
 
 
-def keys_of(words: np.ndarray, hashes: np.ndarray, lang: str) -> np.ndarray:
-    """64-bit keys of phrases, the same in every shard. They only thin out what is counted; the last counts go by text."""
+def keys_of(words: np.ndarray, hashes: np.ndarray, lang: str) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases as 80 bits, the same in every shard: a key and a check. Among 10^13 phrases 40 pairs are expected to share both; that
+    one of them is frequent is far less likely still."""
     out = np.full(len(words), xxhash.xxh64_intdigest(lang), np.uint64)
+    check = out + np.uint64(words.shape[1])
     for i in range(words.shape[1]):
         out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[words[:, i]])
-    return out
+        check = mix(check + np.uint64(0xD6E8FEB86659FD93) * hashes[words[:, i]])
+    return out, (check >> np.uint64(48)).astype(np.uint16)
 
 
-def among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Whether each key is in the sorted array."""
+def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands in the sorted array, and whether it is there."""
     if not len(wanted):
-        return np.zeros(len(keys), bool)
-    at = np.searchsorted(wanted, keys)
-    return wanted[np.minimum(at, len(wanted) - 1)] == keys
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+    return at, wanted[at] == keys
+
+
+def _arrays(found: list, name: str, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(f[name], kind) for f in found] or [np.empty(0, kind)])
 
 
 class _Reader:
-    """One shard at one level."""
+    """One shard at one level, with what is known of its phrases over all shards."""
 
     def __init__(self, row: dict, depth: int):
         self.shard, self.lang, self.raw = row["shard"], row["lang"], row["vocabulary"]
         self.vocabulary = [b"", b"", *self.raw.split(MARK)]
-        self.index = PhraseIndex(np.frombuffer(row["ids"], np.int32), depth)
+        self.index = PhraseIndex(unpack(row["ids"]), depth)
         self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.vocabulary), np.uint64, len(self.vocabulary))
-        self.wanted = np.sort(np.concatenate([np.frombuffer(k, np.uint64) for k in row.get("survivors") or []] or [np.empty(0, np.uint64)]))
+        found = row.get("found") or []
+        self.frequent = np.sort(_arrays(found, "frequent", np.uint64))
+        told = _arrays(found, "told", np.uint64)
+        order = np.argsort(told)
+        self.told, self.checks, self.totals = told[order], _arrays(found, "checks", np.uint16)[order], _arrays(found, "totals", np.int64).reshape(-1, 3)[order]
 
     def surviving(self, words: np.ndarray) -> np.ndarray:
-        return among(keys_of(words, self.hashes, self.lang), self.wanted)
+        return find(keys_of(words, self.hashes, self.lang)[0], self.frequent)[1]
 
-    def blocks(self, of: Phrases, segments: int) -> list[dict]:
-        """Keys and counts, cut by the high bits of the key."""
-        keys = keys_of(of.words, self.hashes, self.lang)
+    def blocks(self, levels: list[Phrases], segments: int) -> list[dict]:
+        """Keys and counts (occurrences, those that start and those that end a piece), cut by the high bits of the key."""
+        pairs = [keys_of(p.words, self.hashes, self.lang) for p in levels]
+        keys, checks = np.concatenate([k for k, _ in pairs]), np.concatenate([c for _, c in pairs])
+        counts = np.concatenate([np.column_stack([p.n, self.index.at_edge(p, True), self.index.at_edge(p, False)]) for p in levels]).astype(np.uint32)
         order = np.argsort(keys)
-        keys, counts = keys[order], of.n[order].astype(np.uint32)
+        keys, checks, counts = keys[order], checks[order], counts[order]
         segment = ((keys >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
         ends = np.flatnonzero(np.diff(segment)) + 1
-        return [{"kind": "block", "shard": self.shard, "segment": int(segment[a]), "keys": keys[a:b].tobytes(), "counts": counts[a:b].tobytes()}
-                for a, b in zip([0, *ends], [*ends, len(keys)]) if b > a]
+        return [{"kind": "block", "shard": self.shard, "segment": int(segment[a]), "keys": keys[a:b].tobytes(), "checks": checks[a:b].tobytes(),
+                 "counts": pa.compress(counts[a:b].T.tobytes(), "zstd", asbytes=True)} for a, b in zip([0, *ends], [*ends, len(keys)]) if b > a]
 
     def phrases(self, of: Phrases) -> pa.RecordBatch:
-        """The phrases as text, with their counts here."""
-        column = np.array(self.vocabulary, dtype=object)
-        parts = [column[of.words[:, i]] for i in range(of.words.shape[1])]
-        texts = [b" ".join(p).decode("utf-8", "surrogatepass") for p in zip(*parts)]
+        """The frequent phrases that this shard is to tell, as text with their counts over all shards."""
+        keys, checks = keys_of(of.words, self.hashes, self.lang)
+        at, known = find(keys, self.told)
+        known[known] = self.checks[at[known]] == checks[known]
+        words, totals = of.words[known], self.totals[at[known]]
+        texts = [b" ".join([self.vocabulary[i] for i in row]).decode("utf-8", "surrogatepass") for row in words.tolist()]
         n = len(texts)
         given = {"kind": pa.array(["phrase"] * n), "lang": pa.array([self.lang] * n), "phrase": pa.array(texts, pa.string()),
-                 "words": pa.array(np.full(n, of.words.shape[1], np.int32)), "n": pa.array(of.n.astype(np.int64)),
-                 "n_left": pa.array(self.index.continued(of, True).astype(np.int64)),
-                 "n_right": pa.array(self.index.continued(of, False).astype(np.int64))}
+                 "words": pa.array(np.full(n, of.words.shape[1], np.int32)), "n": pa.array(totals[:, 0]),
+                 "n_left": pa.array(totals[:, 0] - totals[:, 1]), "n_right": pa.array(totals[:, 0] - totals[:, 2])}
         return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(n, f.type)) for f in LEVEL_TYPES], schema=LEVEL_TYPES)
 
     def reduced(self, pairs: Phrases) -> dict:
@@ -258,46 +284,62 @@ class _Reader:
         inner[1:] &= ~held[:-1]
         inner[:-1] &= ~held[1:]
         inner[0] = inner[-1] = False
-        return {"kind": "shard", "shard": self.shard, "lang": self.lang, "vocabulary": self.raw, "ids": new[~inner].tobytes()}
+        return {"kind": "shard", "shard": self.shard, "lang": self.lang, "vocabulary": self.raw, "ids": pack(new[~inner])}
 
 
 # levels ---------------------------------------------------------------------------------
 
 def first_level(segments: int):
-    """Words as text, pairs as keys."""
+    """Words and pairs as keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            shard = _Reader(row, 1)
+            shard = _Reader(row, 2)
             words = shard.index.single()
-            yield shard.phrases(words)
-            yield _batch(shard.blocks(shard.index.extend(words, left=True), segments), LEVEL_TYPES)
+            pairs = shard.index.extend(words, left=False)
+            yield _batch(shard.blocks([words, pairs], segments), LEVEL_TYPES)
     return run
 
 
 def second_level(segments: int):
-    """Frequent pairs as text; three words whose two pairs are both frequent as keys."""
+    """Frequent words and pairs as text; three words whose two pairs are both frequent as keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            shard = _Reader(row, 2)
-            pairs = shard.index.extend(shard.index.single(), left=False)
+            shard = _Reader(row, 3)
+            words = shard.index.single()
+            yield shard.phrases(words)
+            pairs = shard.index.extend(words, left=False)
             pairs = pairs.where(shard.surviving(pairs.words))
             yield shard.phrases(pairs)
             three = shard.index.extend(pairs, left=True)
             three = three.where(shard.surviving(three.words[:, :2]))
             if len(three.n):
-                yield _batch([*shard.blocks(three, segments), shard.reduced(pairs)], LEVEL_TYPES)
+                yield _batch([*shard.blocks([three], segments), shard.reduced(pairs)], LEVEL_TYPES)
+    return run
+
+
+def third_level(segments: int):
+    """Frequent phrases of three words as text, and those of four whose two threes are frequent as keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            shard = _Reader(row, MAX_WORDS)
+            three = shard.index.extend(shard.index.extend(shard.index.single(), left=False), left=True)
+            three = three.where(shard.surviving(three.words))
+            yield shard.phrases(three)
+            four = shard.index.extend(three, left=False)
+            four = four.where(shard.surviving(four.words[:, 1:]))
+            if len(four.n):
+                yield _batch(shard.blocks([four], segments), LEVEL_TYPES)
     return run
 
 
-def third_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Frequent phrases of three words as text, and those of four whose two threes are frequent."""
+def fourth_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Frequent phrases of four words as text."""
     for row in _rows(batches):
         shard = _Reader(row, MAX_WORDS)
-        three = shard.index.extend(shard.index.extend(shard.index.single(), left=False), left=True)
-        three = three.where(shard.surviving(three.words))
-        yield shard.phrases(three)
-        four = shard.index.extend(three, left=False)
-        yield shard.phrases(four.where(shard.surviving(four.words[:, 1:])))
+        found = shard.index.single()
+        for left in (False, True, False):
+            found = shard.index.extend(found, left)
+        yield shard.phrases(found)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -307,51 +349,65 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def survivors(blocks: DataFrame, least: int) -> DataFrame:
-    """(shard, survivors): the shard's keys whose counts over all shards reach ``least``. A segment holds one range of keys;
-    a shard has each of its keys there once, so no key is hot."""
+    """(shard, found): the shard's keys whose counts over all shards reach ``least``, and those among them that this shard, the
+    first one to hold them, is to tell, with their counts. A segment holds one range of keys; a shard has each of its keys there
+    once, so no key is hot."""
     def total(group: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k, np.uint64) for k in group.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in group.column("counts").to_pylist()]).astype(np.int64)
-        ends = np.cumsum([len(k) for k in keys])
-        whole = np.concatenate(keys)
-        order = np.argsort(whole)
-        ordered = whole[order]
-        new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        often = np.add.reduceat(counts[order], new) >= least
-        kept = np.empty(len(whole), bool)
-        kept[order] = np.repeat(often, np.diff(np.append(new, len(whole))))
-        found = [(s, k[m].tobytes()) for s, k, m in zip(group.column("shard").to_pylist(), keys, np.split(kept, ends[:-1])) if m.any()]
-        return pa.table({"shard": pa.array([s for s, _ in found], pa.int64()), "found": pa.array([k for _, k in found], pa.binary())})
-
-    found = blocks.groupBy("segment").applyInArrow(total, "shard long, found binary")
-    return found.groupBy("shard").agg(F.collect_list("found").alias("survivors"))  # the shard's own keys, at most its words
+        group = group.sort_by("shard")
+        shard, raw = group.column("shard").to_pylist(), {c: group.column(c).to_pylist() for c in ("keys", "checks", "counts")}
+        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in raw["keys"]])
+        checks = np.concatenate([np.frombuffer(k, np.uint16) for k in raw["checks"]])
+        planes = [np.frombuffer(pa.decompress(c, 12 * (len(k) // 8), "zstd"), np.uint32).reshape(3, -1) for c, k in zip(raw["counts"], raw["keys"])]
+        counts = np.concatenate(planes, axis=1).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        differ = checks[order][1:] != checks[order][:-1]
+        if (differ & (keys[order][1:] == keys[order][:-1])).any():  # one key for several phrases
+            order = np.lexsort((np.arange(len(keys)), checks, keys))
+        new = np.flatnonzero(np.concatenate([[True], (keys[order][1:] != keys[order][:-1]) | (checks[order][1:] != checks[order][:-1])]))
+        sums = np.add.reduceat(counts[:, order], new, axis=1)
+        often = sums[0] >= least
+        frequent, told = np.zeros(len(keys), bool), np.full(len(keys), -1, np.int64)
+        frequent[order] = np.repeat(often, np.diff(np.append(new, len(keys))))
+        told[order[new[often]]] = np.flatnonzero(often)
+        ends = np.cumsum([len(k) // 8 for k in raw["keys"]])
+        out = []
+        for s, a, b in zip(shard, [0, *ends], ends):
+            if frequent[a:b].any():
+                mine = np.flatnonzero(told[a:b] >= 0) + a
+                out.append({"shard": s, "frequent": keys[a:b][frequent[a:b]].tobytes(), "told": keys[mine].tobytes(), "checks": checks[mine].tobytes(),
+                            "totals": np.ascontiguousarray(sums[:, told[mine]].T).tobytes()})
+        return pa.Table.from_pylist(out, FOUND_TYPES)
+
+    found = blocks.groupBy("segment").applyInArrow(total, "shard long, frequent binary, told binary, checks binary, totals binary")
+    return found.groupBy("shard").agg(F.collect_list(F.struct("frequent", "told", "checks", "totals")).alias("found"))  # at most the shard's own phrases
+
+
+FOUND_TYPES = pa.schema([("shard", pa.int64()), *[(c, pa.binary()) for c in ("frequent", "told", "checks", "totals")]])
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, n, n_left, n_right) of all phrases of one to four words with at least ``least`` occurrences inside
     pieces, and (lang, n) with all word occurrences. n_left and n_right count the occurrences with a word on that side.
 
-    Each level extends phrases inside the shards and sums 64-bit keys across them; a phrase goes on only where its parts are
-    frequent over all shards. Two phrases with one key can only be followed needlessly: the counts returned go by text.
+    Each level extends phrases inside the shards and sums the counts of their keys across them; a phrase goes on only where its
+    parts are frequent over all shards, and one of the shards that hold it tells its text.
     """
     cut = staged(shards(docs, text, lang), "collocation-shards")
     totals = cut.groupBy("lang").agg(F.sum("n_words").alias("n"))
     words = cut.agg(F.sum("n_words")).first()[0] or 0
     segments = max(MIN_SEGMENTS, words // SEGMENT_KEYS)
 
-    def blocks(level: DataFrame) -> DataFrame:
-        return level.where("kind = 'block'").select("segment", "shard", "keys", "counts")
+    def known(level: DataFrame) -> DataFrame:
+        return survivors(level.where("kind = 'block'").select("segment", "shard", "keys", "checks", "counts"), least)
 
     columns = ["shard", "lang", "vocabulary", "ids"]
-    one = staged(cut.select(*columns).mapInArrow(first_level(segments), LEVEL_SCHEMA), "collocation-pairs")
-    with_pairs = cut.select(*columns).join(survivors(blocks(one), least), "shard")
-    two = staged(with_pairs.mapInArrow(second_level(segments), LEVEL_SCHEMA), "collocation-threes")
-    with_threes = two.where("kind = 'shard'").select(*columns).join(survivors(blocks(two), least), "shard")
-    three = with_threes.mapInArrow(third_level, LEVEL_SCHEMA)
-    found = [t.where("kind = 'phrase'").select("lang", "phrase", "words", "n", "n_left", "n_right") for t in (one, two, three)]
-    counts = found[0].unionByName(found[1]).unionByName(found[2]).groupBy("lang", "phrase", "words") \
-        .agg(*[F.sum(c).alias(c) for c in ("n", "n_left", "n_right")]).where(F.col("n") >= least)
-    return counts, totals
+    one = cut.select(*columns).mapInArrow(first_level(segments), LEVEL_SCHEMA)
+    two = staged(cut.select(*columns).join(known(one), "shard").mapInArrow(second_level(segments), LEVEL_SCHEMA), "collocation-threes")
+    rest = two.where("kind = 'shard'").select(*columns)
+    three = staged(rest.join(known(two), "shard").mapInArrow(third_level(segments), LEVEL_SCHEMA), "collocation-fours")
+    four = rest.join(known(three), "shard").mapInArrow(fourth_level, LEVEL_SCHEMA)
+    found = [t.where("kind = 'phrase'").select("lang", "phrase", "words", "n", "n_left", "n_right") for t in (two, three, four)]
+    return found[0].unionByName(found[1]).unionByName(found[2]), totals
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2_000, scale: int = 2_000_000, share_percent: int = 80, text: str = "text",

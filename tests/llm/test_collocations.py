@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from awkward import prose, table
 from pyspark.sql import functions as F
@@ -95,7 +96,23 @@ def test_index_extends_both_ways(seed):
             want = collections.Counter(tuple(ids[i:i + size].tolist()) for i in starts)
             assert dict(zip(map(tuple, found.words.tolist()), found.n.tolist())) == want
             assert sorted(index.places(found).tolist()) == starts
-            before = collections.Counter(tuple(ids[i:i + size].tolist()) for i in starts if ids[i - 1] != collocations.BREAK)
-            after = collections.Counter(tuple(ids[i:i + size].tolist()) for i in starts if ids[i + size] != collocations.BREAK)
-            for w, a, b in zip(map(tuple, found.words.tolist()), index.continued(found, True), index.continued(found, False)):
+            before = collections.Counter(tuple(ids[i:i + size].tolist()) for i in starts if ids[i - 1] == collocations.BREAK)
+            after = collections.Counter(tuple(ids[i:i + size].tolist()) for i in starts if ids[i + size] == collocations.BREAK)
+            for w, a, b in zip(map(tuple, found.words.tolist()), index.at_edge(found, True), index.at_edge(found, False)):
                 assert (a, b) == (before[w], after[w])
+
+
+def test_one_key_for_several_phrases(spark):
+    """Counts stay apart where only the checks differ."""
+    def block(shard, keys, checks, counts):
+        return 0, shard, np.array(keys, np.uint64).tobytes(), np.array(checks, np.uint16).tobytes(), pa.compress(np.array([counts, [0] * len(counts), counts], np.uint32).tobytes(), "zstd", asbytes=True)
+    rows = [block(1, [5, 9], [1, 1], [20, 40]), block(2, [5, 7], [2, 1], [29, 3]), block(3, [5, 7], [2, 1], [2, 26])]
+    found = collocations.survivors(spark.createDataFrame(rows, collocations.BLOCK_SCHEMA), 30).collect()
+    told = [(r["shard"], np.frombuffer(f["told"], np.uint64).tolist(), np.frombuffer(f["checks"], np.uint16).tolist(), np.frombuffer(f["totals"], np.int64).tolist())
+            for r in found for f in r["found"]]
+    assert sorted(told) == [(1, [9], [1], [40, 0, 40]), (2, [5], [2], [31, 0, 31]), (3, [], [], [])]
+
+
+def test_ids_survive_packing():
+    for ids in ([], [0], [0, 1, 2, 70_000, 2**31 - 1]):
+        assert collocations.unpack(collocations.pack(np.array(ids, np.int32))).tolist() == ids
