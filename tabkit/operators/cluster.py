@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +13,7 @@ from ..functions.ordered import in_order, row_number
 from ..functions.quantiles import quantiles
 from ..functions.runtime import col, cut_lineage, kept, unit_position
 from .agreement import ari
+from .lloyd import Model, best_of, fit_many, points, resample_agreement, squared_silhouettes
 from .neighbors import (
     _matrix, as_points, choose_pivots, compare_blocks, components, distinct_points, k_distance,
     neighbour_counts, square_distances, within,
@@ -30,29 +27,19 @@ SUBTRACTIVE_RA, SUBTRACTIVE_RB = 2.2, 3.3
 ACCEPT_RATIO, REJECT_RATIO, MAX_CENTRES = 0.5, 0.22, 50
 SCORE_SILHOUETTE, SCORE_BALANCE, SCORE_NOISE = 0.6, 0.3, 0.1
 
-RESTARTS_AT_ONCE = 4
 KERNEL_ROUNDING = 1e-16  # of the whole sum of kernels, may be left out
 
 
-def _vectors(df: DataFrame, cols: list[str] | None, vec: str | None) -> DataFrame:
-    if vec:
-        return df.withColumn("__features", array_to_vector(col(vec).cast("array<double>")))
-    return VectorAssembler(inputCols=list(cols), outputCol="__features").transform(df)
+def _runs(ks: list[int], n_init: int, seed: int) -> list[Model]:
+    return [Model(k, seed + i) for k in ks for i in range(n_init)]
 
 
 def kmeans(df: DataFrame, k: int, cols: list[str] | None = None, vec: str | None = None, n_init: int = 10,
            seed: int = 0, max_iter: int = 300, tol: float = 1e-4, out: str = "cluster"):
     """Best of ``n_init`` seeded runs by inertia. Returns (rows with label, centres, inertia)."""
-    rows = _vectors(df, cols, vec)
-
-    def run(i: int):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="__features", predictionCol=out).fit(features)
-        return model.summary.trainingCost, i, model
-    with kept(rows.select("__features")) as features, ThreadPoolExecutor(RESTARTS_AT_ONCE) as pool:
-        best = min(pool.map(run, range(n_init)), key=lambda r: r[:2])
-    best = (best[0], best[2])
-    labelled = best[1].transform(rows).drop("__features")
-    return labelled, [list(map(float, c)) for c in best[1].clusterCenters()], float(best[0])
+    best = best_of(fit_many(points(df, cols, vec), _runs([k], n_init, seed), max_iter, tol))[k, None]
+    centres = [list(map(float, c)) for c in best.centres]
+    return assign_nearest(df, centres, cols, vec, out), centres, best.inertia
 
 
 def assign_nearest(df: DataFrame, centres: list[list[float]], cols: list[str] | None = None, vec: str | None = None,
@@ -78,33 +65,42 @@ def lloyd_step(df: DataFrame, centres: list[list[float]], cols: list[str]) -> Da
         F.count(F.lit(1)).alias("n"), F.sum("__d2").alias("inertia"), *[F.avg(col(c)).alias(f"center_{c}") for c in cols])
 
 
-def elbow(df: DataFrame, ks: list[int], cols: list[str] | None = None, vec: str | None = None, n_init: int = 3,
+def elbow(df: DataFrame, ks: list[int], cols: list[str] | None = None, vec: str | None = None, n_init: int = 20,
           seed: int = 0) -> DataFrame:
-    """Inertia per K; K = 1 is the total sum of squares."""
-    rows = []
-    for k in ks:
-        if k == 1:
-            xs = df.select(F.posexplode(col(vec).cast("array<double>"))) if vec else df.select(F.posexplode(F.array(*[col(c).cast("double") for c in cols])))
-            total = xs.groupBy("pos").agg((F.var_pop("col") * F.count("col")).alias("s")).agg(F.sum("s")).first()[0]
-            rows.append((1, float(total)))
-        else:
-            rows.append((k, kmeans(df, k, cols, vec, n_init, seed)[2]))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double")
+    """Inertia per K, all K and restarts in the same passes."""
+    best = best_of(fit_many(points(df, cols, vec), _runs(ks, n_init, seed)))
+    return df.sparkSession.createDataFrame([(k, best[k, None].inertia) for k in ks if (k, None) in best], "k int, inertia double")
 
 
 def best_k(df: DataFrame, key: str, ks: list[int], cols: list[str] | None = None, vec: str | None = None,
-           n_init: int = 3, seed: int = 0, metric: str = "euclidean") -> DataFrame:
+           n_init: int = 20, seed: int = 0, metric: str = "euclidean") -> DataFrame:
     """(k, inertia, silhouette) with the first best K marked."""
     from .quality import silhouette
-    rows = []
-    for k in ks:
-        labelled, _, inertia = kmeans(df, k, cols, vec, n_init, seed)
-        s = silhouette(labelled, key, "cluster", cols, vec, metric=metric).first()["silhouette"]
-        rows.append((k, inertia, s))
+    vectors = cut_lineage(points(df, cols, vec))
+    best = best_of(fit_many(vectors, _runs(ks, n_init, seed)))
+    found = [best[k, None] for k in ks if (k, None) in best]
+    if metric == "squared":
+        scores = squared_silhouettes(vectors, found)
+    else:
+        scores = [silhouette(assign_nearest(df, m.centres.tolist(), cols, vec), key, "cluster", cols, vec, metric=metric).first()["silhouette"] for m in found]
+    rows = [(m.k, m.inertia, s) for m, s in zip(found, scores, strict=True)]
     top = max((r for r in rows if r[2] is not None), key=lambda r: (r[2], -r[0]), default=(None,))[0]
     return df.sparkSession.createDataFrame([(*r, r[0] == top) for r in rows], "k int, inertia double, silhouette double, best boolean")
 
 
+def kmeans_stability(df: DataFrame, key: str, k: int, cols: list[str] | None = None, vec: str | None = None, b: int = 20, n_init: int = 10,
+                     seed: int = 0) -> DataFrame:
+    """Mean and std (n) of the ARI between k-means on all rows and on ``b`` resamples, all fitted together.
+
+    A resample holds each row Poisson(1) times, as in ``bootstrap``; keys should be unique.
+    """
+    rows = cut_lineage(points(df, cols, vec, key))
+    runs = _runs([k], n_init, seed) + [Model(k, seed + i, s) for s in range(b) for i in range(n_init)]
+    best = best_of(fit_many(rows, runs, sample_seed=seed))
+    scores = resample_agreement(rows, best[k, None], [best[k, s] for s in range(b)], seed)
+    return scores.agg(F.avg("ari").alias("mean_ari"), F.stddev_pop("ari").alias("std_ari"), F.count(F.lit(1)).alias("n_samples"))
+
+
 # density -------------------------------------------------------------------------------
 
 def dbscan(df: DataFrame, key: str, eps: float, min_samples: int, cols: list[str] | None = None, vec: str | None = None,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,6 +25,7 @@ from .features import polynomial
 from .metrics import class_metrics, clipped, evaluate, select_threshold, selection_score
 from .profile import class_weights
 from .scale import apply_scaler, fit_scaler
+from .search import log_uniform, random_polynomial_search
 from .split import kfold
 
 FEATURES, WEIGHT = "features", "__weight"
@@ -211,40 +211,17 @@ def grid_search(estimator, options: dict[str, list], train: DataFrame, cols: lis
     return cross_validate(estimator, grid(estimator, options), train, cols, label, key, **more)
 
 
-def log_uniform(rng: random.Random, low: float, high: float) -> float:
-    return math.exp(rng.uniform(math.log(low), math.log(high)))
-
-
 def random_search(train: DataFrame, cols: list[str], label: str, key: list[str], draws: int = 200, degrees: tuple[int, int] = (2, 9),
-                  penalty: tuple[float, float] = (1e-5, 1e3), kind: str = "ridge", folds: int = 4, seed: int = 42,
-                  parallelism: int = 4) -> DataFrame:
+                  penalty: tuple[float, float] = (1e-5, 1e3), kind: str = "ridge", folds: int = 4, seed: int = 42) -> DataFrame:
     """Seeded draws of degree and log-uniform penalty for polynomial ridge, lasso or logistic models.
 
     Polynomial terms and scaling are learned inside each fold.
     """
     rng = random.Random(seed)
     drawn = [(rng.randint(*degrees), log_uniform(rng, *penalty)) for _ in range(draws)]
-    regression = kind != "logistic"
     rows = train.where(col(label).isNotNull())
-    folded = kfold(rows.withColumn("__all", F.lit(0)) if regression else rows, key, "__all" if regression else label, folds, seed) \
-        .select(*[col(c) for c in cols], col(label).cast("double").alias(label), "fold")
-
-    def one(pair):
-        degree, strength = pair
-        scores = []
-        for f in range(folds):
-            fit, held = folded.where(F.col("fold") != f).drop("fold"), folded.where(F.col("fold") == f).drop("fold")
-            if regression:
-                out = polynomial_regression(fit, cols, label, degree, strength, kind)[0](held)
-                scores.append(RegressionEvaluator(labelCol=label, metricName="r2").evaluate(out))
-            else:
-                out = polynomial_logistic(fit, cols, label, degree, strength)[0](held)
-                scores.append(MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy").evaluate(out))
-        return degree, strength, sum(scores) / folds
-    with kept(folded) as folded, ThreadPoolExecutor(parallelism) as pool:
-        table = list(pool.map(one, drawn))
-    return train.sparkSession.createDataFrame(table, "degree int, strength double, mean_score double") \
-        .orderBy(F.desc("mean_score"), "degree", "strength")
+    folded = kfold(rows.withColumn("__all", F.lit(0)) if kind != "logistic" else rows, key, "__all" if kind != "logistic" else label, folds, seed)
+    return random_polynomial_search(folded, cols, label, drawn, kind, folds)
 
 
 def out_of_fold(train: DataFrame, cols: list[str], label: str, key: list[str], folds: int = 4, seed: int = 42, **tree) -> DataFrame:

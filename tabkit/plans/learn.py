@@ -79,16 +79,30 @@ def _(spark, d):
                                            (F.var_pop("x") * F.count("x")).alias("spread")).drop("cluster")
 
 
-@query("kmeans_elbow", f"""SELECT CAST(1 AS INTEGER) AS k, (var_pop(x) + var_pop(y)) * count(*) AS inertia FROM {_BLOBS_SQL}
-       UNION ALL SELECT 3, sum(s) FROM (SELECT (var_pop(x) + var_pop(y)) * count(*) AS s FROM {_BLOBS_SQL} GROUP BY truth)""", doubles="inertia", scale=2)
+# ten tight groups on a line, so that the least inertia for every K follows from the groups' sums by dynamic programming
+LINE_AT = [0, 12, 61, 75, 160, 183, 340, 370, 700, 741]
+TEN = ["event_id", f"element_at(array({', '.join(map(str, LINE_AT))}), CAST(user_id % 10 AS INT) + 1) + event_id % 7 / 10.0 AS x"]
+_TEN = f"(SELECT user_id % 10 AS g, list_extract([{', '.join(map(str, LINE_AT))}], CAST(user_id % 10 AS INTEGER) + 1) + event_id % 7 / 10.0 AS x FROM events)"
+_LEAST = f"""WITH g AS (SELECT g, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM {_TEN} GROUP BY 1),
+       cost AS (SELECT a.g AS i, b.g AS j, 1.25 * (sum(c.q) - sum(c.s) * sum(c.s) / sum(c.n)) AS w FROM g a JOIN g b ON a.g <= b.g JOIN g c ON c.g BETWEEN a.g AND b.g GROUP BY 1, 2),
+       b1 AS (SELECT j, w FROM cost WHERE i = 0), """ + ", ".join(
+    f"b{k} AS (SELECT cost.j, min(b{k - 1}.w + cost.w) AS w FROM b{k - 1} JOIN cost ON cost.i = b{k - 1}.j + 1 GROUP BY 1)" for k in range(2, 11)) + """,
+       least AS (""" + " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS k, w AS inertia FROM b{k} WHERE j = 9" for k in range(1, 11)) + ")"
+
+
+def ten_groups(spark, d):
+    return table(spark, d, "events").selectExpr(*TEN).withColumn("y", F.col("x") / 2)
+
+
+@query("kmeans_elbow", f"{_LEAST} SELECT k, inertia FROM least", doubles="inertia", scale=2)
 def _(spark, d):
-    return cluster.elbow(blobs(spark, d), [1, 3], ["x", "y"], n_init=5)
+    return cluster.elbow(ten_groups(spark, d), list(range(1, 11)), ["x", "y"], n_init=20)
 
 
-@query("kmeans_best_k", "SELECT CAST(3 AS INTEGER) AS k, count(*) > 0 AS best FROM events")
+@query("kmeans_best_k", f"{_LEAST} SELECT k, inertia, k = (SELECT count(*) FROM g) AS best FROM least WHERE k > 1", doubles="inertia", scale=2)
 def _(spark, d):
     # squared distances: their silhouette costs one pass at any size
-    return cluster.best_k(blobs(spark, d), "event_id", [2, 3, 4], ["x", "y"], n_init=2, metric="squared").where("best").select("k", "best")
+    return cluster.best_k(ten_groups(spark, d), "event_id", list(range(2, 11)), ["x", "y"], n_init=20, metric="squared").drop("silhouette")
 
 
 @query("kmeans_embeddings")
@@ -282,9 +296,9 @@ def _(spark, d):
     return cluster.with_clusters(rows, "id", {"a": a, "b": b}).select("id", "cluster_a", "cluster_b")
 
 
-@query("clustering_stability", "SELECT 1.0 AS mean_ari, 0.0 AS std_ari, CAST(3 AS BIGINT) AS n_samples FROM events LIMIT 1", doubles="mean_ari std_ari")
+@query("clustering_stability", "SELECT 1.0 AS mean_ari, 0.0 AS std_ari, CAST(20 AS BIGINT) AS n_samples FROM events LIMIT 1", doubles="mean_ari std_ari")
 def _(spark, d):
-    return cluster.stability(blobs(spark, d), "event_id", lambda t: cluster.kmeans(t, 3, ["x", "y"], n_init=4)[0].select("event_id", "cluster"), b=3)
+    return cluster.kmeans_stability(blobs(spark, d), "event_id", 3, ["x", "y"], b=20)
 
 
 # supervised models ----------------------------------------------------------------------
@@ -464,12 +478,17 @@ def _(spark, d):
 
 @query("ridge_random_search")
 def _(spark, d):
-    return models.random_search(quality_rows(spark, d), ["n_chars", "lines"], "words", ["doc_id"], draws=3, degrees=(2, 3), folds=2, kind="ridge")
+    return models.random_search(quality_rows(spark, d), ["n_chars", "lines"], "words", ["doc_id"], kind="ridge")
+
+
+@query("lasso_random_search")
+def _(spark, d):
+    return models.random_search(quality_rows(spark, d), ["n_chars", "lines"], "words", ["doc_id"], kind="lasso")
 
 
 @query("logistic_random_search")
 def _(spark, d):
-    return models.random_search(quality_rows(spark, d), ["n_chars", "lines"], "quality", ["doc_id"], draws=2, degrees=(2, 2), penalty=(1e-2, 1e2), folds=2, kind="logistic")
+    return models.random_search(quality_rows(spark, d), ["n_chars", "lines"], "quality", ["doc_id"], degrees=(2, 7), penalty=(1e-5, 1e5), kind="logistic")
 
 
 @query("tree_search")
