@@ -12,6 +12,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,10 @@ from .common import staged
 
 CAPACITY = 1024
 END_ID = 2
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000  # words a worker remembers; the older half goes when there are more
+NEW_WORDS = 20_000  # words that are encoded as one text
 
+SPACE_MARK = "\u0120"  # what a byte-level vocabulary writes for a space
 SPACE_PAIR, INNER_SPACE = re.compile(r" \s"), re.compile(r"\s \s|\s \Z|\A \s|\A \Z")
 
 
@@ -39,7 +42,8 @@ class Encoder:
 
     The byte-level vocabulary's splitting rule always cuts before a single space that follows a
     non-space, so a text is encoded word by word (each with its leading space) and ids of words are
-    remembered. Texts where a space stands inside a longer run of white space are encoded as a whole.
+    remembered. New words are encoded together as one text, whose ids are cut where a token starts with the space mark.
+    Texts where a space stands inside a longer run of white space are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,10 +52,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE_MARK) for i in range(size)])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of every word behind a space."""
+        out: list[bytes] = []
+        for at in range(0, len(words), NEW_WORDS):
+            part = words[at:at + NEW_WORDS]
+            ids = np.array(self.tokenizer.encode("".join([" " + w for w in part]), add_special_tokens=False).ids, dtype="<u4")
+            cuts = np.flatnonzero(self.opens[ids])
+            if len(cuts) != len(part) or len(cuts) and cuts[0]:
+                out += self._whole([" " + w for w in part])
+                continue
+            raw, ends = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
+            out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         heads, tails, seen = [], [], set()
         for t in texts:
@@ -61,9 +81,10 @@ class Encoder:
             seen.update(tail)
         new = seen.difference(self.known)
         if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known, new = {}, seen
+            self.known = dict(islice(self.known.items(), max(len(self.known) // 2, len(self.known) + len(new) - KNOWN_WORDS), None))
+            new = seen.difference(self.known)
         fresh = list(new)
-        self.known.update(zip(fresh, self._whole([" " + w for w in fresh])))
+        self.known.update(zip(fresh, self._words(fresh)))
         ids_of = self.known.__getitem__
         return [head + b"".join(map(ids_of, tail)) for head, tail in zip(self._whole(heads), tails)]
 
