@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -131,8 +133,11 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
         spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text, start, end) if m.end() - m.start() >= MIN_ACCESS]
         spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text, start, end) if m.end() - m.start() >= MIN_HEX]
         entropy += entropy_parts(text, start, end)
+    fixed = sorted((s, e) for s, e, _ in spans)
+    starts, reach = [s for s, _ in fixed], list(accumulate((e for _, e in fixed), max))
     for a, b in entropy:  # only what no fixed pattern covers
-        if not any(s <= a and b <= e for s, e, _ in spans):
+        before = bisect_right(starts, a)
+        if not before or reach[before - 1] < b:
             spans.append((a, b, "entropy"))
     return sorted(spans, key=lambda s: (s[0], KINDS[s[2]]))
 
