@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.neighbors import components
 from .common import byte_words, mix, packed, signed, staged, unpacked
-from .simhash import fingerprint_links, shingle_hashes, simhash, unite
+from .simhash import fingerprint_links, shingle_hashes, simhash
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
@@ -27,6 +27,7 @@ VIEWS = 6
 RADIUS = 2
 BLOCK = 1_000  # rows of a bucket that meet in one task
 ROWS_PER_TASK = 2_000
+PAIRS_AT_ONCE = 1 << 20  # postings read at a time
 FILTER_BITS = 2**23
 LAST = 2**63 - 1
 
@@ -84,8 +85,9 @@ def similar_pairs(sets: list[np.ndarray], percent: int = MIN_PERCENT) -> Iterato
         mine = place[at[i]:at[i] + sizes[i]]
         low, n = start[mine], start[mine + 1] - start[mine]
         shared = np.zeros(len(sets), dtype=np.int64)
-        for a in range(0, len(mine), 4_096):
-            lo, k = low[a:a + 4_096], n[a:a + 4_096]
+        cuts = np.flatnonzero(np.diff(np.cumsum(n) // PAIRS_AT_ONCE)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(mine)]):
+            lo, k = low[a:b], n[a:b]
             where = np.arange(int(k.sum())) + np.repeat(lo - (np.cumsum(k) - k), k)
             shared += np.bincount(posting[where], minlength=len(sets))
         close = np.flatnonzero(100 * shared >= percent * (sizes + sizes[i] - shared))
@@ -93,18 +95,50 @@ def similar_pairs(sets: list[np.ndarray], percent: int = MIN_PERCENT) -> Iterato
         yield np.full(len(close), i), close
 
 
+def connect(sets: list[np.ndarray], percent: int = MIN_PERCENT) -> np.ndarray:
+    """Parents in a forest of the sets whose distinct hashes resemble each other: its trees are the connected components of all pairs.
+
+    Each set is compared with those that are not yet in its component, so near copies are passed over once they are linked. Of two ways to count
+    what it shares with them, along its posting lists or through all their hashes, the shorter one is taken; memory is that of the hashes.
+    """
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    parent = np.arange(len(sets))
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    posting, start = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[order], np.searchsorted(place[order], np.arange(len(values) + 1))
+    end = np.cumsum(sizes)
+    mark = np.zeros(len(values), dtype=bool)
+    for i in range(len(sets)):
+        other = np.flatnonzero(parent != parent[i])
+        other = other[(other > i) & (100 * np.minimum(sizes[other], sizes[i]) >= percent * np.maximum(sizes[other], sizes[i]))]
+        if not len(other):
+            continue
+        mine = place[end[i] - sizes[i]:end[i]]
+        low, n = start[mine], start[mine + 1] - start[mine]
+        if n.sum() <= sizes[other].sum():
+            shared = np.zeros(len(sets), dtype=np.int64)
+            cuts = np.flatnonzero(np.diff(np.cumsum(n) // PAIRS_AT_ONCE)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(mine)]):
+                lo, k = low[a:b], n[a:b]
+                where = np.arange(int(k.sum())) + np.repeat(lo - (np.cumsum(k) - k), k)
+                shared += np.bincount(posting[where], minlength=len(sets))
+            shared = shared[other]
+        else:
+            mark[mine] = True
+            shared = np.array([np.count_nonzero(mark[place[end[j] - sizes[j]:end[j]]]) for j in other])
+            mark[mine] = False
+        close = other[100 * shared >= percent * (sizes[other] + sizes[i] - shared)]
+        if len(close):
+            groups = np.append(parent[close], parent[i])
+            parent[np.isin(parent, groups)] = groups.min()
+    return parent
+
+
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     u, v = [], []
     for _, g in pdf.groupby(["kind", "key", "pair"], sort=False):
         rows = g["row"].to_numpy()
-        parent = np.arange(len(rows))
-        for a, b in similar_pairs([np.frombuffer(h, dtype=np.uint64) for h in g["hashes"]]):
-            unite(parent, a, b)
-        while True:
-            up = parent[parent]
-            if (up == parent).all():
-                break
-            parent = up
+        parent = connect([np.frombuffer(h, dtype=np.uint64) for h in g["hashes"]])
         linked = np.flatnonzero(parent != np.arange(len(parent)))
         u.append(rows[linked])
         v.append(rows[parent[linked]])
@@ -146,7 +180,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     by_print = reps.join(roots, F.col("fp") == F.col("fp2"), "left").select(F.lit(-1).alias("kind"), F.coalesce("root", "fp").alias("key"), "row")
     by_view = reps.select(F.inline(F.array(*[F.struct(F.lit(j).alias("kind"), F.col(f"v{j}").alias("key")) for j in range(VIEWS)])), "row")
     member = staged(by_print.unionByName(by_view.select("kind", "key", "row")), "buckets")
-    sizes = member.groupBy(F.col("kind").alias("kind2"), F.col("key").alias("key2")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a bucket with the same rows as another one, as groups of near copies have in several views, is verified once
+    rows_of = [F.count(F.lit(1)).alias("n"), F.min("row").alias("low"), F.max("row").alias("high"), F.bit_xor(F.xxhash64("row")).alias("x1"),
+               F.bit_xor(F.xxhash64("row", F.lit(1))).alias("x2")]
+    sizes = member.groupBy("kind", "key").agg(*rows_of).where("n > 1").groupBy("n", "low", "high", "x1", "x2") \
+        .agg(F.min(F.struct("kind", "key")).alias("one")).select(F.col("one.kind").alias("kind2"), F.col("one.key").alias("key2"), "n")
     wanted = staged(member.join(sizes, (F.col("kind") == F.col("kind2")) & (F.col("key") == F.col("key2")))
                     .groupBy(F.col("row").alias("row2")).agg(F.collect_list(F.struct("kind", "key", F.ceil(F.col("n") / BLOCK).alias("blocks"))).alias("buckets")), "candidates")
     shipped = narrow.where(_maybe_in(wanted, "row2")).join(wanted, F.col("row") == F.col("row2")).select("row", "text", "buckets").mapInArrow(
