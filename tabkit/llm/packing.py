@@ -63,7 +63,7 @@ class Encoder:
         out: list[bytes] = []
         for at in range(0, len(words), NEW_WORDS):
             part = words[at:at + NEW_WORDS]
-            ids = np.array(self.tokenizer.encode("".join([" " + w for w in part]), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + w for w in part])], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = np.flatnonzero(self.opens[ids])
             if len(cuts) != len(part) or len(cuts) and cuts[0]:
                 out += self._whole([" " + w for w in part])
