@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.runtime import col, kept
 
 MODELS_AT_ONCE = 400  # logistic models of one pass, each with a matrix of its terms squared
-LASSO_SWEEPS, LASSO_TOL = 1_000, 1e-6
+LASSO_SWEEPS, LASSO_TOL = 1_000, 1e-9
 NEWTON_ROUNDS, NEWTON_TOL = 60, 1e-8
 
 
