@@ -29,7 +29,6 @@ BLOCK = 1_000  # rows of a bucket that meet in one task
 ROWS_PER_TASK = 2_000
 PAIRS_AT_ONCE = 1 << 20  # postings read at a time
 FILTER_BITS = 2**23
-LAST = 2**63 - 1
 
 
 def views_of(hashes: np.ndarray, views: int = VIEWS) -> list[int]:
@@ -163,17 +162,19 @@ def _maybe_in(rows: DataFrame, name: str) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, less those that a group has beyond its first: the smallest id stays (null ids last).
+    """The rows of ``docs``, all columns, less those that a group has beyond its first: the smallest id stays, of whatever type that has an
+    order (null ids last).
 
     Groups are the connected components of resemblance. Texts with the same words, empty and null ones among themselves, are copies: of
     repeated rows one stays. Texts under five words are one shingle. Rows are numbered once and written with their columns:
     numbers made anew in each scan would follow how the files are split, which follows the number of live cores.
     """
     placed = staged(docs.select(packed(docs, docs.columns), F.monotonically_increasing_id().alias("row")), "placed")
-    narrow = placed.select("row", F.coalesce(F.col("rest")[id_col].cast("long"), F.lit(LAST)).alias("place"), F.col("rest")[text].alias("text"))
-    longs = ", ".join(f"{c} long" for c in ["row", "place", "c1", "c2", "fp", *[f"v{j}" for j in range(VIEWS)]])
-    marked = staged(narrow.mapInArrow(_features, longs), "features")
-    same = marked.groupBy("c1", "c2").agg(F.min(F.struct("place", "row")).alias("first"), *[F.min(c).alias(c) for c in ["fp", *[f"v{j}" for j in range(VIEWS)]]])
+    narrow = placed.select("row", F.col("rest")[id_col].alias("place"), F.col("rest")[text].alias("text"))
+    longs = ", ".join(f"{c} long" for c in ["c1", "c2", "fp", *[f"v{j}" for j in range(VIEWS)]])
+    marked = staged(narrow.mapInArrow(_features, f"row long, place {docs.schema[id_col].dataType.simpleString()}, {longs}"), "features")
+    smallest = lambda row: F.min(F.struct(F.col("place").isNull().alias("nil"), "place", row))
+    same = marked.groupBy("c1", "c2").agg(smallest("row").alias("first"), *[F.min(c).alias(c) for c in ["fp", *[f"v{j}" for j in range(VIEWS)]]])
     reps = staged(same.select("c1", "c2", "first.place", "first.row", "fp", *[f"v{j}" for j in range(VIEWS)]), "distinct-words")
 
     roots = components(fingerprint_links(reps.select("fp").distinct(), RADIUS)).select(F.col("id").alias("fp2"), "root")
@@ -194,7 +195,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
 
     groups = components(links)
     groups = staged(groups.join(reps.select(F.col("row").alias("id"), "place", "c1", "c2"), "id"), "groups")
-    stays = groups.groupBy(F.col("root").alias("root2")).agg(F.min(F.struct("place", "id")).alias("stay"))
+    stays = groups.groupBy(F.col("root").alias("root2")).agg(smallest("id").alias("stay"))
     second = groups.join(stays, F.col("root") == F.col("root2")).where("id <> stay.id").select(F.col("id").alias("gone"))
     copies = marked.join(reps.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), F.col("row").alias("kept")),
                          (F.col("c1") == F.col("d1")) & (F.col("c2") == F.col("d2"))).where("row <> kept").select(F.col("row").alias("gone"))

@@ -61,3 +61,12 @@ def test_a_text_full_of_spans_is_swept_once():
     assert len(fixed) >= 4_900 and len(entropy) >= 3_000
     for a, b in entropy[:200]:
         assert not any(s <= a and b <= e for s, e in fixed)
+
+
+def test_ids_of_any_type(spark):
+    text = "one passage of text that several rows of this small table hold in full and with one word more"
+    rows = [(None, text), ("b", text), ("a10", text + " here"), ("c", "another text that has nothing in common with the first one"), (None, text + " there")]
+    out = resemblance.drop_near_duplicates(spark.createDataFrame(rows, "name string, body string"), "name", "body")
+    assert sorted(r["name"] for r in out.collect()) == ["a10", "c"]
+    days = spark.createDataFrame([("2024-01-02", text), ("2024-01-01", text)], "day string, body string").selectExpr("cast(day as date) day", "body")
+    assert [str(r["day"]) for r in resemblance.drop_near_duplicates(days, "day", "body").collect()] == ["2024-01-01"]
