@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtime import bounded, col, cut_lineage
@@ -22,21 +22,19 @@ def contingency(df: DataFrame, a: str, b: str, noise: int | None = -1) -> DataFr
 
 
 def _margins(df: DataFrame, a: str, b: str, noise: int | None) -> DataFrame:
-    """Contingency counts with both margins: one pass over the rows, the rest on the counts.
+    """Contingency counts and both margins, a row each: one pass over the rows, then grouping sets over the counts, which combine
+    before they are shuffled, so that one class may hold any share of the cells.
 
-    ``na`` and ``nb`` are given on one cell of each margin only, so that they can be summed.
     Noise cells stay, with an empty count ``n``, for the noise total.
     """
     cells = contingency(df, a, b, noise=None)
     is_noise = F.lit(False) if noise is None else F.col("b").cast("string") == str(noise)
     cells = cells.select("a", "b", F.when(~is_noise, F.col("n").cast("double")).alias("n"), F.when(is_noise, F.col("n")).alias("noise"))
-    of_a, of_b = Window.partitionBy("a"), Window.partitionBy("b")
-    kept = F.col("n").isNull()
-    first_a = F.row_number().over(of_a.orderBy(kept, "b")) == 1
-    first_b = F.row_number().over(of_b.orderBy(kept, "a")) == 1
-    return cells.select("n", "noise", F.when(first_a, F.sum("n").over(of_a)).alias("na"),
-                        F.when(first_b, F.sum("n").over(of_b)).alias("nb"),
-                        F.when(first_b, F.max("n").over(of_b)).alias("top"))
+    sets = cells.groupingSets([[F.col("a"), F.col("b")], [F.col("a")], [F.col("b")]], "a", "b").agg(
+        F.grouping_id().alias("left_out"), F.sum("n").alias("total"), F.max("n").alias("most"), F.sum("noise").alias("noise"))
+    of_cell, of_a, of_b = (F.col("left_out") == k for k in (0, 1, 2))
+    return sets.select(F.when(of_cell, F.col("total")).alias("n"), F.when(of_cell, F.col("noise")).alias("noise"),
+                       F.when(of_a, F.col("total")).alias("na"), F.when(of_b, F.col("total")).alias("nb"), F.when(of_b, F.col("most")).alias("top"))
 
 
 def _pairs(n: str) -> Column:

@@ -93,17 +93,19 @@ def davies_bouldin(df: DataFrame, cluster: str, cols: list[str] | None = None, v
 def calinski_harabasz(df: DataFrame, cluster: str, cols: list[str] | None = None, vec: str | None = None) -> DataFrame:
     """(between / (k - 1)) / (within / (n - k))."""
     rows = _labelled(df, cluster, cols, vec).withColumn("v", array_to_vector("vec"))
-    parts = rows.groupBy("cluster").agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")) \
-        .select(vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("var"), F.col("s.count").alias("n")).toPandas()
-    k, n = len(parts), int(parts["n"].sum())  # one row per cluster
+    # a row per cluster and no bound on their number: they stay in a table, the driver sees the overall mean alone
+    parts = cut_lineage(rows.groupBy("cluster").agg(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s"))
+                        .select(vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("var"), F.col("s.count").alias("size")))
+    whole = parts.agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("n"),
+                      Summarizer.mean(array_to_vector("mean"), F.col("size").cast("double")).alias("mean")).first()
+    k, n = whole["k"], whole["n"] or 0
     if not 1 < k < n:
         return df.sparkSession.createDataFrame([(None,)], "calinski_harabasz double")
-    size, mean = parts["n"].to_numpy(dtype=float), _matrix(parts["mean"])
-    overall = (size[:, None] * mean).sum(0) / n
-    between = (size * np.square(mean - overall).sum(1)).sum()
-    within = ((size - 1) * _matrix(parts["var"]).sum(1)).sum()
-    value = float((between / (k - 1)) / (within / (n - k))) if within > 0 else 1.0
-    return df.sparkSession.createDataFrame([(value,)], "calinski_harabasz double")
+    overall = F.lit([float(x) for x in whole["mean"]])
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
+    apart = total(F.zip_with("mean", overall, lambda x, y: (x - y) * (x - y)))
+    sums = parts.agg(F.sum(F.col("size") * apart).alias("between"), F.sum((F.col("size") - 1) * total(F.col("var"))).alias("within"))
+    return sums.select(F.when(F.col("within") > 0, (F.col("between") / (k - 1)) / (F.col("within") / (n - k))).otherwise(1.0).alias("calinski_harabasz"))
 
 
 def cluster_metrics(df: DataFrame, algorithm: str, key: str, cluster: str, cols: list[str] | None = None,
