@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cluster, metrics, models, neighbors, quality, reduce, split
+from ..operators import cluster, forest, metrics, models, neighbors, quality, reduce, split
 from .registry import query, table
 
 # principal components -------------------------------------------------------------------
@@ -466,8 +466,32 @@ QUALITY_COLS = ["n_chars", "words", "lines"]
 
 @query("forest_grid_search")
 def _(spark, d):
-    est = models.RandomForestClassifier(seed=42)
-    return models.grid_search(est, {"numTrees": [5, 10], "maxDepth": [3, 5]}, quality_rows(spark, d), QUALITY_COLS, "quality", ["doc_id"], folds=3)[1]
+    """36 combinations x 3 folds = 108 forests."""
+    return forest.forest_search(quality_rows(spark, d), QUALITY_COLS, "quality", ["doc_id"], [50, 100, 200], [6, 8, 10, 12], [2, 5, 10], 3)
+
+
+# the split of largest Gini gain, from the counts of both sides of every value
+_STUMP_COLS = ["l_linenumber", "l_quantity", "l_discount"]
+_STUMP_ROWS = "(" + " UNION ALL ".join(f"SELECT '{c}' AS feature, {i} AS place, CAST({c} AS DOUBLE) AS v, l_returnflag AS y FROM lineitem WHERE l_quantity <= 20"
+                                       for i, c in enumerate(_STUMP_COLS)) + ")"
+_STUMP_SQL = f"""SELECT feature, threshold, n_left, n_right FROM (
+  SELECT feature, place, v AS threshold, sum(l) AS n_left, sum(t - l) AS n_right, sum(CAST(l AS DOUBLE) * l) / sum(l) + sum(CAST(t - l AS DOUBLE) * (t - l)) / sum(t - l) AS pure, sum(t) AS n
+  FROM (SELECT feature, place, v, y, sum(n) OVER (PARTITION BY feature, y ORDER BY v) AS l, sum(n) OVER (PARTITION BY feature, y) AS t
+        FROM (SELECT g.feature, g.place, g.v, k.y, count(r.y) AS n FROM (SELECT DISTINCT feature, place, v FROM {_STUMP_ROWS}) g CROSS JOIN (SELECT DISTINCT y FROM {_STUMP_ROWS}) k
+              LEFT JOIN {_STUMP_ROWS} r ON r.feature = g.feature AND r.v = g.v AND r.y = k.y GROUP BY 1, 2, 3, 4))
+  GROUP BY 1, 2, 3 HAVING sum(t - l) > 0)
+  ORDER BY round(pure / n, 12) DESC, place, threshold LIMIT 1"""
+
+
+@query("forest_stump", _STUMP_SQL, doubles="threshold n_left n_right")
+def _(spark, d):
+    """The root split of a tree on all rows."""
+    rows = table(spark, d, "lineitem").where("l_quantity <= 20").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_returnflag")
+    grown = forest.fit_forest(rows, _STUMP_COLS, "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey"], trees=1, depth=1, features=None, bootstrap=False)
+    nodes = grown.table(spark)
+    sides = nodes.select(F.col("node").alias("side"), F.aggregate("counts", F.lit(0.0), lambda a, x: a + x).alias("n"))
+    return (nodes.where("feature IS NOT NULL").join(sides.select("side", F.col("n").alias("n_left")), F.col("left_child") == F.col("side")).drop("side")
+            .join(sides.select("side", F.col("n").alias("n_right")), F.col("left_child") + 1 == F.col("side")).select("feature", "threshold", "n_left", "n_right"))
 
 
 @query("boosting_grid_search")
