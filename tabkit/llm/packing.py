@@ -104,9 +104,10 @@ def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
         at += length
 
 
-def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID,
+           remember: bool = True) -> DataFrame:
     """(id, piece, start, length, ids_crc32, part, rank): the pieces of every document, written once. ``rank`` counts the pieces of one length
-    within their part."""
+    within their part. ``remember``: as in ``pack``."""
     end = np.array([end_id], dtype="<u4").tobytes()
     base = docs.select(docs[id_col].alias("__id"), docs[text].alias("__text"), F.spark_partition_id().alias("__part"))
     schema = f"__id {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, part int, rank long"
@@ -129,6 +130,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
                     batch.column(0).take(rows), pa.array(k, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                     pa.array(crc, pa.int64()), batch.column(2).take(rows), pa.array(rank, pa.int64())],
                     names=["__id", "piece", "start", "length", "ids_crc32", "part", "rank"])
+        if not remember:
+            encoder(tokenizer).known.clear()
+            pa.default_memory_pool().release_unused()
 
     return staged(base.mapInArrow(run, schema), "pieces")
 
@@ -176,14 +180,18 @@ def minimum_slack(counts: np.ndarray, capacity: int) -> list[tuple[int, list[tup
     return runs
 
 
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID,
+         remember: bool = True) -> DataFrame:
     """One row per piece: the id column, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A document is its token ids and the end id; a null or empty text is the end id alone. Documents longer than the capacity are cut, the first
     piece may be shorter. Repeated rows and null ids are documents like others. The histogram of the lengths (at most ``capacity`` counts) is
     all that reaches the driver, and the table of bins that comes back is bounded by the capacity as well (below capacity * ln capacity runs).
+
+    A worker remembers the words it has encoded. ``remember=False`` forgets them at the end of each partition, for jobs whose workers go on
+    to other work: less memory, more time, the same result.
     """
-    rows = pieces(docs, tokenizer, id_col, text, capacity, end_id)
+    rows = pieces(docs, tokenizer, id_col, text, capacity, end_id, remember)
     sizes = rows.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(capacity + 1, dtype=np.int64)

@@ -321,6 +321,7 @@ def test_seating_follows_the_restaurant():
 @pytest.mark.parametrize("capacity", [1024, 32])
 def test_packing(docs, none, capacity):
     out = packing.pack(docs, tokenizer_path(), capacity=capacity).collect()
+    assert sorted(packing.pack(docs, tokenizer_path(), capacity=capacity, remember=False).collect(), key=repr) == sorted(out, key=repr)
     plain = packing.Encoder(tokenizer_path())
     want = collections.Counter()
     for (i, _), raw in zip(ROWS, plain._whole([t or "" for _, t in ROWS])):
