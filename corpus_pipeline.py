@@ -42,7 +42,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 1024 tokens."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), remember=False)
 
 
 STAGES = [("quality rules", quality_rules), ("near-duplicates", near_duplicates), ("benchmark decontamination", benchmark_decontamination),
