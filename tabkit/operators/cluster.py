@@ -15,8 +15,8 @@ from ..functions.runtime import col, cut_lineage, kept, unit_position
 from .agreement import ari
 from .lloyd import Model, best_of, fit_many, points, resample_agreement, squared_silhouettes
 from .neighbors import (
-    _matrix, as_points, choose_pivots, compare_blocks, components, distinct_points, k_distance,
-    neighbour_counts, square_distances, within,
+    Piece, _matrix, as_points, choose_pivots, compare_blocks, components, distinct_points, k_distance,
+    neighbour_counts, square_distances, summed, within,
 )
 from .split import bootstrap
 
@@ -118,13 +118,13 @@ def density_labels(df: DataFrame, key: str, radii: list[float], min_samples: int
     so the rows are compared once for the counts and once for the links."""
     points = as_points(df, key, cols, vec)
     single = cut_lineage(distinct_points(points))
-    pivots = choose_pivots(single, rows_per_pivot)
+    pivots = choose_pivots(single, rows_per_pivot, max(radii))
     kind = single.schema["id"].dataType.simpleString()
     counts = neighbour_counts(single, radii, pivots, block)
     marked = cut_lineage(single.join(counts.select("id", F.transform("n", lambda n: n >= min_samples).alias("core")), "id"))
     any_core = marked.where(F.exists("core", lambda c: c))
     links = cut_lineage(compare_blocks(marked, any_core, pivots, max(radii), _links(radii),
-                                       f"e int, u {kind}, v {kind}, border boolean", block))
+                                       f"e int, u {kind}, v {kind}, border boolean", block, _fewer_links))
     node = (lambda c: F.struct("e", F.col(c).alias("id"))) if len(radii) > 1 else F.col
     root = components(links.where("not border").select(node("u").alias("u"), node("v").alias("v")))
     if len(radii) > 1:
@@ -144,27 +144,43 @@ def density_labels(df: DataFrame, key: str, radii: list[float], min_samples: int
 
 def _links(radii: list[float]):
     """Core rows: star edges of a spanning forest inside the two blocks. Border rows: their core neighbours."""
-    def links(x, y):
+    def links(x: Piece, y: Piece) -> pd.DataFrame:
         es, us, vs, border = [], [], [], []
-        if len(x) and len(y):
-            a, b = _matrix(x["vec"]), _matrix(y["vec"])
-            xid, all_ids = x["id"].to_numpy(), y["id"].to_numpy()
-            x_core, y_core = np.stack(x["core"].to_numpy()).astype(bool), np.stack(y["core"].to_numpy()).astype(bool)
-            for e, eps in enumerate(radii):
-                near, yid = within(a, b[y_core[:, e]], eps) if y_core[:, e].any() else None, all_ids[y_core[:, e]]
-                if near is None:
-                    continue
-                i, j = np.nonzero(near & ~x_core[:, e][:, None])
-                pairs = [(xid[k], yid[m], True) for k, m in zip(i, j)] + [(u, v, False) for u, v in _forest(near, xid, yid, x_core[:, e])]
-                es += [e] * len(pairs)
-                us += [p[0] for p in pairs]
-                vs += [p[1] for p in pairs]
-                border += [p[2] for p in pairs]
+        xid, all_ids = x["id"].to_numpy(), y["id"].to_numpy()
+        x_core, y_core = np.stack(x["core"].to_numpy()).astype(bool), np.stack(y["core"].to_numpy()).astype(bool)
+        for e, eps in enumerate(radii):
+            if not y_core[:, e].any():
+                continue
+            near, yid = within(x.vec, y.vec[y_core[:, e]], eps), all_ids[y_core[:, e]]
+            i, j = np.nonzero(near & ~x_core[:, e][:, None])
+            pairs = [(xid[k], yid[m], True) for k, m in zip(i, j)] + [(u, v, False) for u, v in _forest(near, xid, yid, x_core[:, e])]
+            es += [e] * len(pairs)
+            us += [p[0] for p in pairs]
+            vs += [p[1] for p in pairs]
+            border += [p[2] for p in pairs]
         return pd.DataFrame({"e": pd.Series(es, dtype="int32"), "u": pd.Series(us, dtype=x["id"].dtype),
                              "v": pd.Series(vs, dtype=x["id"].dtype), "border": pd.Series(border, dtype=bool)})
     return links
 
 
+def _fewer_links(found: pd.DataFrame) -> pd.DataFrame:
+    """The border links, and per radius one link from each core row to the smallest id it is connected with."""
+    out = [found[found["border"]]]
+    for e, part in found[~found["border"]].groupby("e"):
+        ids, code = np.unique(np.concatenate([part["u"].to_numpy(), part["v"].to_numpy()]), return_inverse=True)
+        u, v = code[:len(part)], code[len(part):]
+        low = np.arange(len(ids))
+        while not np.array_equal(low[u], low[v]):
+            least = np.minimum(low[u], low[v])
+            for end in (low[u], low[v]):
+                np.minimum.at(low, end, least)
+            while not np.array_equal(low, low[low]):
+                low = low[low]
+        linked = np.flatnonzero(low != np.arange(len(ids)))
+        out.append(pd.DataFrame({"e": np.int32(e), "u": ids[linked], "v": ids[low[linked]], "border": False}))
+    return pd.concat(out, ignore_index=True)
+
+
 def _forest(near: np.ndarray, xid: np.ndarray, yid: np.ndarray, core: np.ndarray):
     """(id, smallest id) inside each connected part of the block's core rows and columns."""
     open_rows, open_cols = set(np.nonzero(core)[0].tolist()), np.ones(len(yid), dtype=bool)
@@ -300,12 +316,11 @@ def potentials(df: DataFrame, key: str, ra: float = SUBTRACTIVE_RA, cols: list[s
     n = max(1, single.agg(F.sum("w")).first()[0] or 1)
     scale, reach = (ra / 2.0) ** 2, (ra / 2.0) * math.sqrt(math.log(n) - math.log(KERNEL_ROUNDING))
 
-    def total(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"id": x["id"][:0], "potential": np.zeros(0)})
-        return pd.DataFrame({"id": x["id"], "potential": np.exp(-square_distances(_matrix(x["vec"]), _matrix(y["vec"])) / scale) @ y["w"].to_numpy(dtype=float)})
+    def total(x: Piece, y: Piece) -> pd.DataFrame:
+        return pd.DataFrame({"id": x["id"], "potential": np.exp(-square_distances(x.vec, y.vec) / scale) @ y["w"].to_numpy(dtype=float)})
     kind = single.schema["id"].dataType.simpleString()
-    sums = compare_blocks(picked.select("id", "vec"), single, choose_pivots(single), reach, total, f"id {kind}, potential double")
+    sums = compare_blocks(picked.select("id", "vec"), single, choose_pivots(single, None, reach), reach, total, f"id {kind}, potential double",
+                          merge=summed(["id"]))
     sums = sums.groupBy(F.col("id").alias("__id")).agg(F.sum("potential").alias("potential"))
     return picked.join(sums, F.col("id") == F.col("__id")).select("id", "vec", "potential")
 

@@ -2,21 +2,32 @@
 
 Points are assigned to the nearest of a bounded set of pivots. A point y can only lie within
 ``eps`` of a point whose nearest pivot is p when d(y, p) <= d(y, nearest pivot) + 2 eps, so y is
-also sent to those pivots and nothing else needs comparing. Cells that hold many points are
-cut into blocks of at most ``BLOCK`` rows on both sides; a task compares two blocks and returns
-per-row totals or a spanning forest. Copies of a vector are counted once with their weight.
+also sent to those pivots and nothing else needs comparing. Where eps is so large that a point would go to
+more than ``SPREAD`` cells there are no cells, and all rows are compared. Cells that hold many points are
+cut into blocks of at most ``BLOCK`` numbers on both sides; a task compares two blocks piece by piece and returns
+per-row totals or a spanning forest of the two blocks. Without cells there are ``SPREAD`` blocks a side until a block is
+full, so that a row is sent to a fixed number of tasks, whatever the size of the table. Copies of a vector are counted
+once with their weight.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.runtime import col, cut_lineage
 
-BLOCK = 2_048
+BLOCK = 1 << 22  # numbers in the vectors of a block: 65,536 rows of 64 columns
+MOST_ROWS = 65_536
+PIECE = 1_024  # rows compared at once on both sides
+FOLD = 1 << 17  # rows of partial results that a task folds together
+SPREAD = 8
 ROWS_PER_PIVOT = 2_048
 MAX_PIVOTS = 16_384
 SLACK = 1e-9
@@ -60,7 +71,9 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float)
 
 
-def choose_pivots(points: DataFrame, rows_per_pivot: int | None = None) -> np.ndarray:
+def choose_pivots(points: DataFrame, rows_per_pivot: int | None = None, eps: float | None = None) -> np.ndarray:
+    """Pivots for a search within ``eps``. Unless their number is asked for there are fewer or none where a row of a sample would go to more than
+    ``SPREAD`` cells on the average: cells that do not part the rows only make copies."""
     n = points.count()
     wanted = min(MAX_PIVOTS, n // (rows_per_pivot or ROWS_PER_PIVOT))
     if wanted < 2:
@@ -68,10 +81,32 @@ def choose_pivots(points: DataFrame, rows_per_pivot: int | None = None) -> np.nd
     one_in = max(1, n // (2 * wanted))
     place = F.xxhash64("id", F.lit(11))  # the smallest hashes: the same pivots in every run
     picked = points.where(F.pmod(F.xxhash64("id"), F.lit(one_in)) == 0).orderBy(place, "id").select("vec").limit(wanted).toPandas()
-    return _matrix(picked["vec"]) if len(picked) else np.zeros((0, 0))
+    pivots = _matrix(picked["vec"]) if len(picked) else np.zeros((0, 0))
+    if eps is None or rows_per_pivot or len(pivots) < 2:
+        return pivots
+    seen = points.where(F.pmod(F.xxhash64("id", F.lit(13)), F.lit(max(1, n // PIECE))) == 0).select("vec").limit(2 * PIECE).toPandas()
+    seen = _matrix(seen["vec"]) if len(seen) else pivots[:1]
+    while len(pivots) >= 2:
+        if sum(map(len, _cells(seen, pivots, 2.0 * eps))) <= SPREAD * len(seen):
+            return pivots
+        pivots = pivots[:len(pivots) // 4]
+    return np.zeros((0, 0))
+
+
+def _cells(x: np.ndarray, pivots: np.ndarray, reach: float | None) -> list[np.ndarray]:
+    """Per row its nearest pivot, and with a reach every pivot within it of that distance."""
+    out = []
+    for at in range(0, len(x), 256):
+        d = np.sqrt(square_distances(x[at:at + 256], pivots))
+        if reach is None:
+            out += list(d.argmin(axis=1).astype("int32")[:, None])
+            continue
+        nearest = d.min(axis=1, keepdims=True)
+        out += [np.flatnonzero(r).astype("int32") for r in d <= nearest + reach + SLACK * (1.0 + nearest)]
+    return out
 
 
-def _assign(rows: DataFrame, pivots: np.ndarray, reach: float) -> DataFrame:
+def _assign(rows: DataFrame, pivots: np.ndarray, reach: float | None) -> DataFrame:
     """Add ``cell``: the nearest pivot, and every further pivot within ``reach`` of that distance."""
     if len(pivots) < 2:
         return rows.withColumn("cell", F.lit(0))
@@ -79,67 +114,104 @@ def _assign(rows: DataFrame, pivots: np.ndarray, reach: float) -> DataFrame:
 
     def cells(batches):
         for pdf in batches:
-            if not len(pdf):
-                continue
-            d = np.sqrt(square_distances(_matrix(pdf["vec"]), shared.value))
-            nearest = d.min(axis=1, keepdims=True)
-            if reach is None:
-                yield pdf.assign(cell=d.argmin(axis=1).astype("int32"))
-                continue
-            i, cell = np.nonzero(d <= nearest + reach + SLACK * (1.0 + nearest))
-            yield pdf.iloc[i].assign(cell=cell.astype("int32"))
-    return rows.mapInPandas(cells, _with_cell(rows))
-
-
-def _with_cell(rows: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", cell int"
-
-
-def compare_blocks(home: DataFrame, others: DataFrame, pivots: np.ndarray, eps: float, fn, schema: str,
-                   block: int | None = None) -> DataFrame:
-    """Run ``fn(home block, other block)`` on blocks that together cover all pairs within eps."""
-    size = block or BLOCK
+            if len(pdf):
+                yield pdf.assign(cell=_cells(_matrix(pdf["vec"]), shared.value, reach))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInPandas(cells, f"{kinds}, cell array<int>").withColumn("cell", F.explode("cell"))
+
+
+class Piece:
+    """Some rows of a block: their columns, and their vectors as a matrix."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        flat = rows.column("vec").combine_chunks()
+        self.vec = np.asarray(flat.flatten(), dtype=float).reshape(rows.num_rows, -1)
+        self.rows = rows.drop_columns(["vec"]).to_pandas()
+
+    def __getitem__(self, name: str) -> pd.Series:
+        return self.rows[name]
+
+
+def _pieces(rows: pa.Table) -> list[Piece]:
+    return [Piece(rows.slice(at, PIECE)) for at in range(0, rows.num_rows, PIECE)]
+
+
+def compare_blocks(home: DataFrame, others: DataFrame, pivots: np.ndarray, eps: float, fn: Callable[[Piece, Piece], pd.DataFrame], schema: str,
+                   block: int | None = None, merge: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
+    """Run ``fn(home piece, other piece)`` on pieces that together cover all pairs within eps.
+
+    ``merge`` folds results of pieces of the same two blocks into fewer rows that say the same. ``block`` asks for blocks of that many rows.
+    """
     others = others.select(*[F.col(c).alias(c) for c in others.columns])  # its own columns, also when it is the same table
     a = _assign(home, pivots, None)
     b = _assign(others, pivots, 2.0 * eps)
+
+    def blocks_of(n: str) -> Column:
+        most = F.least(F.lit(MOST_ROWS), F.greatest(F.lit(PIECE), F.floor(F.lit(BLOCK) / F.greatest("dims", F.lit(1)))))
+        if len(pivots) < 2:
+            most = F.least(most, F.greatest(F.lit(PIECE), F.ceil(F.col(n) / SPREAD)))
+        return F.ceil(F.col(n) / (F.lit(block) if block else most)).cast("int")
     # at most MAX_PIVOTS rows
-    plan = (a.groupBy("cell").agg(F.count(F.lit(1)).alias("na"))
+    plan = (a.groupBy("cell").agg(F.count(F.lit(1)).alias("na"), F.max(F.size("vec")).alias("dims"))
             .join(b.groupBy("cell").agg(F.count(F.lit(1)).alias("nb")), "cell")
-            .select("cell", F.ceil(F.col("na") / size).cast("int").alias("ka"), F.ceil(F.col("nb") / size).cast("int").alias("kb")))
-    plan = F.broadcast(plan)
+            .select("cell", blocks_of("na").alias("ka"), blocks_of("nb").alias("kb")))
+    plan = F.broadcast(cut_lineage(plan))
 
     def blocks(rows, mine, theirs, i, j):
         own = F.pmod(F.xxhash64("id", F.lit(7)), F.col(mine)).cast("int")
         return (rows.join(plan, "cell").withColumn(i, own)
                 .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(theirs) - 1))).drop("ka", "kb"))
     left, right = blocks(a, "ka", "kb", "i", "j"), blocks(b, "kb", "ka", "j", "i")
-    return left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInPandas(fn, schema)
+    shape = a.sparkSession.createDataFrame([], schema).schema
+    arrow = to_arrow_schema(shape)
+
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
+        found, rows, folded = [], 0, 0
+        if x.num_rows and y.num_rows:
+            ys = _pieces(y)
+            for at in range(0, x.num_rows, PIECE):
+                one = Piece(x.slice(at, PIECE))
+                for other in ys:
+                    found.append(fn(one, other))
+                    rows += len(found[-1])
+                    if merge and rows > 2 * folded + FOLD:
+                        found = [merge(pd.concat(found, ignore_index=True))]
+                        rows = folded = len(found[0])
+        if not found:
+            return arrow.empty_table()
+        all_ = pd.concat(found, ignore_index=True)
+        return pa.Table.from_pandas(merge(all_) if merge else all_, arrow, preserve_index=False)
+    return left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInArrow(compare, shape)
+
+
+def summed(keys: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A merge that adds up all other columns."""
+    return lambda parts: parts.groupby(keys, as_index=False, sort=False).sum()
 
 
 def neighbour_counts(points: DataFrame, radii: list[float], pivots: np.ndarray, block: int | None = None) -> DataFrame:
     """(id, n): total weight within each radius (array in the order of ``radii``), the point itself included."""
     names = [f"n{i}" for i in range(len(radii))]
 
-    def count(x, y):
-        out = {"id": x["id"]}
-        if not len(x) or not len(y):
-            return pd.DataFrame({"id": x["id"][:0], **{n: np.zeros(0, dtype="int64") for n in names}})
-        a, b, w = _matrix(x["vec"]), _matrix(y["vec"]), y["w"].to_numpy(dtype="int64")
-        for name, eps in zip(names, radii):
-            out[name] = within(a, b, eps) @ w
-        return pd.DataFrame(out)
+    def count(x: Piece, y: Piece) -> pd.DataFrame:
+        w = y["w"].to_numpy(dtype="int64")
+        return pd.DataFrame({"id": x["id"], **{name: _weight(within(x.vec, y.vec, eps), w) for name, eps in zip(names, radii)}})
     kind = points.schema["id"].dataType.simpleString()
     schema = ", ".join([f"id {kind}", *[f"{n} long" for n in names]])
-    parts = compare_blocks(points, points, pivots, max(radii), count, schema, block)
+    parts = compare_blocks(points, points, pivots, max(radii), count, schema, block, summed(["id"]))
     return parts.groupBy("id").agg(F.array(*[F.sum(n) for n in names]).alias("n"))
 
 
+def _weight(near: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return near.sum(axis=1) if (w == 1).all() else near @ w
+
+
 def radius_counts(df: DataFrame, key: str, eps: float, cols: list[str] | None = None, vec: str | None = None,
                   rows_per_pivot: int | None = None, block: int | None = None) -> DataFrame:
     """How many rows lie within eps of each row, itself included."""
     points = as_points(df, key, cols, vec)
     single = cut_lineage(distinct_points(points))
-    counts = neighbour_counts(single, [eps], choose_pivots(single, rows_per_pivot), block)
+    counts = neighbour_counts(single, [eps], choose_pivots(single, rows_per_pivot, eps), block)
     known = single.join(counts, "id").select("vec", F.col("n")[0].alias("n"))
     return points.join(known, "vec").select(F.col("id").alias(key), F.col("n").alias("n_neighbours"))
 
@@ -149,21 +221,23 @@ def k_distance(df: DataFrame, key: str, k: int, cols: list[str] | None = None, v
     """Distance to the k-th nearest row, counting the row itself (distance 0).
 
     Rows with fewer than k neighbours inside the search radius go on to the next round with a
-    doubled radius, so the result is exact whatever the starting radius.
+    doubled radius, so the result is exact whatever the starting radius. Without cells all rows are
+    compared anyway, and one round without a radius does.
     """
     points = as_points(df, key, cols, vec)
     single = cut_lineage(distinct_points(points))
     total = single.agg(F.sum("w")).first()[0] or 0
     if total < k:
         raise ValueError(f"{total} rows have no {k}-th neighbour")
-    pivots = choose_pivots(single, rows_per_pivot)
     radius = _first_radius(single, k)
     kind = points.schema["id"].dataType.simpleString()
     todo, found = single, []
     while True:
-        parts = compare_blocks(todo, single, pivots, radius, _nearest(k, radius),
-                               f"id {kind}, near array<struct<d:double,w:bigint>>", block)
-        merged = parts.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("near"))).alias("near"))
+        pivots = choose_pivots(single, rows_per_pivot, radius)
+        if len(pivots) < 2:
+            radius = float("inf")
+        parts = compare_blocks(todo, single, pivots, radius, _nearest(k, radius), f"id {kind}, d double, w bigint", block, _first_of(k))
+        merged = parts.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("d", "w"))).alias("near"))
         enough = F.aggregate("near", F.lit(0).cast("long"), lambda s, x: s + x["w"]) >= k
         step = cut_lineage(merged.select("id", F.when(enough, _kth(k)).alias("d")))
         found.append(step.where("d is not null"))
@@ -189,21 +263,25 @@ def _kth(k: int):
 
 
 def _nearest(k: int, radius: float):
-    def nearest(x, y):
-        if not len(x) or not len(y):
-            return pd.DataFrame({"id": x["id"][:0], "near": []})
-        a, b, w = _matrix(x["vec"]), _matrix(y["vec"]), y["w"].to_numpy(dtype="int64")
-        d2 = square_distances(a, b)
-        m = min(k, len(b))
-        pick = np.argpartition(d2, m - 1, axis=1)[:, :m]
-        out = []
-        for i in range(len(a)):
-            d = np.sqrt(np.square(a[i] - b[pick[i]]).sum(1))
-            out.append([{"d": float(v), "w": int(w[j])} for v, j in zip(d, pick[i]) if v <= radius])
-        return pd.DataFrame({"id": x["id"], "near": out})
+    """(id, d, w) of the k nearest vectors in a piece, as far as they lie within the radius."""
+    def nearest(x: Piece, y: Piece) -> pd.DataFrame:
+        m = min(k, len(y.vec))
+        pick = np.argpartition(square_distances(x.vec, y.vec), m - 1, axis=1)[:, :m]
+        d = np.sqrt(np.square(x.vec[:, None, :] - y.vec[pick]).sum(2))
+        i, j = np.nonzero(d <= radius)
+        return pd.DataFrame({"id": x["id"].to_numpy()[i], "d": d[i, j], "w": y["w"].to_numpy(dtype="int64")[pick[i, j]]})
     return nearest
 
 
+def _first_of(k: int):
+    """A merge that keeps the nearest vectors of an id until their weight reaches k."""
+    def first(parts: pd.DataFrame) -> pd.DataFrame:
+        parts = parts.sort_values(["id", "d"], ignore_index=True)
+        before = parts.groupby("id")["w"].cumsum() - parts["w"]
+        return parts[before < k]
+    return first
+
+
 def _first_radius(single: DataFrame, k: int) -> float:
     """Typical k-th distance in a small sample, shrunk to the density of the whole table."""
     n = single.count()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.runtime import bounded, col, cut_lineage, unit_position
 from .agreement import cluster_balance
 from .cluster import cluster_counts
-from .neighbors import _matrix, compare_blocks, square_distances
+from .neighbors import Piece, compare_blocks, square_distances, summed
 
 
 def _labelled(df: DataFrame, cluster: str, cols: list[str] | None, vec: str | None, key: str | None = None) -> DataFrame:
@@ -39,13 +39,12 @@ def silhouette(df: DataFrame, key: str, cluster: str, cols: list[str] | None = N
     picked = rows.orderBy(unit_position(["id"], seed), "id").limit(sample) if sample else rows
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
 
-    def sums(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"id": x["id"][:0], "other": y["cluster"][:0], "total": np.zeros(0)})
+    def sums(x: Piece, y: Piece) -> pd.DataFrame:
         other, at = np.unique(y["cluster"].to_numpy(), return_inverse=True)
-        total = np.sqrt(square_distances(_matrix(x["vec"]), _matrix(y["vec"]))) @ np.eye(len(other))[at]
-        return pd.DataFrame({"id": np.repeat(x["id"].to_numpy(), len(other)), "other": np.tile(other, len(x)), "total": total.ravel()})
-    parts = compare_blocks(picked.select("id", "vec"), rows, np.zeros((0, 0)), 0.0, sums, f"id {kinds['id']}, other {kinds['cluster']}, total double")
+        total = np.sqrt(square_distances(x.vec, y.vec)) @ np.eye(len(other))[at]
+        return pd.DataFrame({"id": np.repeat(x["id"].to_numpy(), len(other)), "other": np.tile(other, len(x.vec)), "total": total.ravel()})
+    parts = compare_blocks(picked.select("id", "vec"), rows, np.zeros((0, 0)), 0.0, sums, f"id {kinds['id']}, other {kinds['cluster']}, total double",
+                           merge=summed(["id", "other"]))
     totals = parts.groupBy("id", "other").agg(F.sum("total").alias("total"))
     counts = rows.groupBy(F.col("cluster").alias("__c")).agg(F.count(F.lit(1)).alias("n"))
     own = picked.select(F.col("id").alias("__id"), "cluster")
@@ -78,15 +77,14 @@ def davies_bouldin(df: DataFrame, cluster: str, cols: list[str] | None = None, v
     if spread.count() < 2:
         return df.sparkSession.createDataFrame([(None,)], "davies_bouldin double")
 
-    def worst(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"id": x["id"][:0], "r": np.zeros(0)})
-        d = np.sqrt(square_distances(_matrix(x["vec"]), _matrix(y["vec"])))
+    def worst(x: Piece, y: Piece) -> pd.DataFrame:
+        d = np.sqrt(square_distances(x.vec, y.vec))
         apart = (d > 0) & (x["id"].to_numpy()[:, None] != y["id"].to_numpy()[None, :])
         r = np.where(apart, (x["s"].to_numpy()[:, None] + y["s"].to_numpy()[None, :]) / np.where(apart, d, 1.0), 0.0)
         return pd.DataFrame({"id": x["id"], "r": r.max(axis=1)})
     kind = spread.schema["id"].dataType.simpleString()
-    pairs = compare_blocks(spread, spread, np.zeros((0, 0)), 0.0, worst, f"id {kind}, r double")
+    pairs = compare_blocks(spread, spread, np.zeros((0, 0)), 0.0, worst, f"id {kind}, r double",
+                           merge=lambda parts: parts.groupby("id", as_index=False, sort=False).max())
     return pairs.groupBy("id").agg(F.max("r").alias("r")).agg(F.avg("r").alias("davies_bouldin"))
 
 

@@ -1,9 +1,10 @@
 """What a query moves: the parts that grow faster than the input stay out of shuffles and out of single tasks."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabkit.operators import metrics
+from tabkit.operators import cluster, metrics, neighbors, quality
 
 
 def shuffled_rows(df) -> int:
@@ -51,3 +52,32 @@ def test_confusion_keeps_null_and_unseen_labels(spark):
     labels = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "label string")
     got = {(r["actual"], r["predicted"]): r["n"] for r in metrics.confusion(rows, labels, block=1).collect()}
     assert len(got) == 16 and {k for k, n in got.items() if n} == {("a", "b")}
+
+
+def cloud(spark, n, dims):
+    x = np.random.default_rng(5).normal(size=(n, dims)).round(3)
+    return x, spark.createDataFrame([(i, r.tolist(), i % 3) for i, r in enumerate(x)], "id long, v array<double>, label int")
+
+
+def test_a_radius_that_covers_the_data_sends_each_row_to_a_fixed_number_of_tasks(spark):
+    n = 24_000
+    counts = neighbors.neighbour_counts(*(lambda single: (single, [9.0], neighbors.choose_pivots(single, None, 9.0)))(
+        neighbors.distinct_points(neighbors.as_points(cloud(spark, n, 12)[1], "id", vec="v")).checkpoint()))
+    assert shuffled_rows(counts) <= 3 * neighbors.SPREAD * n  # rows of both sides, and a count per row and task
+
+
+def test_pieces_of_blocks_folded_at_once_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "FOLD", 0)
+    x, df = cloud(spark, 2_500, 10)
+    d = np.sqrt(np.maximum(np.square(x[:, None, :] - x[None, :, :]).sum(2), 0))
+    near = {r["id"]: r["n_neighbours"] for r in neighbors.radius_counts(df, "id", 3.0, vec="v").collect()}
+    assert [near[i] for i in range(len(x))] == (d <= 3.0).sum(1).tolist()
+    kth = {r["id"]: r["k_distance"] for r in neighbors.k_distance(df, "id", 7, vec="v").collect()}
+    np.testing.assert_allclose([kth[i] for i in range(len(x))], np.sort(d, 1)[:, 6], atol=1e-9)
+    one = {r["id"]: r["cluster"] for r in cluster.dbscan(df, "id", 2.0, 4, vec="v").collect()}
+    small = {r["id"]: r["cluster"] for r in cluster.dbscan(df, "id", 2.0, 4, vec="v", rows_per_pivot=300, block=100).collect()}
+    assert one == small and 1 < len(set(one.values()))
+    label = np.arange(len(x)) % 3
+    mean = np.stack([d[:, label == c].sum(1) / ((label == c).sum() - (label == c)) for c in range(3)], 1)
+    a, rest = mean[np.arange(len(x)), label], np.where(np.arange(3)[None, :] == label[:, None], np.inf, mean).min(1)
+    assert quality.silhouette(df, "id", "label", vec="v").first()["silhouette"] == pytest.approx(((rest - a) / np.maximum(a, rest)).mean(), abs=1e-9)
