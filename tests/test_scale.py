@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabkit.functions import runtime
 from tabkit.operators import cluster, metrics, neighbors, quality
 
 
@@ -81,3 +82,12 @@ def test_pieces_of_blocks_folded_at_once_give_the_same(spark, monkeypatch):
     mean = np.stack([d[:, label == c].sum(1) / ((label == c).sum() - (label == c)) for c in range(3)], 1)
     a, rest = mean[np.arange(len(x)), label], np.where(np.arange(3)[None, :] == label[:, None], np.inf, mean).min(1)
     assert quality.silhouette(df, "id", "label", vec="v").first()["silhouette"] == pytest.approx(((rest - a) / np.maximum(a, rest)).mean(), abs=1e-9)
+
+
+def test_kept_rows_sit_in_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "MAX_ROWS_PER_PARTITION", 1_000, raising=False)
+    with runtime.kept(spark.range(20_000, numPartitions=8)) as held:
+        sizes = [r["count"] for r in held.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= 1_000
+    with runtime.kept(spark.range(0)) as held:
+        assert held.count() == 0
