@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.runtime import col, kept
 
 MODELS_AT_ONCE = 400  # logistic models of one pass, each with a matrix of its terms squared
+ROWS_AT_ONCE = 1_000  # whose products of two terms are held together
 LASSO_SWEEPS, LASSO_TOL = 1_000, 1e-9
 NEWTON_ROUNDS, NEWTON_TOL = 60, 1e-8
 
@@ -119,28 +120,75 @@ def lasso_weights(s: Standard, alphas: list[float]) -> np.ndarray:
     return w.T
 
 
+def _alike(fits: list[tuple[int, Standard, float]], numbers: list[int], theta: list[np.ndarray]) -> list[tuple]:
+    """Models that leave out the same fold and have the same terms: (fold, mean, spread, numbers, weights as columns)."""
+    groups: dict[tuple, list[int]] = {}
+    for i in numbers:
+        groups.setdefault((fits[i][0], id(fits[i][1])), []).append(i)
+    return [(fits[g[0]][0], fits[g[0]][1].mean[:-1], fits[g[0]][1].spread, g, np.column_stack([theta[i] for i in g])) for g in groups.values()]
+
+
+def _standardised(whole: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """A line of ones and one of each standardised term."""
+    z = np.empty((len(mean) + 1, len(whole)))
+    z[0] = 1.0
+    z[1:] = whole[:, :len(mean)].T
+    z[1:] -= mean[:, None]
+    z[1:] /= spread[:, None]
+    return z
+
+
+def _curves(z: np.ndarray, weight: np.ndarray) -> Iterator[np.ndarray]:
+    """z diag(w) z' for every line w of ``weight``. From three models on, the products of two lines of z are made once for all."""
+    if len(weight) < 3:
+        yield from ((z * w) @ z.T for w in weight)
+        return
+    p = len(z)
+    starts = np.cumsum([0, *range(p, 0, -1)])
+    products = np.empty((starts[-1], z.shape[1]))
+    for i in range(p):
+        np.multiply(z[i], z[i:], out=products[starts[i]:starts[i + 1]])
+    i, j = np.triu_indices(p)
+    for line in weight @ products.T:
+        full = np.empty((p, p))
+        full[i, j] = full[j, i] = line
+        yield full
+
+
 def logistic_weights(rows: DataFrame, terms: list[tuple[int, ...]], scale: np.ndarray, fits: list[tuple[int, Standard, float]]) -> list[np.ndarray]:
     """Least |w|^2 / 2 + C times the log loss, intercept free, for all (fold left out, standard, C) at once by Newton rounds.
 
     Each round is one pass: loss, gradient and curvature of every model that has not settled. A step that does not lower the loss is halved.
+    Models of the same terms and folds share their matrix and its products of two columns, so a round costs them two matrix products.
     """
     sizes = [len(s.b) + 1 for _, s, _ in fits]
     theta = [np.zeros(p) for p in sizes]
     step, loss, open_ = [None] * len(fits), [np.inf] * len(fits), set(range(len(fits)))
     for _ in range(NEWTON_ROUNDS):
-        state = [(i, fits[i][0], sizes[i] - 1, fits[i][1].mean[:-1], fits[i][1].spread, theta[i]) for i in sorted(open_)]
+        state = _alike(fits, sorted(open_), theta)
 
         def curvature(blocks):
             out = {}
             for fold, y, x in blocks:
-                whole = expand(x / scale, terms)
-                for i, left_out, p, mean, spread, t in state:
-                    use = fold != left_out
-                    z = np.column_stack([np.ones(use.sum()), (whole[use][:, :p] - mean) / spread])
-                    eta, target = z @ t, y[use]
-                    chance = 1 / (1 + np.exp(-np.clip(eta, -700, 700)))
-                    found = np.concatenate([[(np.logaddexp(0, eta) - target * eta).sum()], z.T @ (chance - target), ((z * (chance * (1 - chance))[:, None]).T @ z).ravel()])
-                    out[i] = out.get(i, 0) + found
+                for at in range(0, len(y), ROWS_AT_ONCE):
+                    part = slice(at, at + ROWS_AT_ONCE)
+                    whole = expand(x[part] / scale, terms)
+                    for left_out, mean, spread, numbers, weights in state:
+                        use = fold[part] != left_out
+                        z, target = _standardised(whole[use], mean, spread), y[part][use]
+                        eta = weights.T @ z
+                        small = np.exp(-np.abs(eta))
+                        chance = np.where(eta >= 0, 1.0, small)
+                        small += 1.0
+                        chance /= small
+                        losses = np.maximum(eta, 0.0).sum(1) + np.log(small.prod(1)) - eta @ target  # at most 2 ** ROWS_AT_ONCE
+                        gradients = (chance - target) @ z.T
+                        for k, (number, full) in enumerate(zip(numbers, _curves(z, chance * (1.0 - chance)))):
+                            found = np.concatenate([losses[k:k + 1], gradients[k], full.ravel()])
+                            if number in out:
+                                out[number] += found
+                            else:
+                                out[number] = found
             return list(out.items())
 
         for i, found in _per_partition(rows, curvature).items():
@@ -167,17 +215,17 @@ def logistic_weights(rows: DataFrame, terms: list[tuple[int, ...]], scale: np.nd
 
 def accuracies(rows: DataFrame, terms: list[tuple[int, ...]], scale: np.ndarray, fits: list[tuple[int, Standard, float]], theta: list[np.ndarray]) -> np.ndarray:
     """Share of right classes of each model on the fold it did not see, in one pass."""
-    state = [(i, f, len(t) - 1, s.mean[:-1], s.spread, t) for i, ((f, s, _), t) in enumerate(zip(fits, theta))]
+    state = _alike(fits, list(range(len(fits))), theta)
 
     def hits(blocks):
-        out = np.zeros((len(state), 2))
+        out = np.zeros((len(fits), 2))
         for fold, y, x in blocks:
             whole = expand(x / scale, terms)
-            for i, f, p, mean, spread, t in state:
+            for f, mean, spread, numbers, weights in state:
                 mine = fold == f
                 if mine.any():
-                    right = ((whole[mine][:, :p] - mean) / spread @ t[1:] + t[0] > 0) == (y[mine] > 0.5)
-                    out[i] += right.sum(), len(right)
+                    right = (weights.T @ _standardised(whole[mine], mean, spread) > 0) == (y[mine] > 0.5)
+                    out[numbers] += np.column_stack([right.sum(1), np.full(len(numbers), right.shape[1])])
         return [(0, out.ravel())]
     counts = _per_partition(rows, hits)[0].reshape(-1, 2)
     return counts[:, 0] / counts[:, 1]

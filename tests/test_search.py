@@ -84,3 +84,25 @@ def test_constant_columns(spark):
     rows = spark.createDataFrame([(i, 2.0, float(i % 10), float(i % 10) * 3 + 1) for i in range(80)], "id long, a double, b double, y double")
     got = models.random_search(rows, ["a", "b"], "y", ["id"], draws=5, degrees=(1, 2), penalty=(1e-6, 1e-5))
     assert got.first()["mean_score"] > 0.999999
+
+
+def test_logistic_models_of_the_same_terms_share_a_pass(monkeypatch):
+    """Weights are those of a plain Newton fit, and the products of two terms are not made once per model."""
+    rng = np.random.default_rng(4)
+    x, fold = rng.normal(size=(2_500, 2)), rng.integers(0, 3, 2_500)
+    y = (x[:, 0] + rng.normal(size=2_500) > 0).astype(float)
+    terms, scale, made = search.monomials(2, 2), np.ones(2), []
+    monkeypatch.setattr(search, "_per_partition", lambda rows, fn: dict(fn(iter([(fold, y, x)]))))
+    before = search._standardised
+    monkeypatch.setattr(search, "_standardised", lambda *a: made.append(1) or before(*a))
+    z = np.column_stack([np.ones(len(y)), search.expand(x, terms), y])
+    fits = []
+    for f in range(3):
+        s = search.Standard(z[fold != f].T @ z[fold != f], len(terms))
+        fits += [(f, s, c) for c in (0.01, 0.1, 1.0, 10.0, 100.0)]
+    theta = search.logistic_weights(None, terms, scale, fits)
+    assert len(made) <= 3 * 3 * search.NEWTON_ROUNDS  # folds x pieces of rows x rounds, whatever the number of models
+    for (f, s, c), t in zip(fits, theta):
+        fit = np.column_stack([np.ones((fold != f).sum()), (search.expand(x[fold != f], terms) - s.mean[:-1]) / s.spread])
+        chance = 1 / (1 + np.exp(-fit @ t))
+        assert np.abs(c * fit.T @ (chance - y[fold != f]) + np.append(0, t[1:])).max() < 1e-4 * (1 + c)
