@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -65,6 +66,38 @@ def _pass(rows: DataFrame, schema: str, fn: Callable[[Iterator[tuple]], dict]) -
     return rows.mapInArrow(run, schema)
 
 
+@contextmanager
+def _packed(rows: DataFrame):
+    """The rows persisted as (h, w, x) of 8-byte numbers, one record per Arrow batch: what a pass copies to Python and back is
+    a few long strings instead of single numbers."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                parts = [b.column(0), b.column(1), b.column(2).flatten()]
+                yield pa.RecordBatch.from_pydict({n: [p.to_numpy(zero_copy_only=False).tobytes()] for n, p in zip("hwx", parts)})
+    with kept(rows) as held:
+        packed = held.mapInArrow(pack, "h binary, w binary, x binary").persist()
+        packed.count()
+    try:
+        yield packed
+    finally:
+        packed.unpersist()
+
+
+def _packed_pass(packed: DataFrame, schema: str, fn: Callable[[Iterator[tuple]], dict]) -> DataFrame:
+    """As ``_pass``, over the records of ``_packed``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def blocks():
+            for b in batches:
+                for h, w, x in zip(*b.columns):
+                    w = np.frombuffer(w.as_buffer(), np.float64)
+                    yield np.frombuffer(h.as_buffer(), np.int64), w, np.frombuffer(x.as_buffer(), np.float64).reshape(len(w), -1)
+        out = fn(blocks())
+        if out:
+            yield pa.RecordBatch.from_pydict(out)
+    return packed.mapInArrow(run, schema)
+
+
 def _distances(x: np.ndarray, centres: np.ndarray, shift: np.ndarray) -> np.ndarray:
     """Squared distances of rows to centres, both moved by ``shift`` against cancellation."""
     a, b = x - shift, centres - shift
@@ -92,7 +125,7 @@ def _seed_centres(rows: DataFrame, models: list[Model], shift: np.ndarray, sampl
                         best[i] = float(times[at]), x[at].tolist()
             return best and {"model": list(best), "race": [r for r, _ in best.values()], "x": [v for _, v in best.values()]}
 
-        won = _pass(rows, "model long, race double, x array<double>", race).groupBy("model").agg(F.min(F.struct("race", "x")).alias("best"))
+        won = _packed_pass(rows, "model long, race double, x array<double>", race).groupBy("model").agg(F.min(F.struct("race", "x")).alias("best"))
         for r in won.collect():  # one row per model
             m = models[r["model"]]
             new = np.array([r["best"]["x"]])
@@ -106,35 +139,44 @@ def fit_many(rows: DataFrame, models: list[Model], max_iter: int = 300, tol: flo
     reach the driver. A model has settled when its centres move by at most ``tol`` times the mean variance. A cluster without rows keeps
     its centre. The result does not depend on how the rows are split, but for the last digits of sums.
     """
-    with kept(rows) as held:
-        stats = held.select("w", F.posexplode("x")).groupBy("pos").agg(
-            F.sum("w").alias("n"), (F.sum(F.col("w") * F.col("col")) / F.sum("w")).alias("mean"), F.sum("w").alias("all"),
-            F.sum(F.col("w") * F.col("col") * F.col("col")).alias("squares")).orderBy("pos").collect()
+    def moments(blocks):
+        total = 0.0
+        for _, w, x in blocks:
+            total = total + np.stack([np.full(x.shape[1], w.sum()), w @ x, w @ (x * x)])
+        return {"part": np.repeat(range(3), total.shape[1]), "pos": np.tile(range(total.shape[1]), 3), "value": total.ravel()} if np.ndim(total) else {}
+
+    with _packed(rows) as held:
+        stats = _packed_pass(held, "part long, pos long, value double", moments).groupBy("part", "pos").agg(F.sum("value").alias("value")).orderBy("part", "pos").collect()
         if not stats:
             return models
-        shift = np.array([r["mean"] for r in stats])
-        limit = tol * float(np.mean([max(r["squares"] / r["n"] - r["mean"] ** 2, 0.0) for r in stats]))
+        n, sums, squares = np.array([r["value"] for r in stats]).reshape(3, -1)
+        shift = sums / n
+        limit = tol * float(np.mean(np.maximum(squares / n - shift ** 2, 0.0)))
         _seed_centres(held, models, shift, sample_seed)
         d = len(shift)
         while open_ := [(i, m) for i, m in enumerate(models) if m.inertia is None]:
-            state = [(i, m.sample, m.centres) for i, m in open_]
+            state = [(i, m.sample, m.centres, m.settled or m.rounds >= max_iter) for i, m in open_]
 
             def sums(blocks):
-                total = {i: np.zeros((len(c), d + 2)) for i, _, c in state}
+                total = {i: np.zeros((len(c), d + 2)) for i, _, c, _ in state}
                 for h, w, x in blocks:
-                    every = _distances(x, np.vstack([c for _, _, c in state]), shift)
+                    every = _distances(x, np.vstack([c for _, _, c, _ in state]), shift)
                     at = 0
-                    for i, sample, centres in state:
+                    for i, sample, centres, last in state:
                         near = every[:, at:at + len(centres)].argmin(1)
                         at += len(centres)
                         weight = weights_of(h, w, sample, sample_seed)
-                        gap = x - centres[near]
-                        parts = [weight, weight * (gap * gap).sum(1), *(weight * x[:, j] for j in range(d))]
-                        total[i] += np.column_stack([np.bincount(near, p, len(centres)) for p in parts])
+                        mine = np.zeros((len(centres), len(x)))
+                        mine[near, np.arange(len(x))] = weight
+                        total[i][:, 0] += mine.sum(1)
+                        total[i][:, 2:] += mine @ x
+                        if last:  # the inertia of a model is asked for once
+                            gap = x - centres[near]
+                            total[i][:, 1] += mine @ (gap * gap).sum(1)
                 cells = [(i, c, j, v) for i, t in total.items() for (c, j), v in np.ndenumerate(t) if v]
                 return cells and dict(zip(("model", "cluster", "part", "value"), map(list, zip(*cells))))
 
-            summed = _pass(held, "model long, cluster long, part long, value double", sums).groupBy("model", "cluster", "part").agg(F.sum("value").alias("value"))
+            summed = _packed_pass(held, "model long, cluster long, part long, value double", sums).groupBy("model", "cluster", "part").agg(F.sum("value").alias("value"))
             tables = {i: np.zeros((m.k, d + 2)) for i, m in open_}
             for r in summed.toPandas().itertuples():  # models x clusters x coordinates
                 tables[r.model][r.cluster, r.part] = r.value

@@ -108,3 +108,18 @@ def test_squared_silhouettes_equal_all_pairs(spark):
             b = min(d2[i][near == c].mean() for c in set(near) if c != near[i])
             each.append((b - a) / max(a, b) if own.sum() > 1 else 0)
         assert value == pytest.approx(np.mean(each))
+
+
+def test_passes_read_few_records_and_give_the_sums_of_all_rows(spark):
+    x = np.random.default_rng(8).normal(size=(5_000, 3)).round(2)
+    rows = lloyd.points(spark.createDataFrame([(r.tolist(),) for r in np.vstack([x, x[:500]])], "v array<double>"), None, "v")
+    with lloyd._packed(rows) as packed:
+        assert packed.count() <= 50  # of 5,000 rows
+    model = lloyd.fit_many(rows, [lloyd.Model(4, 1)])[0]
+    every, w = np.unique(np.vstack([x, x[:500]]), axis=0, return_counts=True)
+    d = np.square(every[:, None, :] - model.centres[None]).sum(2)
+    near = d.argmin(1)
+    assert model.inertia == pytest.approx(float((w * d.min(1)).sum()), rel=1e-9)
+    for c in range(4):
+        np.testing.assert_allclose(model.centres[c], np.average(every[near == c], axis=0, weights=w[near == c]), atol=0.05)
+    assert lloyd.fit_many(rows.limit(0), [lloyd.Model(2, 1)])[0].centres is None
