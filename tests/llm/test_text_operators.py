@@ -13,6 +13,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -536,3 +537,36 @@ def test_pipeline(spark):
     assert first.dtypes == docs.dtypes and first.where("n_chars <> length(text)").count() == 0
     ends = QUERIES["pipeline"](spark, f"{DATA}/sf0.001")
     assert ends.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and 0 < ends.select("doc_id").distinct().count() <= first.count()
+
+
+def test_tokens_of_a_batch():
+    long = "q" * 9_000
+    texts = ["A b A", "", None, " \t\n ", "x", "éß \x1c  y", "tail ", f"{long.upper()} {long} {long}r", "no", "\x0bA\x0cB"]
+    numbers = {b"a": 1, b"b": 2, b"x": 3}
+    for array in (pa.array(texts), pa.array(texts).slice(1, 5), pa.array([], pa.string()), pa.array(["", None], pa.string())):
+        tokens = pitman_yor.Tokens(array)
+        got = [[tokens.words[i] for i in tokens.ids[a:b]] for a, b in zip(tokens.starts[:-1], tokens.starts[1:])]
+        assert got == [(t or "").encode().lower().split() + [b"\n"] for t in array.to_pylist()]
+        context = []
+        for text in got:
+            at = 0
+            for word in text:
+                context.append(at)
+                at = numbers.get(word, at)
+        assert tokens.contexts(numbers).tolist() == context
+        assert len(set(tokens.hashes.tolist())) == len(tokens.words) == len(set(tokens.words))
+    alone = pitman_yor.Tokens(pa.array(["a b"]))
+    assert {w: h for w, h in zip(alone.words, alone.hashes)}.items() <= {w: h for t in [pitman_yor.Tokens(pa.array(texts))] for w, h in zip(t.words, t.hashes)}.items()
+
+
+def test_counts_of_a_task_are_folded(monkeypatch):
+    monkeypatch.setattr(pitman_yor, "FOLD", 3)
+    counts, want = pitman_yor._Counts(), collections.Counter()
+    for texts in (["a b a", "b c"], ["c c", "a"], ["b a b a"]):
+        tokens = pitman_yor.Tokens(pa.array(texts))
+        context = tokens.contexts({b"a": 1, b"c": 2})
+        counts.add(tokens, tokens.ids, context)
+        want.update((tokens.words[i], u) for i, u in zip(tokens.ids.tolist(), context.tolist()))
+    word, number, n = counts.take()
+    assert dict(zip(zip(word.to_pylist(), number.tolist()), n.tolist())) == want
+    assert len(counts.take()[2]) == 0
