@@ -12,11 +12,11 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,9 +26,15 @@ from .common import staged
 CAPACITY = 1024
 END_ID = 2
 KNOWN_WORDS = 500_000  # words a worker remembers; the older half goes when there are more
-NEW_WORDS = 20_000  # words that are encoded as one text
+NEW_WORDS = 200_000  # words that are encoded together
+KNOWN_RESTS = 20_000  # what follows the letters of new words
+TEXTS_AT_ONCE, BYTES_AT_ONCE = 2_000, 1 << 23
 
 SPACE_MARK = "\u0120"  # what a byte-level vocabulary writes for a space
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"  # all of these are letters to the splitting rule, and no ASCII character else
+WORD = f"(?s)^(?P<letters>[{LETTERS}]+)(?P<rest>(?:[\\x00-@\\[-`{{-\\x7f].*)?)$"
+BYTE_UNITS = np.arange(256, dtype="<u4")  # what it writes for the bytes of letters and of a space; the others in this table are not asked for
+BYTE_UNITS[[*range(32, 33), *range(127, 161), 173]] = 256 + np.array([32, *range(33, 67), 67])
 SPACE_PAIR, INNER_SPACE = re.compile(r" \s"), re.compile(r"\s \s|\s \Z|\A \s|\A \Z")
 
 
@@ -37,56 +43,116 @@ def needs_whole(text: str) -> bool:
     return (SPACE_PAIR.search(text) is not None or text[-1:] == " ") and INNER_SPACE.search(text) is not None
 
 
+class Ids:
+    """The ids of some words in one array; word i has those from ``starts[i]`` to ``starts[i + 1]``."""
+
+    def __init__(self, ids: np.ndarray, starts: np.ndarray) -> None:
+        self.ids, self.starts = ids, starts
+
+    @classmethod
+    def of(cls, parts: list[bytes]) -> Ids:
+        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))) // 4
+        return cls(np.frombuffer(b"".join(parts), dtype="<u4"), np.append(0, ends))
+
+    def take(self, place: np.ndarray) -> np.ndarray:
+        """The ids of the words at these places, one word after the other."""
+        begin = self.starts[place]
+        n = self.starts[place + 1] - begin
+        before = np.cumsum(n) - n
+        return self.ids[np.repeat(begin - before, n) + np.arange(n.sum())]
+
+    def followed_by(self, other: Ids) -> Ids:
+        return Ids(np.concatenate([self.ids, other.ids]), np.concatenate([self.starts, other.starts[1:] + self.starts[-1]]))
+
+
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
     The byte-level vocabulary's splitting rule always cuts before a single space that follows a
     non-space, so a text is encoded word by word (each with its leading space) and ids of words are
-    remembered. New words are encoded together as one text, whose ids are cut where a token starts with the space mark.
+    remembered, words and ids each in one flat array. Of a new word that starts with letters of LETTERS, the letters are encoded apart: the
+    rule also cuts between a letter and what is none.
     Texts where a space stands inside a longer run of white space are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
         assert array("I").itemsize == 4
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        size = self.tokenizer.get_vocab_size()
-        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith(SPACE_MARK) for i in range(size)])
+        self.model = self.tokenizer.model
+        split = self.tokenizer.pre_tokenizer
+        self.cuts_letters = (self.tokenizer.normalizer is None and isinstance(self.model, models.BPE) and isinstance(split, pre_tokenizers.ByteLevel)
+                             and split.use_regex and not split.add_prefix_space)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.ids, self.rests = pa.array([], pa.string()), Ids.of([]), {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
+    def _letters(self, runs: list[str]) -> list[bytes]:
+        """Ids of a space and a run of letters, which are one piece to the splitting rule."""
+        if not runs:
+            return []
+        units = BYTE_UNITS[np.frombuffer((" " + "\n ".join(runs)).encode(), np.uint8)].tobytes().decode("utf-32-le")
+        return [array("I", [t.id for t in self.model.tokenize(u)]).tobytes() for u in units.split("\n")]
+
+    def _rests(self, rests: list[str]) -> list[bytes]:
+        if len(self.rests) > KNOWN_RESTS:
+            self.rests = {}
+        new = [r for r in rests if r not in self.rests]
+        self.rests.update(zip(new, self._whole(new)))
+        return [self.rests[r] for r in rests]
+
+    def _words(self, words: pa.Array) -> Ids:
         """Ids of every word behind a space."""
-        out: list[bytes] = []
-        for at in range(0, len(words), NEW_WORDS):
-            part = words[at:at + NEW_WORDS]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join([" " + w for w in part])], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(self.opens[ids])
-            if len(cuts) != len(part) or len(cuts) and cuts[0]:
-                out += self._whole([" " + w for w in part])
-                continue
-            raw, ends = ids.tobytes(), [*(4 * cuts[1:]).tolist(), 4 * len(ids)]
-            out += [raw[a:b] for a, b in zip([0, *ends], ends)]
+        if not self.cuts_letters:
+            return Ids.of(self._whole([" " + w for w in words.to_pylist()]))
+        parts = pc.extract_regex(words, WORD)
+        other = parts.is_null()
+        heads, rests = (pc.fill_null(part, "").dictionary_encode() for part in parts.flatten())
+        place = np.stack([heads.indices.to_numpy().astype(np.int64), rests.indices.to_numpy() + np.int64(len(heads.dictionary))], axis=1)
+        odd = np.flatnonzero(other.to_numpy(zero_copy_only=False))
+        letters, after = heads.dictionary.to_pylist(), rests.dictionary.to_pylist()
+        none = letters.index("") if len(odd) else len(letters)  # the empty run stands for the other words
+        ids = Ids.of(self._letters(letters[:none]) + [b""] * (none < len(letters)) + self._letters(letters[none + 1:]) + self._rests(after)
+                     + self._whole([" " + w for w in words.take(pa.array(odd)).to_pylist()]))
+        place[odd, 1] = len(letters) + len(after) + np.arange(len(odd))
+        sizes = np.diff(ids.starts)[place].sum(axis=1)
+        return Ids(ids.take(place.ravel()), np.append(0, np.cumsum(sizes)))
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where the different ``words`` stand among the remembered ones; new ones are added."""
+        at = pc.index_in(words, value_set=self.known)
+        if len(self.known) + at.null_count > KNOWN_WORDS and len(self.known):  # the older half goes, and what this batch needs of it is encoded again
+            first = min(len(self.known), max(len(self.known) // 2, len(self.known) + at.null_count - KNOWN_WORDS))
+            self.known = pa.concat_arrays([self.known.slice(first)])
+            self.ids = Ids(self.ids.ids[self.ids.starts[first]:].copy(), self.ids.starts[first:] - self.ids.starts[first])
+            at = pc.index_in(words, value_set=self.known)
+        out = at.fill_null(-1).to_numpy().astype(np.int64)
+        if at.null_count:
+            fresh = words.filter(at.is_null())
+            out[out < 0] = len(self.known) + np.arange(len(fresh))
+            for i in range(0, len(fresh), NEW_WORDS):
+                self.ids = self.ids.followed_by(self._words(fresh.slice(i, NEW_WORDS)))
+            self.known = pa.concat_arrays([self.known, fresh])
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        heads, tails, seen = [], [], set()
-        for t in texts:
-            tail = [] if needs_whole(t) else t.split(" ")
-            heads.append(tail.pop(0) if tail else t)
-            tails.append(tail)
-            seen.update(tail)
-        new = seen.difference(self.known)
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known = dict(islice(self.known.items(), max(len(self.known) // 2, len(self.known) + len(new) - KNOWN_WORDS), None))
-            new = seen.difference(self.known)
-        fresh = list(new)
-        self.known.update(zip(fresh, self._words(fresh)))
-        ids_of = self.known.__getitem__
-        return [head + b"".join(map(ids_of, tail)) for head, tail in zip(self._whole(heads), tails)]
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.string()).fill_null("")
+        strings = texts.to_pylist()
+        whole = np.array([needs_whole(t) for t in strings], dtype=bool)
+        split = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        firsts, flat = split.offsets.to_numpy()[:-1], split.flatten()
+        is_tail = np.ones(len(flat), dtype=bool)
+        is_tail[firsts] = False
+        tails = flat.filter(pa.array(is_tail)).dictionary_encode()
+        place = self._places(tails.dictionary)[tails.indices.to_numpy()]
+        heads = self._whole([t if w else t.partition(" ")[0] for t, w in zip(strings, whole.tolist())])
+        ends = np.append(firsts[1:], len(flat)) - np.arange(1, len(strings) + 1)
+        return [head + self.ids.take(place[a:b]).tobytes() for head, a, b in zip(heads, [0, *ends.tolist()], ends.tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -94,6 +160,17 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of at most TEXTS_AT_ONCE texts and BYTES_AT_ONCE bytes of text, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        most = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BYTES_AT_ONCE, "right"))
+        until = min(max(most, at + 1), at + TEXTS_AT_ONCE)
+        yield batch.slice(at, until - at)
+        at = until
+
+
 def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
     """(start, length) of the pieces of a document: only the first may be shorter than the capacity."""
     first = n if n <= capacity else n % capacity or capacity
@@ -115,10 +192,9 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for batch in parts_of(whole):
                 rows, out = [], []
-                for i, ids in enumerate(encoder(tokenizer).encode([t or "" for t in batch.column(1).to_pylist()])):
+                for i, ids in enumerate(encoder(tokenizer).encode(batch.column(1))):
                     ids += end
                     for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         rows.append(i)
@@ -131,8 +207,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
                     pa.array(crc, pa.int64()), batch.column(2).take(rows), pa.array(rank, pa.int64())],
                     names=["__id", "piece", "start", "length", "ids_crc32", "part", "rank"])
         if not remember:
-            encoder(tokenizer).known.clear()
-            pa.default_memory_pool().release_unused()
+            encoder(tokenizer).forget()
+        pa.default_memory_pool().release_unused()
 
     return staged(base.mapInArrow(run, schema), "pieces")
 

@@ -1,6 +1,7 @@
 """Verification of near-duplicate candidates, encoding of new words and covering of spans against plain versions."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -51,6 +52,25 @@ def test_words_encoded_together_are_those_encoded_alone(monkeypatch):
     assert len(encoder.known) <= 300 + 20 * 60
 
 
+def test_remembered_words_are_no_python_objects():
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + j % 26)}é{i}x{j}" for j in range(500)) for i in range(100)]
+    encoder = packing.Encoder(tokenizer_path())
+    tracemalloc.start()
+    assert encoder.encode(texts) == encoder._whole(texts)
+    encoder.rests.clear()
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(encoder.known) == 49_900 and held < 4_000_000
+
+
+def test_letters_are_encoded_apart_from_what_follows():
+    rng = random.Random(6)
+    parts = ["a", "De", "é", "ǅ", "ß", "ʰ", "\u0301", "ñ÷", "×", "²", "Ⅷ", "ж", "中", "\x00", "\x1c", "\x85", "\xa0", "\u3000", "'s", "'", "'ll", ".", "\n", "\n\n", "_", "{", "`", "@", "7", " "]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(8_000)]
+    encoder = packing.Encoder(tokenizer_path())
+    assert encoder.cuts_letters and encoder.encode(texts) == encoder._whole(texts)
+
+
 def test_a_text_full_of_spans_is_swept_once():
     rng = random.Random(2)
     characters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
