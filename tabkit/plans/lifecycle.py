@@ -15,7 +15,7 @@ from ..operators import (
     agreement, clean, cluster, combine, correlate, dedup, encode, features, impute, metrics, models,
     outliers, profile, project, quality, relabel, scale, split, validate,
 )
-from ..functions.runtime import cut_lineage
+from ..functions.runtime import col, cut_lineage
 from ..operators.params import Params
 from .combine import panel, _PANEL
 from .learn import blobs
@@ -140,8 +140,9 @@ def relabel_by_cluster(df: DataFrame, column: str, label: str, classes: list[str
 
 
 def label_effect(rows: DataFrame, key: str, cols: list[str], before: str, after: str) -> DataFrame:
-    """The same split and the same models with the original and the corrected labels."""
-    parts = split.stratified_split(rows, [key], before, 0.2, 42)
+    """The same split and the same models with the original and the corrected labels. The split rows are written once, with the columns
+    that models and scores read: every fit and every score passes over them several times."""
+    parts = cut_lineage(split.stratified_split(rows, [key], before, 0.2, 42).select(*[col(c) for c in dict.fromkeys([*cols, before, after])], "split"))
     out = []
     for name, y in (("original", before), ("corrected", after)):
         train, test = parts.where("split = 'train'"), parts.where("split = 'test'")

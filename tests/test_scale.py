@@ -91,3 +91,17 @@ def test_kept_rows_sit_in_bounded_partitions(spark, monkeypatch):
         assert sum(sizes) == 20_000 and max(sizes) <= 1_000
     with runtime.kept(spark.range(0)) as held:
         assert held.count() == 0
+
+
+def test_label_effect_computes_its_rows_a_few_times(spark):
+    from tabkit.plans.lifecycle import label_effect
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x % 7)
+    n = 300
+    rows = spark.range(n).select("id", counted("id").alias("x"), (F.col("id") % 11).cast("double").alias("y"), (F.col("id") % 3).cast("int").alias("a"), ((F.col("id") * 7) % 3).cast("int").alias("b"))
+    assert label_effect(rows, "id", ["x", "y"], "a", "b").count() == 3
+    assert 0 < seen.value <= 2 * n
