@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.runtime import col
-from .common import staged
+from .common import give_back, staged
 
 CAPACITY = 1024
 END_ID = 2
@@ -208,7 +208,8 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
                     names=["__id", "piece", "start", "length", "ids_crc32", "part", "rank"])
         if not remember:
             encoder(tokenizer).forget()
-        pa.default_memory_pool().release_unused()
+        whole = batch = None
+        give_back()
 
     return staged(base.mapInArrow(run, schema), "pieces")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.neighbors import components
-from .common import byte_words, mix, packed, signed, staged, unpacked
+from .common import byte_words, give_back, mix, packed, signed, staged, unpacked
 from .simhash import fingerprint_links, shingle_hashes, simhash
 
 SHINGLE_WORDS = 5
@@ -56,6 +56,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                              *signed(np.array([simhash(h), *v], dtype=np.uint64)).tolist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in zip(*rows)]],
                                              names=["row", "place", "c1", "c2", "fp", *[f"v{j}" for j in range(VIEWS)]])
+    whole = batch = None
+    give_back()
 
 
 def _ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,6 +72,8 @@ def _ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rows:
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["kind", "key", "pair", "row", "block", "hashes"])
+    whole = rows = None
+    give_back()
 
 
 def similar_pairs(sets: list[np.ndarray], percent: int = MIN_PERCENT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -141,6 +145,7 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
         linked = np.flatnonzero(parent != np.arange(len(parent)))
         u.append(rows[linked])
         v.append(rows[parent[linked]])
+    give_back()
     return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
 
 

@@ -90,3 +90,17 @@ def test_ids_of_any_type(spark):
     assert sorted(r["name"] for r in out.collect()) == ["a10", "c"]
     days = spark.createDataFrame([("2024-01-02", text), ("2024-01-01", text)], "day string, body string").selectExpr("cast(day as date) day", "body")
     assert [str(r["day"]) for r in resemblance.drop_near_duplicates(days, "day", "body").collect()] == ["2024-01-01"]
+
+
+def test_a_task_gives_back_what_it_freed():
+    from tabkit.llm.common import give_back
+
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+    small = [bytes(600) for _ in range(100_000)]
+    kept = small[::1000]
+    small.clear()
+    before = held()
+    give_back()
+    assert len(kept) == 100 and before - held() > 20_000_000
