@@ -305,6 +305,24 @@ def test_probabilities_sum_to_one(docs):
         assert total == pytest.approx(1.0, abs=0.1)  # seats are averaged and totals are those of the sweeps
 
 
+def test_every_word_before_has_a_restaurant(spark):
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rest = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1][:80]
+    common = " ".join(f"c{i}" for i in range(pitman_yor.CONTEXTS))
+    rows = [(i, f"u{n % 40} v{n % 40} {common}") for n, i in enumerate(rest)]  # u and v are rarer than the context words
+    rows += [(held[0], "u0 v0 u1 v1 u2 v2"), (held[1], "u0 v1 u1 v2 u2 v0")]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {n: {r["doc_id"]: r for r in pitman_yor.score_texts(texts, frequent=n).collect()} for n in (50_000, 3)}
+    for scores in got.values():
+        assert scores[held[0]]["base_score"] == pytest.approx(scores[held[1]]["base_score"])
+        assert scores[held[0]]["score"] > scores[held[1]]["score"] + 2
+    assert all(got[3][i]["score"] == pytest.approx(r["score"], abs=2e-2) for i, r in got[50_000].items())
+    before = np.array([1, 1, 1, 2, 3, 1], np.uint64)
+    word = np.array([5, 6, 5, 5, 5, 8], np.uint64)
+    room, below = pitman_yor.own_rooms(before, word, np.array([2, 1, 3, 1, 0, 0]), 0.5)
+    assert room == pytest.approx([4.5 / 7, 0.5 / 7, 4.5 / 7, 0.25, 0, 0]) and below == pytest.approx([2 / 7] * 3 + [0.75, 1.0, 2 / 7])
+
+
 def test_seating_follows_the_restaurant():
     keys = np.arange(20_000, dtype=np.uint64)
     for n, weight, d in [(5, 0.7, 0.3), (40, 2.0, 0.5)]:
