@@ -337,6 +337,25 @@ def test_seating_follows_the_restaurant():
     assert (pitman_yor.seat(np.array([0, 1, 10**9]), np.array([1.0, 1.0, 1.0]), 0.5, keys[:3], 0) >= [0, 1, 1]).all()
 
 
+@pytest.mark.parametrize("d", [0.1, 0.5, 0.95])
+def test_every_customer_of_a_large_dish_is_seated(d, monkeypatch):
+    rng = np.random.default_rng(4)
+    customers = np.r_[0, 1, 64, 65, rng.integers(0, 3_000, 40), 50_000]
+    keys = rng.integers(0, 2**63, len(customers)).astype(np.uint64)
+    monkeypatch.setattr(pitman_yor, "DRAWN_AT_ONCE", 5_000)
+    for scale in (0.01, 1.0, 500.0):
+        weight = rng.random(len(customers)) * scale
+        want = []
+        for n, w, key in zip(customers.tolist(), weight.tolist(), keys):
+            t, numbers = min(n, 1), pitman_yor._uniform(pitman_yor._drawn(np.repeat(key, n), 1_003, np.arange(n)))
+            for i in range(1, n):
+                t += numbers[i] < w / (w + i - d * t)
+            want.append(t)
+        assert pitman_yor.seat(customers, weight, d, keys, 1_003).tolist() == want
+        turned = slice(None, None, -1)  # whatever the order of the dishes
+        assert pitman_yor.seat(customers[turned], weight[turned], d, keys[turned], 1_003).tolist() == want[turned]
+
+
 @pytest.mark.parametrize("capacity", [1024, 32])
 def test_packing(docs, none, capacity):
     out = packing.pack(docs, tokenizer_path(), capacity=capacity).collect()
