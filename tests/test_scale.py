@@ -48,6 +48,15 @@ def test_confusion_grid_is_not_shuffled(spark, joined_by_shuffles):
     assert {k: n for k, n in got.items() if n} == {k: n for k, n in want.items() if k[1] < 500}
 
 
+def test_confusion_shuffles_no_row_per_label_and_block(spark, joined_by_shuffles):
+    rows = spark.range(3_000).selectExpr("cast(id % 500 as int) AS y", "id * 7 % 501 AS pred")
+    labels = rows.select(F.col("y").cast("long").alias("y")).distinct()
+    grid = metrics.confusion(rows, labels, block=1)  # 500 blocks, two groups
+    assert shuffled_rows(grid) < 20_000  # of 250,000 pairs of a label and a block
+    usual = metrics.confusion(rows, labels)
+    assert grid.exceptAll(usual).isEmpty() and usual.exceptAll(grid).isEmpty()
+
+
 def test_confusion_keeps_null_and_unseen_labels(spark):
     rows = spark.createDataFrame([("a", "b"), ("a", "z"), (None, "a"), ("b", None)], "y string, pred string")
     labels = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "label string")
