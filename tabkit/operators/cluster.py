@@ -16,7 +16,7 @@ from .agreement import ari
 from .lloyd import Model, best_of, fit_many, points, resample_agreement, squared_silhouettes
 from .neighbors import (
     Piece, _matrix, as_points, choose_pivots, compare_blocks, components, distinct_points, k_distance,
-    neighbour_counts, square_distances, summed, within,
+    neighbour_counts, places, square_distances, summed, within,
 )
 from .split import bootstrap
 
@@ -124,7 +124,7 @@ def density_labels(df: DataFrame, key: str, radii: list[float], min_samples: int
     marked = cut_lineage(single.join(counts.select("id", F.transform("n", lambda n: n >= min_samples).alias("core")), "id"))
     any_core = marked.where(F.exists("core", lambda c: c))
     links = cut_lineage(compare_blocks(marked, any_core, pivots, max(radii), _links(radii),
-                                       f"e int, u {kind}, v {kind}, border boolean", block, _fewer_links))
+                                       f"e int, u {kind}, v {kind}, border boolean", block, whole=True))
     node = (lambda c: F.struct("e", F.col(c).alias("id"))) if len(radii) > 1 else F.col
     root = components(links.where("not border").select(node("u").alias("u"), node("v").alias("v")))
     if len(radii) > 1:
@@ -143,64 +143,52 @@ def density_labels(df: DataFrame, key: str, radii: list[float], min_samples: int
 
 
 def _links(radii: list[float]):
-    """Core rows: star edges of a spanning forest inside the two blocks. Border rows: their core neighbours."""
-    def links(x: Piece, y: Piece) -> pd.DataFrame:
-        es, us, vs, border = [], [], [], []
-        xid, all_ids = x["id"].to_numpy(), y["id"].to_numpy()
-        x_core, y_core = np.stack(x["core"].to_numpy()).astype(bool), np.stack(y["core"].to_numpy()).astype(bool)
+    """Core rows: a link from each to the smallest id it is connected with inside the two blocks. Border rows: one core row of every connected part
+    they touch. Rows that are connected already are not compared again."""
+    def links(xs: list[Piece], ys: list[Piece]) -> pd.DataFrame:
+        pieces = [*xs, *ys]
+        ids, code = np.unique(np.concatenate([p["id"].to_numpy() for p in pieces]), return_inverse=True)
+        codes = np.split(code, np.cumsum([len(p.vec) for p in pieces])[:-1])
+        cores = [np.stack(p["core"].to_numpy()).astype(bool) for p in pieces]
+        out = []
         for e, eps in enumerate(radii):
-            if not y_core[:, e].any():
-                continue
-            near, yid = within(x.vec, y.vec[y_core[:, e]], eps), all_ids[y_core[:, e]]
-            i, j = np.nonzero(near & ~x_core[:, e][:, None])
-            pairs = [(xid[k], yid[m], True) for k, m in zip(i, j)] + [(u, v, False) for u, v in _forest(near, xid, yid, x_core[:, e])]
-            es += [e] * len(pairs)
-            us += [p[0] for p in pairs]
-            vs += [p[1] for p in pairs]
-            border += [p[2] for p in pairs]
-        return pd.DataFrame({"e": pd.Series(es, dtype="int32"), "u": pd.Series(us, dtype=x["id"].dtype),
-                             "v": pd.Series(vs, dtype=x["id"].dtype), "border": pd.Series(border, dtype=bool)})
+            low, touched = np.arange(len(ids)), [np.zeros((0, 2), dtype=np.int64)]
+            for x, xc, x_core in zip(pieces[:len(xs)], codes, cores):
+                mine, edge = np.flatnonzero(x_core[:, e]), np.flatnonzero(~x_core[:, e])
+                for y, yc, y_core in zip(ys, codes[len(xs):], cores[len(xs):]):
+                    theirs = np.flatnonzero(y_core[:, e])
+                    if len(edge) and len(theirs):
+                        i, j = places(within(x.vec[edge], y.vec[theirs], eps))
+                        touched.append(np.stack([xc[edge[i]], yc[theirs[j]]], axis=1))
+                    if len(mine) and len(theirs):
+                        _connect(low, x.vec, xc, mine, y.vec, yc, theirs, eps)
+            linked = np.flatnonzero(low != np.arange(len(ids)))
+            border = np.concatenate(touched)
+            border = np.unique(np.stack([border[:, 0], low[border[:, 1]]], axis=1), axis=0)
+            for u, v, is_border in ((linked, low[linked], False), (border[:, 0], border[:, 1], True)):
+                out.append(pd.DataFrame({"e": np.int32(e), "u": ids[u], "v": ids[v], "border": is_border}, index=range(len(u))))
+        return pd.concat(out, ignore_index=True)
     return links
 
 
-def _fewer_links(found: pd.DataFrame) -> pd.DataFrame:
-    """The border links, and per radius one link from each core row to the smallest id it is connected with."""
-    out = [found[found["border"]]]
-    for e, part in found[~found["border"]].groupby("e"):
-        ids, code = np.unique(np.concatenate([part["u"].to_numpy(), part["v"].to_numpy()]), return_inverse=True)
-        u, v = code[:len(part)], code[len(part):]
-        low = np.arange(len(ids))
-        while not np.array_equal(low[u], low[v]):
-            least = np.minimum(low[u], low[v])
-            for end in (low[u], low[v]):
-                np.minimum.at(low, end, least)
-            while not np.array_equal(low, low[low]):
-                low = low[low]
-        linked = np.flatnonzero(low != np.arange(len(ids)))
-        out.append(pd.DataFrame({"e": np.int32(e), "u": ids[linked], "v": ids[low[linked]], "border": False}))
-    return pd.concat(out, ignore_index=True)
-
-
-def _forest(near: np.ndarray, xid: np.ndarray, yid: np.ndarray, core: np.ndarray):
-    """(id, smallest id) inside each connected part of the block's core rows and columns."""
-    open_rows, open_cols = set(np.nonzero(core)[0].tolist()), np.ones(len(yid), dtype=bool)
-    while open_rows:
-        stack, group = [open_rows.pop()], []
-        while stack:
-            i = stack.pop()
-            group.append(xid[i])
-            new = np.nonzero(near[i] & open_cols)[0]
-            open_cols[new] = False
-            group += list(yid[new])
-            if len(new):
-                for j in np.nonzero(near[:, new].any(axis=1))[0].tolist():
-                    if j in open_rows:
-                        open_rows.discard(j)
-                        stack.append(j)
-        least = min(group)
-        for g in set(group):
-            if g != least:
-                yield g, least
+def _connect(low: np.ndarray, x: np.ndarray, x_code: np.ndarray, mine: np.ndarray, y: np.ndarray, y_code: np.ndarray, theirs: np.ndarray, eps: float) -> None:
+    """Lower the labels ``low`` of the rows ``mine`` and ``theirs`` to the least of what is connected through pairs within eps."""
+    a, b = low[x_code[mine]], low[y_code[theirs]]
+    parts, sizes = np.unique(a, return_counts=True)
+    most = parts[sizes.argmax()]  # rows of the part that most rows belong to need no comparison with each other
+    for rows, others in ((mine[a != most], theirs), (mine[a == most], theirs[b != most])):
+        if not len(rows) or not len(others):
+            continue
+        u, v = x_code[rows], y_code[others]
+        i, j = places(within(x[rows], y[others], eps))
+        u, v = low[u[i]], low[v[j]]
+        while not np.array_equal(u, v):
+            least = np.minimum(u, v)
+            np.minimum.at(low, u, least)
+            np.minimum.at(low, v, least)
+            while not np.array_equal(low, lower := low[low]):
+                low[:] = lower
+            u, v = low[u], low[v]
 
 
 def single_link_cut(df: DataFrame, key: str, t: float, cols: list[str] | None = None, vec: str | None = None, **options) -> DataFrame:

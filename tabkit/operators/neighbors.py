@@ -32,6 +32,7 @@ ROWS_PER_PIVOT = 2_048
 MAX_PIVOTS = 16_384
 SLACK = 1e-9
 DIRECT_DIMS = 8
+REFINED = 1 << 16  # pairs that are computed again at once
 
 
 def as_points(df: DataFrame, key: str, cols: list[str] | None = None, vec: str | None = None) -> DataFrame:
@@ -58,13 +59,62 @@ def square_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def within(x: np.ndarray, y: np.ndarray, eps: float) -> np.ndarray:
     """Boolean matrix d(x, y) <= eps; entries near the limit are computed again by differences."""
-    d2 = square_distances(x, y)
-    near = np.abs(d2 - eps * eps) <= 1e-11 * (np.square(x).sum(1).max() + np.square(y).sum(1).max() + eps * eps)
-    out = d2 < eps * eps
-    i, j = np.nonzero(near)
-    if len(i):
-        out[i, j] = np.sqrt(np.square(x[i] - y[j]).sum(1)) <= eps
-    return out
+    return within_each(x, y, [eps])[0]
+
+
+def within_each(x: np.ndarray, y: np.ndarray, radii: list[float]) -> list[np.ndarray]:
+    """``within`` for several radii. More than ``DIRECT_DIMS`` columns are multiplied in 4-byte numbers where their error allows it."""
+    if x.shape[1] <= DIRECT_DIMS:
+        d2 = square_distances(x, y)
+        sure = 1e-11 * (np.square(x).sum(1).max(initial=0.0) + np.square(y).sum(1).max(initial=0.0))
+        masks = [(d2 < eps * eps, np.abs(d2 - eps * eps) <= sure + 1e-11 * eps * eps) for eps in radii]
+    else:
+        close, error = closeness(x, y, min(radii) ** 2 / 64)
+        masks = []
+        for eps in radii:
+            slack = error + 4 * np.finfo(close.dtype).eps * eps * eps
+            out, maybe = close > slack - eps * eps / 2, close >= -slack - eps * eps / 2
+            masks.append((out, out != maybe if np.count_nonzero(out) != np.count_nonzero(maybe) else None))
+    for (out, near), eps in zip(masks, radii):
+        i, j = places(near) if near is not None else ((), ())
+        for at in range(0, len(i), REFINED):
+            some = slice(at, at + REFINED)
+            out[i[some], j[some]] = np.sqrt(np.square(x[i[some]] - y[j[some]]).sum(1)) <= eps
+    return [out for out, _ in masks]
+
+
+def places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero`` of a mask that is mostly false."""
+    flat = mask.ravel()
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64) != 0)
+    word, byte = np.nonzero(flat[:whole].reshape(-1, 8)[words])
+    return np.divmod(np.append(words[word] * 8 + byte, np.flatnonzero(flat[whole:]) + whole), max(1, mask.shape[1]))
+
+
+def closeness(x: np.ndarray, y: np.ndarray, error: float) -> tuple[np.ndarray, float]:
+    """(-d(x, y)^2 / 2 as one product of matrices, a bound on its error): in 4-byte numbers if that bound is at most ``error``. Rows that are not
+    finite are close to nothing."""
+    dims = x.shape[1]
+    with np.errstate(all="ignore"):
+        centre = y[:PIECE].mean(0) if len(y) else np.zeros(dims)
+        centre = np.where(np.isfinite(centre), centre, 0.0)
+        halves = [np.square(v - centre).sum(1) / 2 for v in (x, y)]
+    finite = [np.isfinite(h) for h in halves]
+    most = sum(float(h.max(initial=0.0, where=f)) for h, f in zip(halves, finite))
+    bounds = {kind: (dims + 8) * float(np.finfo(kind).eps) * most for kind in (np.float32, np.float64)}
+    kind = np.float32 if most < 1e37 and bounds[np.float32] <= error else np.float64
+    sides = []
+    for v, h, f, at in zip((x, y), halves, finite, (dims, dims + 1)):
+        side = np.ones((len(v), dims + 2), dtype=kind)
+        side[:, :dims] = v - centre
+        side[:, at] = -h
+        side[~f] = 0
+        sides.append(side)
+    close = sides[0] @ sides[1].T
+    close[~finite[0]] = -np.inf
+    close[:, ~finite[1]] = -np.inf
+    return close, bounds[kind]
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -137,10 +187,11 @@ def _pieces(rows: pa.Table) -> list[Piece]:
 
 
 def compare_blocks(home: DataFrame, others: DataFrame, pivots: np.ndarray, eps: float, fn: Callable[[Piece, Piece], pd.DataFrame], schema: str,
-                   block: int | None = None, merge: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
+                   block: int | None = None, merge: Callable[[pd.DataFrame], pd.DataFrame] | None = None, whole: bool = False) -> DataFrame:
     """Run ``fn(home piece, other piece)`` on pieces that together cover all pairs within eps.
 
-    ``merge`` folds results of pieces of the same two blocks into fewer rows that say the same. ``block`` asks for blocks of that many rows.
+    ``merge`` folds results of pieces of the same two blocks into fewer rows that say the same. With ``whole`` it is ``fn(home pieces, other pieces)``
+    for all pieces of two blocks. ``block`` asks for blocks of that many rows.
     """
     others = others.select(*[F.col(c).alias(c) for c in others.columns])  # its own columns, also when it is the same table
     a = _assign(home, pivots, None)
@@ -155,19 +206,26 @@ def compare_blocks(home: DataFrame, others: DataFrame, pivots: np.ndarray, eps:
     plan = (a.groupBy("cell").agg(F.count(F.lit(1)).alias("na"), F.max(F.size("vec")).alias("dims"))
             .join(b.groupBy("cell").agg(F.count(F.lit(1)).alias("nb")), "cell")
             .select("cell", blocks_of("na").alias("ka"), blocks_of("nb").alias("kb")))
-    plan = F.broadcast(cut_lineage(plan))
+    plan = cut_lineage(plan)
+    session = plan.sparkSession
+    most_tasks = max(4 * session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(1, min(most_tasks, plan.agg(F.sum(F.col("ka").cast("long") * F.col("kb"))).first()[0] or 0))
+    plan = F.broadcast(plan)
 
     def blocks(rows, mine, theirs, i, j):
         own = F.pmod(F.xxhash64("id", F.lit(7)), F.col(mine)).cast("int")
         return (rows.join(plan, "cell").withColumn(i, own)
-                .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(theirs) - 1))).drop("ka", "kb"))
+                .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(theirs) - 1))).drop("ka", "kb")
+                .repartition(tasks, "cell", "i", "j"))  # few bytes can be much work, so tasks are not merged by size
     left, right = blocks(a, "ka", "kb", "i", "j"), blocks(b, "kb", "ka", "j", "i")
     shape = a.sparkSession.createDataFrame([], schema).schema
     arrow = to_arrow_schema(shape)
 
     def compare(x: pa.Table, y: pa.Table) -> pa.Table:
         found, rows, folded = [], 0, 0
-        if x.num_rows and y.num_rows:
+        if whole and x.num_rows and y.num_rows:
+            found.append(fn(_pieces(x), _pieces(y)))
+        elif x.num_rows and y.num_rows:
             ys = _pieces(y)
             for at in range(0, x.num_rows, PIECE):
                 one = Piece(x.slice(at, PIECE))
@@ -189,21 +247,32 @@ def summed(keys: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return lambda parts: parts.groupby(keys, as_index=False, sort=False).sum()
 
 
-def neighbour_counts(points: DataFrame, radii: list[float], pivots: np.ndarray, block: int | None = None) -> DataFrame:
-    """(id, n): total weight within each radius (array in the order of ``radii``), the point itself included."""
+def neighbour_counts(points: DataFrame, radii: list[float], pivots: np.ndarray, block: int | None = None, home: DataFrame | None = None) -> DataFrame:
+    """(id, n): total weight of ``points`` within each radius (array in the order of ``radii``) of each of them, or of each of ``home``; the point
+    itself included."""
     names = [f"n{i}" for i in range(len(radii))]
 
-    def count(x: Piece, y: Piece) -> pd.DataFrame:
-        w = y["w"].to_numpy(dtype="int64")
-        return pd.DataFrame({"id": x["id"], **{name: _weight(within(x.vec, y.vec, eps), w) for name, eps in zip(names, radii)}})
+    def count(xs: list[Piece], ys: list[Piece]) -> pd.DataFrame:
+        found = []
+        for x in xs:
+            n = np.zeros((len(radii), len(x.vec)), dtype=np.int64)
+            for y in ys:
+                w = y["w"].to_numpy(dtype="int64")
+                for total, near in zip(n, within_each(x.vec, y.vec, radii)):
+                    total += _weight(near, w)
+            found.append(pd.DataFrame({"id": x["id"], **dict(zip(names, n))}))
+        return pd.concat(found, ignore_index=True)
     kind = points.schema["id"].dataType.simpleString()
     schema = ", ".join([f"id {kind}", *[f"{n} long" for n in names]])
-    parts = compare_blocks(points, points, pivots, max(radii), count, schema, block, summed(["id"]))
+    parts = compare_blocks(points if home is None else home, points, pivots, max(radii), count, schema, block, whole=True)
     return parts.groupBy("id").agg(F.array(*[F.sum(n) for n in names]).alias("n"))
 
 
 def _weight(near: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return near.sum(axis=1) if (w == 1).all() else near @ w
+    """Total weight in each row."""
+    total = np.bitwise_count(np.packbits(near, axis=1)).sum(axis=1, dtype=np.int64)
+    more = np.flatnonzero(w != 1)
+    return total + np.rint(near[:, more].astype(float) @ (w[more] - 1.0)).astype(np.int64) if len(more) else total
 
 
 def radius_counts(df: DataFrame, key: str, eps: float, cols: list[str] | None = None, vec: str | None = None,
@@ -236,7 +305,7 @@ def k_distance(df: DataFrame, key: str, k: int, cols: list[str] | None = None, v
         pivots = choose_pivots(single, rows_per_pivot, radius)
         if len(pivots) < 2:
             radius = float("inf")
-        parts = compare_blocks(todo, single, pivots, radius, _nearest(k, radius), f"id {kind}, d double, w bigint", block, _first_of(k))
+        parts = compare_blocks(todo, single, pivots, radius, _nearest(k, radius), f"id {kind}, d double, w bigint", block, whole=True)
         merged = parts.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("d", "w"))).alias("near"))
         enough = F.aggregate("near", F.lit(0).cast("long"), lambda s, x: s + x["w"]) >= k
         step = cut_lineage(merged.select("id", F.when(enough, _kth(k)).alias("d")))
@@ -263,16 +332,54 @@ def _kth(k: int):
 
 
 def _nearest(k: int, radius: float):
-    """(id, d, w) of the k nearest vectors in a piece, as far as they lie within the radius."""
-    def nearest(x: Piece, y: Piece) -> pd.DataFrame:
-        m = min(k, len(y.vec))
-        pick = np.argpartition(square_distances(x.vec, y.vec), m - 1, axis=1)[:, :m]
-        d = np.sqrt(np.square(x.vec[:, None, :] - y.vec[pick]).sum(2))
-        i, j = np.nonzero(d <= radius)
-        return pd.DataFrame({"id": x["id"].to_numpy()[i], "d": d[i, j], "w": y["w"].to_numpy(dtype="int64")[pick[i, j]]})
+    """(id, d, w) of the nearest vectors in a block until their weight is k, as far as they lie within the radius. What is farther than the k-th
+    nearest vector of the pieces before is passed over."""
+    first = _first_of(k)
+
+    def nearest(xs: list[Piece], ys: list[Piece]) -> pd.DataFrame:
+        found = []
+        for x in xs:
+            n = len(x.vec)
+            limit = np.full(n, radius)
+            best_d, best_w = np.full((n, k), np.inf), np.zeros((n, k), dtype=np.int64)
+            for y in ys:
+                i, j = _not_farther(x.vec, y.vec, limit, k)
+                d = np.concatenate([np.sqrt(np.square(x.vec[i[at:at + REFINED]] - y.vec[j[at:at + REFINED]]).sum(1)) for at in range(0, max(1, len(i)), REFINED)])
+                keep = d <= limit[i]
+                if not keep.any():
+                    continue
+                i, d, w = i[keep], d[keep], y["w"].to_numpy(dtype="int64")[j[keep]]
+                rows = np.unique(i)
+                at = np.concatenate([np.repeat(rows, k), i])
+                d, w = np.concatenate([best_d[rows].ravel(), d]), np.concatenate([best_w[rows].ravel(), w])
+                order = np.lexsort((d, at))
+                at, d, w = at[order], d[order], w[order]
+                rank = np.arange(len(at)) - np.searchsorted(at, at)
+                top = rank < k
+                best_d[at[top], rank[top]], best_w[at[top], rank[top]] = d[top], w[top]
+                limit[rows] = np.minimum(limit[rows], best_d[rows, k - 1])
+            i, j = np.nonzero(best_w > 0)
+            found.append(pd.DataFrame({"id": x["id"].to_numpy()[i], "d": best_d[i, j], "w": best_w[i, j]}))
+        return first(pd.concat(found, ignore_index=True))
     return nearest
 
 
+def _not_farther(x: np.ndarray, y: np.ndarray, limit: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that hold the nearest ``k`` rows of ``y`` of each row of ``x``, as far as they are not farther than the row's ``limit``."""
+    if x.shape[1] <= DIRECT_DIMS:
+        d2 = square_distances(x, y)
+        close, error = np.negative(d2 / 2), 0.0
+    else:
+        known = np.square(limit[np.isfinite(limit)])
+        close, error = closeness(x, y, float(np.median(known)) / 64 if len(known) else np.inf)
+    open_ = np.flatnonzero(np.isinf(limit))
+    least = -np.square(limit) / 2
+    if len(open_) and len(y) > k:
+        least[open_] = np.partition(close[open_], len(y) - k, axis=1)[:, len(y) - k] - 2 * error
+    slack = error + 1e-6 * np.abs(np.where(np.isfinite(least), least, 0.0))
+    return places(close >= (least - slack).astype(close.dtype)[:, None])
+
+
 def _first_of(k: int):
     """A merge that keeps the nearest vectors of an id until their weight reaches k."""
     def first(parts: pd.DataFrame) -> pd.DataFrame:

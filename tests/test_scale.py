@@ -93,6 +93,23 @@ def test_pieces_of_blocks_folded_at_once_give_the_same(spark, monkeypatch):
     assert quality.silhouette(df, "id", "label", vec="v").first()["silhouette"] == pytest.approx(((rest - a) / np.maximum(a, rest)).mean(), abs=1e-9)
 
 
+def in_pieces(x, **columns):
+    import pyarrow as pa
+    rows = pa.table({"id": np.arange(len(x)), "vec": pa.array(list(x), pa.list_(pa.float64())), **columns})
+    return [neighbors.Piece(rows.slice(at, 100)) for at in range(0, len(x), 100)]
+
+
+def test_products_in_short_numbers_find_the_same_pairs(spark):
+    x = np.random.default_rng(6).normal(size=(300, 12))
+    x[7, 3], x[8, 0] = np.nan, np.inf
+    x[9] = x[10]
+    for moved in (x, x * 1e-3, x + 1e4, x * 1e30):
+        d = np.sqrt(np.square(moved[:, None, :] - moved[None, :, :]).sum(2))
+        for eps in (0.0, float(np.nanquantile(d[np.isfinite(d)], 0.2)), float(np.sort(d[20])[5])):
+            assert (neighbors.within(moved, moved, eps) == (d <= eps)).all()
+    assert neighbors.closeness(x, x, 0.1)[0].dtype == np.float32 and neighbors.closeness(x + 1e4, x, 0.1)[0].dtype == np.float64
+
+
 def test_kept_rows_sit_in_bounded_partitions(spark, monkeypatch):
     monkeypatch.setattr(runtime, "MAX_ROWS_PER_PARTITION", 1_000, raising=False)
     with runtime.kept(spark.range(20_000, numPartitions=8)) as held:
