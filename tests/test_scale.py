@@ -110,6 +110,21 @@ def test_products_in_short_numbers_find_the_same_pairs(spark):
     assert neighbors.closeness(x, x, 0.1)[0].dtype == np.float32 and neighbors.closeness(x + 1e4, x, 0.1)[0].dtype == np.float64
 
 
+def test_connected_rows_are_not_compared_again(spark, monkeypatch):
+    x = np.random.default_rng(7).normal(size=(1_000, 10))
+    x[-1] += 100.0
+    pairs = []
+
+    def counted(a, b, eps, within=neighbors.within):
+        pairs.append(len(a) * len(b))
+        return within(a, b, eps)
+    monkeypatch.setattr(cluster, "within", counted)
+    pieces = in_pieces(x, core=[[True]] * len(x))
+    found = cluster._links([5.0])(pieces, pieces)
+    assert sorted(zip(found["u"], found["v"])) == [(i, 0) for i in range(1, 999)] and not found["border"].any()
+    assert sum(pairs) < len(x) ** 2 / 3
+
+
 def test_kept_rows_sit_in_bounded_partitions(spark, monkeypatch):
     monkeypatch.setattr(runtime, "MAX_ROWS_PER_PARTITION", 1_000, raising=False)
     with runtime.kept(spark.range(20_000, numPartitions=8)) as held:
