@@ -125,6 +125,26 @@ def test_connected_rows_are_not_compared_again(spark, monkeypatch):
     assert sum(pairs) < len(x) ** 2 / 3
 
 
+def test_far_rows_are_passed_over(spark, monkeypatch):
+    x = np.random.default_rng(8).normal(size=(1_000, 10)).round(2)
+    w = np.arange(len(x)) % 3 + 1
+    d = np.sqrt(np.square(x[:, None, :] - x[None, :, :]).sum(2))
+    for radius in (np.inf, 2.5):
+        looked = []
+
+        def counted(mask, places=neighbors.places):
+            looked.append(np.count_nonzero(mask))
+            return places(mask)
+        with monkeypatch.context() as m:
+            m.setattr(neighbors, "places", counted)
+            found = neighbors._nearest(4, radius)(in_pieces(x), in_pieces(x, w=w))
+        assert sum(looked) < len(x) ** 2 / 10
+        for i in range(0, len(x), 50):
+            order = np.argsort(d[i])
+            order = order[(np.cumsum(w[order]) - w[order] < 4) & (d[i][order] <= radius)]
+            np.testing.assert_allclose(np.sort(found["d"][found["id"] == i]), d[i][order], atol=1e-12)
+
+
 def test_kept_rows_sit_in_bounded_partitions(spark, monkeypatch):
     monkeypatch.setattr(runtime, "MAX_ROWS_PER_PARTITION", 1_000, raising=False)
     with runtime.kept(spark.range(20_000, numPartitions=8)) as held:
