@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import in_order, row_number
 from ..functions.quantiles import quantiles
-from ..functions.runtime import col, cut_lineage, kept, unit_position
+from ..functions.runtime import all_of, col, cut_lineage, kept, unit_position
 from .agreement import ari
 from .lloyd import Model, best_of, fit_many, points, resample_agreement, squared_silhouettes
 from .neighbors import (
@@ -27,6 +27,7 @@ SUBTRACTIVE_RA, SUBTRACTIVE_RB = 2.2, 3.3
 ACCEPT_RATIO, REJECT_RATIO, MAX_CENTRES = 0.5, 0.22, 50
 SCORE_SILHOUETTE, SCORE_BALANCE, SCORE_NOISE = 0.6, 0.3, 0.1
 
+GRID_DIMS, CELL_SAMPLE = 3, 64  # columns up to which a grid tells what is near; core rows of a cell that are compared first
 KERNEL_ROUNDING = 1e-16  # of the whole sum of kernels, may be left out
 
 
@@ -118,6 +119,19 @@ def density_labels(df: DataFrame, key: str, radii: list[float], min_samples: int
     so the rows are compared once for the counts and once for the links."""
     points = as_points(df, key, cols, vec)
     single = cut_lineage(distinct_points(points))
+    found = _grid_density(single, len(cols), radii[0], min_samples, rows_per_pivot, block) if cols and len(cols) <= GRID_DIMS and len(radii) == 1 else None
+    cores, touched = found or _pair_density(single, radii, min_samples, rows_per_pivot, block)
+    numbers = in_order(cut_lineage(cores.select("e", "root").distinct()), ["e"], ["root"], {"__n": row_number()})
+    numbers = cut_lineage(numbers.select("e", "root", (F.col("__n") - 1).cast("int").alias("c")))
+    labels = cores.join(numbers, ["e", "root"]).select("e", "id", "c")
+    edge = touched.join(numbers, ["e", "root"]).groupBy("e", "id").agg(F.min("c").alias("c"))
+    every = single.select("id", "vec", F.posexplode(F.array(*[F.lit(float(r)) for r in radii])).alias("e", "radius"))
+    known = every.join(labels.unionByName(edge), ["e", "id"], "left").select("vec", "radius", F.coalesce("c", F.lit(-1)).alias("cluster"))
+    return points.join(known, "vec").select(F.col("id").alias(key), "radius", "cluster")
+
+
+def _pair_density(single: DataFrame, radii: list[float], min_samples: int, rows_per_pivot: int | None, block: int | None) -> tuple[DataFrame, DataFrame]:
+    """(e, id, root) of the core rows, and (e, id, root) of the clusters that border rows touch: rows are compared for the counts and for the links."""
     pivots = choose_pivots(single, rows_per_pivot, max(radii))
     kind = single.schema["id"].dataType.simpleString()
     counts = neighbour_counts(single, radii, pivots, block)
@@ -132,22 +146,85 @@ def density_labels(df: DataFrame, key: str, radii: list[float], min_samples: int
     else:
         root = root.select(F.lit(0).alias("e"), "id", "root")
     cores = marked.select("id", F.posexplode("core").alias("e", "core")).where("core").select("e", "id")
-    cores = cores.join(root, ["e", "id"], "left").select("e", "id", F.coalesce("root", "id").alias("root"))
-    numbers = in_order(cut_lineage(cores.select("e", "root").distinct()), ["e"], ["root"], {"__n": row_number()})
-    labels = cut_lineage(cores.join(numbers, ["e", "root"]).select("e", "id", (F.col("__n") - 1).cast("int").alias("c")))
-    touched = labels.select("e", F.col("id").alias("v"), "c")
-    edge = links.where("border").join(touched, ["e", "v"]).groupBy("e", F.col("u").alias("id")).agg(F.min("c").alias("c"))
-    every = single.select("id", "vec", F.posexplode(F.array(*[F.lit(float(r)) for r in radii])).alias("e", "radius"))
-    known = every.join(labels.unionByName(edge), ["e", "id"], "left").select("vec", "radius", F.coalesce("c", F.lit(-1)).alias("cluster"))
-    return points.join(known, "vec").select(F.col("id").alias(key), "radius", "cluster")
+    cores = cut_lineage(cores.join(root, ["e", "id"], "left").select("e", "id", F.coalesce("root", "id").alias("root")))
+    border = links.where("border").select("e", F.col("u").alias("of"), F.col("v").alias("id"))
+    return cores, border.join(cores, ["e", "id"]).select("e", F.col("of").alias("id"), "root")
+
 
+def _grid_density(single: DataFrame, dims: int, eps: float, min_samples: int, rows_per_pivot: int | None,
+                  block: int | None) -> tuple[DataFrame, DataFrame] | None:
+    """As ``_pair_density`` in few dimensions, by the cells of a grid whose rows all lie within eps of each other.
 
-def _links(radii: list[float]):
+    A cell of ``min_samples`` rows has core rows only, so just the rows of lighter cells are counted, against the cells in reach. The core rows of
+    a cell are connected, so cells are what is linked: first through about ``CELL_SAMPLE`` rows each; then, among cells in reach of each other that
+    are not connected yet, through all their rows.
+    """
+    rows = _in_cells(single, dims, eps)
+    if eps <= 0 or not rows.where("at is null").isEmpty():
+        return None
+
+    def compared(home: DataFrame, others: DataFrame, fn, schema: str) -> DataFrame:
+        return cut_lineage(compare_blocks(home, others, choose_pivots(others, rows_per_pivot, eps), eps, fn, schema, block, whole=True))
+    kind = single.schema["id"].dataType.simpleString()
+    rows = cut_lineage(rows.join(rows.groupBy("at").agg(F.sum("w").alias("weight")), "at"))
+    light = cut_lineage(rows.where(F.col("weight") < min_samples).select("at", "id", "vec", "w"))
+    others = cut_lineage(rows.join(_in_reach(light.select("at").distinct(), dims).select("at").distinct(), "at", "left_semi").select("id", "vec", "w"))
+    counts = neighbour_counts(others, [eps], choose_pivots(others, rows_per_pivot, eps), block, light.select("id", "vec", "w"))
+    few = counts.where(F.col("n")[0] < min_samples).select("id")
+    border = cut_lineage(light.join(few, "id", "left_semi"))
+    core = cut_lineage(rows.join(border.select("id"), "id", "left_anti").select("at", "id", "vec", F.array(F.lit(True)).alias("core")))
+    cells = cut_lineage(core.groupBy("at").agg(F.min("id").alias("root"), F.count(F.lit(1)).alias("size")))
+    link = f"e int, u {kind}, v {kind}, border boolean"
+
+    def joined(cells: DataFrame, links: DataFrame) -> DataFrame:
+        lower = components(links.select("u", "v")).select(F.col("id").alias("root"), F.col("root").alias("lower"))
+        return cut_lineage(cells.join(lower, "root", "left").select("at", F.coalesce("lower", "root").alias("root"), "size"))
+    some = cut_lineage(core.join(cells, "at").where(F.pmod(F.xxhash64("id", F.lit(17)), F.col("size")) < CELL_SAMPLE).select("id", "vec", "core", "root"))
+    cells = joined(cells, compared(some, some, _links([eps], "root"), link))
+    reached = _in_reach(cells.where(F.col("size") > CELL_SAMPLE).select(F.col("at").alias("from"), "at", F.col("root").alias("own")), dims)
+    apart = reached.join(cells, "at").where("root <> own").select(F.explode(F.array("from", "at")).alias("at")).distinct()
+    rest = cut_lineage(core.join(cells, "at").join(apart, "at", "left_semi").select("id", "vec", "core", "root"))
+    if not rest.isEmpty():
+        cells = joined(cells, compared(rest, rest, _links([eps], "root"), link))
+    cores = cut_lineage(core.join(cells, "at").select("at", "id", "vec", "root"))
+    near = cores.join(_in_reach(border.select("at").distinct(), dims).select("at").distinct(), "at", "left_semi").select("id", "vec", "root")
+    touched = compared(border.select("id", "vec"), cut_lineage(near), _touched(eps), f"id {kind}, root {kind}")
+    zero = F.lit(0).alias("e")
+    return cores.select(zero, "id", "root"), touched.select(zero, "id", "root")
+
+
+def _in_cells(rows: DataFrame, dims: int, eps: float) -> DataFrame:
+    """Add ``at``, the cell of a grid whose diagonal is a little less than eps; null where a coordinate is too far out for its cell to be told."""
+    side = eps / math.sqrt(dims) * (1 - 1e-6) or 1.0
+    steps = [F.col("vec")[k] / F.lit(side) for k in range(dims)]
+    return rows.withColumn("at", F.when(all_of([F.abs(x) < 1e9 for x in steps]), F.array(*[F.floor(x) for x in steps])))
+
+
+def _in_reach(cells: DataFrame, dims: int) -> DataFrame:
+    """Each row once for every cell ``at`` that may hold rows within eps of those of its own: two cells off at most."""
+    for k in range(dims):
+        cells = cells.withColumn(f"at{k}", F.explode(F.sequence(F.col("at")[k] - 2, F.col("at")[k] + 2)))
+    return cells.withColumn("at", F.array(*[F.col(f"at{k}") for k in range(dims)])).drop(*[f"at{k}" for k in range(dims)])
+
+
+def _touched(eps: float):
+    """(id, root) of the clusters within eps of the home rows."""
+    def touched(xs: list[Piece], ys: list[Piece]) -> pd.DataFrame:
+        found = []
+        for x in xs:
+            for y in ys:
+                i, j = places(within(x.vec, y.vec, eps))
+                found.append(pd.DataFrame({"id": x["id"].to_numpy()[i], "root": y["root"].to_numpy()[j]}).drop_duplicates())
+        return pd.concat(found, ignore_index=True).drop_duplicates()
+    return touched
+
+
+def _links(radii: list[float], name: str = "id"):
     """Core rows: a link from each to the smallest id it is connected with inside the two blocks. Border rows: one core row of every connected part
-    they touch. Rows that are connected already are not compared again."""
+    they touch. Rows that are connected already, or have the same ``name``, are not compared again."""
     def links(xs: list[Piece], ys: list[Piece]) -> pd.DataFrame:
         pieces = [*xs, *ys]
-        ids, code = np.unique(np.concatenate([p["id"].to_numpy() for p in pieces]), return_inverse=True)
+        ids, code = np.unique(np.concatenate([p[name].to_numpy() for p in pieces]), return_inverse=True)
         codes = np.split(code, np.cumsum([len(p.vec) for p in pieces])[:-1])
         cores = [np.stack(p["core"].to_numpy()).astype(bool) for p in pieces]
         out = []

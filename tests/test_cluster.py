@@ -75,6 +75,27 @@ def test_dbscan(cloud, eps, m):
         assert [got[i] for i in range(len(x))] == want
 
 
+@pytest.mark.parametrize("bridge", [True, False])
+def test_rows_of_dense_cells_are_not_counted(spark, monkeypatch, bridge):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.uniform((0, 0), (3, 0.5), (900, 2)), rng.uniform((0, 1.62), (3, 2.1), (900, 2)), rng.uniform((10, 0), (12, 1), (400, 2)),
+                   rng.uniform((13.05, 0), (15, 1), (400, 2)), rng.uniform((-4, -4), (18, 8), (60, 2))]).round(3)
+    if bridge:  # the only link of the first two strips
+        x = np.vstack([x, [(1.5, 0.55), (1.5, 1.54)]])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double")
+    monkeypatch.setattr(cluster, "CELL_SAMPLE", 2, raising=False)
+    counted = []
+
+    def counts(points, radii, pivots, block=None, home=None, fn=neighbors.neighbour_counts):
+        counted.append((points if home is None else home).count())
+        return fn(points, radii, pivots, block, *([] if home is None else [home]))
+    monkeypatch.setattr(cluster, "neighbour_counts", counts)
+    got = {r["id"]: r["cluster"] for r in cluster.dbscan(df, "id", 1.0, 12, ["a", "b"]).collect()}
+    want = brute_dbscan(x, 1.0, 12).tolist()
+    assert [got[i] for i in range(len(x))] == want and -1 in want
+    assert sum(counted) < len(x) / 5
+
+
 def test_exact_limit_on_a_grid(spark):
     x = np.array([(i, j) for i in range(7) for j in range(7)], dtype=float)
     wide = np.hstack([x, np.zeros((49, 10))])  # enough columns for the matrix-product path
