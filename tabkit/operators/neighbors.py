@@ -123,7 +123,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 def choose_pivots(points: DataFrame, rows_per_pivot: int | None = None, eps: float | None = None) -> np.ndarray:
     """Pivots for a search within ``eps``. Unless their number is asked for there are fewer or none where a row of a sample would go to more than
-    ``SPREAD`` cells on the average: cells that do not part the rows only make copies."""
+    ``SPREAD`` cells or half of them on the average: cells that do not part the rows only make copies, and fewer tasks than no cells."""
     n = points.count()
     wanted = min(MAX_PIVOTS, n // (rows_per_pivot or ROWS_PER_PIVOT))
     if wanted < 2:
@@ -137,7 +137,7 @@ def choose_pivots(points: DataFrame, rows_per_pivot: int | None = None, eps: flo
     seen = points.where(F.pmod(F.xxhash64("id", F.lit(13)), F.lit(max(1, n // PIECE))) == 0).select("vec").limit(2 * PIECE).toPandas()
     seen = _matrix(seen["vec"]) if len(seen) else pivots[:1]
     while len(pivots) >= 2:
-        if sum(map(len, _cells(seen, pivots, 2.0 * eps))) <= SPREAD * len(seen):
+        if sum(map(len, _cells(seen, pivots, 2.0 * eps))) <= min(SPREAD, len(pivots) / 2) * len(seen):
             return pivots
         pivots = pivots[:len(pivots) // 4]
     return np.zeros((0, 0))

@@ -93,6 +93,11 @@ def test_pieces_of_blocks_folded_at_once_give_the_same(spark, monkeypatch):
     assert quality.silhouette(df, "id", "label", vec="v").first()["silhouette"] == pytest.approx(((rest - a) / np.maximum(a, rest)).mean(), abs=1e-9)
 
 
+def test_cells_that_hold_all_rows_are_not_used(spark):
+    single = neighbors.distinct_points(neighbors.as_points(cloud(spark, 24_000, 12)[1], "id", vec="v")).checkpoint()
+    assert len(neighbors.choose_pivots(single, None, 9.0)) == 0  # 64 tasks instead of two
+
+
 def in_pieces(x, **columns):
     import pyarrow as pa
     rows = pa.table({"id": np.arange(len(x)), "vec": pa.array(list(x), pa.list_(pa.float64())), **columns})
